@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import clean, quote_regex
+from ..functions.text import clean, quote_regex, strip
 from .ordered import BLOCK_ROWS, OrderedRows, following
 
 # Document fields looked for by default.
@@ -25,9 +25,9 @@ def keyword_value(text: Column, keyword: Column) -> Column:
     A keyword at the end of a line takes the next non-blank line. The keyword is data, so it is quoted; ``.``
     excludes only the line feed, and other line separators end the value.
     """
-    bare = F.regexp_replace(F.trim(keyword), "^['\"]+|['\"]+$", "")
+    bare = F.btrim(strip(keyword), F.lit("'\""))
     pattern = F.concat(F.lit("(?id)"), quote_regex(bare), F.lit(r"\s*[:\-]?\s*(.+)"))
-    rest = F.regexp_extract(text, pattern, F.lit(1))
+    rest = F.call_function("regexp_extract", text, pattern, F.lit(1))
     line = F.regexp_extract(rest, "^[^\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]*", 0)
     return F.when(F.regexp_like(text, pattern), clean(line))
 
@@ -69,7 +69,7 @@ def keyword_values(
         F.min_by("value", F.when(F.col("value").isNotNull(), F.col("page"))).alias("value")
     )
     everyone = keywords.join(best, ["file_id", "field", "keyword"], "left")
-    bare = F.regexp_replace(F.trim("keyword"), "^['\"]+|['\"]+$", "")
+    bare = F.btrim(strip(F.col("keyword")), F.lit("'\""))
     warnings = everyone.filter(F.col("value").isNull()).select(
         "file_id",
         F.lit("missing_keyword").alias("kind"),

@@ -231,7 +231,7 @@ def select_pages(pages: DataFrame, spec: str, page: str = "page", counts: DataFr
         .filter("b >= a")
     )
     listed = ranges.select("i", F.explode(F.sequence("a", "b")).alias("__page")).select(
-        "__page", (F.col("i") * 1_000_000_000 + F.col("__page")).cast("bigint").alias("page_ord")
+        "__page", (F.col("i").cast("bigint") * 1_000_000_000 + F.col("__page")).alias("page_ord")
     )
     # the page list comes from the text of one option, so its size is that of the option
     return pages.join(F.broadcast(listed), F.col(page) == F.col("__page")).drop("__page")

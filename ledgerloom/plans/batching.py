@@ -1,2 +1,231 @@
-QUERIES = {}
-ORACLE = {}
+"""Driver queries: numbering, batches, delimited files and chart payloads."""
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.coerce import with_numeric
+from ..operators.batches import build_batches, job_totals, number_records
+from ..operators.ordered import OrderedRows
+from ..session import shared_dir
+from ..sources.charts import chart_query, chart_tables
+from ..sources.delimited import delimiter_of, header_row_of, scan_delimited as scan
+from .coercion import DIRTY_PRICE_SQL, dirty_price
+from .common import money2, printed, table, text
+
+
+def dirty_price_batches(spark, sf_dir):
+    """Flagship: line prices as printed text -> numbers -> batches of 250 per supplier file -> totals."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("file_seq_id"), "l_orderkey", "l_linenumber", "l_partkey",
+        "l_extendedprice", dirty_price().alias("raw"),
+    )
+    # a file's rows get their source row number from their order (large files are split, see OrderedRows)
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    rows = OrderedRows.of(lines, ["file_seq_id"], order).number("src_row").rows()
+    records = with_numeric(rows, "raw", "amount").select(
+        "file_seq_id", "amount", "src_row", ((F.col("src_row") - 1) / 250).cast("bigint").alias("b")
+    )
+    typed = F.col("amount").try_cast("decimal(18,2)")
+    return records.groupBy("file_seq_id", (F.col("b") + 1).alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.min("src_row").alias("first_row"),
+        F.count(typed).alias("numbers"),
+        text(F.sum(typed)).alias("total"),
+    )
+
+
+def _order_records(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.lit("ORDERS").alias("file_seq_id"), (F.col("o_orderkey") % 3).cast("int").alias("file_ord"),
+        F.lit(0).alias("table_no"), (F.floor(F.col("o_orderkey") / 3) + 2).alias("src_row"),
+        F.create_map(
+            F.lit("key"), text(F.col("o_orderkey")), F.lit("total"), text(money2(F.col("o_totalprice")))
+        ).alias("record"),
+    )
+
+
+def batch_rows(spark, sf_dir):
+    """One request over three files, batches of 1,000 that run on across the files."""
+    records = _order_records(spark, sf_dir)
+    tables = spark.createDataFrame(
+        [("ORDERS", i, 0, {"file": f"f{i}"}) for i in range(4)],
+        "file_seq_id string, file_ord int, table_no int, meta map<string,string>",
+    )
+    batches = build_batches(records, 1000, tables=tables)
+    total = F.aggregate(
+        F.transform("records", lambda r: F.get_json_object(r, "$.total").cast("decimal(18,2)")),
+        F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x).cast("decimal(38,2)"),
+    )
+    return batches.select(
+        "batch_no", "record_count", "first_row", text(total).alias("total"),
+        F.get_json_object(F.get("records", F.lit(0)), "$.key").alias("first_key"),
+        F.get_json_object(F.element_at("records", -1), "$.key").alias("last_key"),
+        F.col("meta")["file"].alias("meta_file"), F.col("meta")["batch_size"].alias("meta_size"),
+    )
+
+
+def batch_totals(spark, sf_dir):
+    """Job totals of one request per customer: records, batches of 5, warnings."""
+    o = table(spark, sf_dir, "orders")
+    rows = OrderedRows.of(
+        o.select(
+            F.concat(F.lit("C"), text(F.col("o_custkey"))).alias("file_seq_id"), "o_orderkey",
+            text(money2(F.col("o_totalprice"))).alias("record"),
+        ),
+        ["file_seq_id"], ["o_orderkey"],
+    ).number("src_row").rows().withColumns({"file_ord": F.lit(0), "table_no": F.lit(0)})
+    warnings = o.filter("o_orderstatus = 'P'").select(
+        F.concat(F.lit("C"), text(F.col("o_custkey"))).alias("file_seq_id"), F.lit("pending").alias("detail")
+    )
+    return job_totals(build_batches(rows, 5), warnings)
+
+
+def number_gaps(spark, sf_dir):
+    """Record numbers when source row numbers have gaps."""
+    o = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("S"), F.col("o_orderstatus")).alias("file_seq_id"),
+        (F.col("o_custkey") % 2).cast("int").alias("file_ord"), F.lit(0).alias("table_no"),
+        (F.col("o_orderkey") * 5).alias("src_row"), "o_orderkey",
+    )
+    return number_records(o).select("file_seq_id", "o_orderkey", "n")
+
+
+def scan_delimited(spark, sf_dir):
+    """Customers written as delimited files with a title line, a header and blank lines, read back."""
+    c = table(spark, sf_dir, "customer")
+    folder = f"{shared_dir(spark)}/scan-{uuid.uuid4().hex}"
+    nation = text(F.col("c_nationkey"))
+    sep = F.when(F.col("c_nationkey") % 3 == 0, ";").when(F.col("c_nationkey") % 3 == 1, "\t").otherwise(",")
+    body = c.select(
+        nation.alias("f"), (F.col("c_custkey") * 2 + 10).alias("o"),
+        F.concat(
+            text(F.col("c_custkey")), sep, F.col("c_name"), sep,
+            F.lit('"'), F.replace("c_mktsegment", F.lit("I"), F.lit('""I,;')), F.lit('"'), sep,
+            F.lit('"'), printed(F.col("c_acctbal")), F.lit('"'),
+        ).alias("value"),
+    )
+    blank = c.filter("c_custkey % 10 = 3").select(
+        nation.alias("f"), (F.col("c_custkey") * 2 + 11).alias("o"), F.concat(sep, F.lit("  "), sep).alias("value")
+    )
+    heads = c.select("c_nationkey").distinct().select(
+        nation.alias("f"),
+        F.explode(
+            F.array(
+                F.struct(F.lit(1).cast("bigint").alias("o"), F.lit("Customer list").alias("value")),
+                F.struct(F.lit(2).cast("bigint").alias("o"), F.lit("").alias("value")),
+                F.struct(
+                    F.lit(3).cast("bigint").alias("o"),
+                    F.concat(F.lit("Cust Key"), sep, F.lit("Name"), sep, F.lit("Segment"), sep, F.lit("Balance")).alias("value"),
+                ),
+            )
+        ).alias("x"),
+    ).select("f", "x.o", "x.value")
+    lines = body.unionByName(blank).unionByName(heads)
+    lines.repartition("f").sortWithinPartitions("f", "o").select("f", "value").write.partitionBy("f").text(folder)
+    files = spark.read.text(folder).select(F.col("_metadata.file_path").alias("path"), "f").distinct()
+    given = F.when(F.col("f") % 3 == 0, ";").when(F.col("f") % 3 == 1, "tab")
+    requests = files.select(
+        text(F.col("f")).alias("file_seq_id"), F.lit(0).alias("file_ord"), "path",
+        delimiter_of(given, F.lit(None).cast("string")).alias("delimiter"),
+        header_row_of(F.lit(3)).alias("headers_row"),
+    )
+    tables, cells = scan(spark, requests, folder)
+    named = cells.join(tables.select("file_seq_id", "headers"), "file_seq_id")
+    return named.select(
+        "file_seq_id", "src_row", F.array_join("headers", "|").alias("headers"),
+        *(F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("key", "name", "segment", "balance"))),
+    )
+
+
+def chart_rows(spark, sf_dir):
+    """Orders packed as chart payloads (50 order keys each) with two queries, unpacked again."""
+    o = chart_query(
+        table(spark, sf_dir, "orders"),
+        [{"col": "o_orderstatus", "op": "IN", "val": ["O", "F"]}, {"col": "o_totalprice", "op": ">", "val": 1000}],
+        row_limit=2_000_000_000,
+    )
+    row = F.create_map(
+        F.lit("key"), text(F.col("o_orderkey")), F.lit("status"), F.col("o_orderstatus"),
+        F.lit("total"), text(money2(F.col("o_totalprice"))),
+    )
+    chart = F.floor(F.col("o_orderkey") / 50).alias("chart_id")
+    packed = (
+        o.groupBy(chart)
+        .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", F.to_json(row).alias("j")))).alias("rows"))
+        .select(
+            "chart_id",
+            F.concat(
+                F.lit('{"result":[{"data":['),
+                F.array_join(F.transform("rows", lambda r: r["j"]), ","),
+                F.lit('],"colnames":["total","key","absent"],"rowcount":'), text(F.size("rows")),
+                F.lit('},{"data":['), F.get("rows", F.lit(0))["j"], F.lit('],"rowcount":1}]}'),
+            ).alias("body"),
+        )
+    )
+    tables, cells = chart_tables(packed)
+    return cells.join(
+        tables.select("chart_id", "query_index", "rowcount", F.array_join("headers", "|").alias("headers")),
+        ["chart_id", "query_index"],
+    ).select(
+        "chart_id", "query_index", "src_row", "rowcount", "headers",
+        F.array_join("cells", "|", "~").alias("cells"),
+    )
+
+
+QUERIES = {
+    "dirty_price_batches": dirty_price_batches,
+    "batch_rows": batch_rows,
+    "batch_totals": batch_totals,
+    "number_gaps": number_gaps,
+    "scan_delimited": scan_delimited,
+    "chart_rows": chart_rows,
+}
+
+ORACLE = {
+    "dirty_price_batches": f"""
+        SELECT l_suppkey AS file_seq_id, (rn - 1) // 250 + 1 AS batch_no, count(*) AS record_count,
+               min(rn) AS first_row, count(amount) AS numbers, CAST(sum(amount) AS VARCHAR) AS total
+        FROM (SELECT l_suppkey, TRY_CAST({DIRTY_PRICE_SQL} AS DECIMAL(18, 2)) AS amount,
+                     row_number() OVER (PARTITION BY l_suppkey
+                         ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS rn
+              FROM lineitem)
+        GROUP BY 1, 2""",
+    "batch_rows": """
+        WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey) - 1 AS n FROM orders)
+        SELECT CAST(n // 1000 + 1 AS INTEGER) AS batch_no, CAST(count(*) AS INTEGER) AS record_count,
+               arg_min(o_orderkey // 3 + 2, n) AS first_row,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS VARCHAR) AS total,
+               CAST(arg_min(o_orderkey, n) AS VARCHAR) AS first_key,
+               CAST(arg_max(o_orderkey, n) AS VARCHAR) AS last_key,
+               CASE WHEN count(*) = 1000 THEN 'f' || arg_max(o_orderkey % 3, n) ELSE 'f3' END AS meta_file,
+               '1000' AS meta_size
+        FROM n GROUP BY 1""",
+    "batch_totals": """
+        SELECT 'C' || o_custkey AS file_seq_id, count(*) AS total_records,
+               CAST(ceil(count(*) / 5) AS INTEGER) AS total_batches,
+               count(*) FILTER (o_orderstatus = 'P') AS warning_count
+        FROM orders GROUP BY o_custkey""",
+    "number_gaps": """
+        SELECT 'S' || o_orderstatus AS file_seq_id, o_orderkey,
+               row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey % 2, o_orderkey) - 1 AS n
+        FROM orders""",
+    "scan_delimited": """
+        SELECT CAST(c_nationkey AS VARCHAR) AS file_seq_id,
+               3 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS src_row,
+               'Cust Key|Name|Segment|Balance' AS headers, CAST(c_custkey AS VARCHAR) AS key, c_name AS name,
+               replace(c_mktsegment, 'I', '"I,;') AS segment, format('{:,.2f}', c_acctbal) AS balance
+        FROM customer""",
+    "chart_rows": """
+        WITH o AS (SELECT o_orderkey // 50 AS chart_id, o_orderkey, o_orderstatus AS s,
+                          CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS t
+                   FROM orders WHERE o_orderstatus IN ('O', 'F') AND o_totalprice > 1000),
+             r AS (SELECT *, row_number() OVER (PARTITION BY chart_id ORDER BY o_orderkey) AS rn,
+                          count(*) OVER (PARTITION BY chart_id) AS n FROM o)
+        SELECT chart_id, 0 AS query_index, rn AS src_row, n AS rowcount, 'total|key|absent' AS headers,
+               t || '|' || o_orderkey || '|~' AS cells FROM r
+        UNION ALL
+        SELECT chart_id, 1, 1, 1, 'key|status|total', o_orderkey || '|' || s || '|' || t FROM r WHERE rn = 1""",
+}
