@@ -22,9 +22,13 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+#: The same characters as a pattern class; spelled out, it is much cheaper than a Unicode-aware ``\\s``.
+SPACES = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def clean(c: Column) -> Column:
     """Collapse runs of white space to one blank and trim; null becomes the empty string."""
-    return F.coalesce(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(c, f"{SPACES}+", " ")), F.lit(""))
 
 
 def header_key(c: Column) -> Column:

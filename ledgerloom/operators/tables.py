@@ -111,7 +111,10 @@ def split_headers(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stitch(
-    heads: DataFrame, options: TableOptions = DEFAULTS, block_rows: int = BLOCK_ROWS
+    heads: DataFrame,
+    options: TableOptions = DEFAULTS,
+    block_rows: int = BLOCK_ROWS,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``table_no`` (1-based within the file) and the running ``table_header`` to each fragment.
 
@@ -121,13 +124,13 @@ def stitch(
     """
     if not options.stitch_across_pages:
         return (
-            OrderedRows.of(heads, ["file_id"], ["page", "table_on_page"], block_rows)
+            OrderedRows.of(heads, ["file_id"], ["page", "table_on_page"], block_rows, size_of)
             .number("table_no")
             .rows()
             .withColumns({"table_header": F.col("header"), "table_page": F.col("page")})
         )
     no_header = F.array().cast("array<string>")
-    seq = OrderedRows.of(heads, ["file_id"], ["page", "table_on_page"], block_rows).carry(
+    seq = OrderedRows.of(heads, ["file_id"], ["page", "table_on_page"], block_rows, size_of).carry(
         __width=previous(F.col("width"))
     )
     seq = seq.with_columns(
@@ -159,6 +162,7 @@ def merge_wrapped(
     keys: tuple[str, ...] = ("file_id",),
     order: tuple[str, ...] = ("page", "table_on_page", "row_no"),
     block_rows: int = BLOCK_ROWS,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Drop noise rows and repeated headers, then append wrapped rows to the row above.
 
@@ -172,7 +176,7 @@ def merge_wrapped(
     if options.drop_repeated_headers:
         kept = kept.filter(F.col("cells") != header)
     loose = (key == "") & ~F.exists("cells", lambda c: (c != "") & looks_numeric(c))
-    seq = OrderedRows.of(kept, keys, order, block_rows).carry(__table=previous(F.col("table_no")))
+    seq = OrderedRows.of(kept, keys, order, block_rows, size_of).carry(__table=previous(F.col("table_no")))
     first = F.col("__table").isNull() | (F.col("__table") != F.col("table_no"))
     seq = seq.with_columns(
         __first=first, __head=(first | ~loose) if options.merge_wrapped_rows else F.lit(True)
@@ -206,12 +210,13 @@ def logical_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """(tables: header, page and number per logical table; cells: repaired rows) of raw fragments."""
     heads, body = split_headers(sized_fragments(fragments, options))
-    placed = stitch(heads, options, block_rows)
+    # a file has no more tables and rows than fragment rows
+    placed = stitch(heads, options, block_rows, fragments)
     tables = placed.filter(F.col("page") == F.col("table_page")).groupBy("file_id", "table_no").agg(
         F.min_by("table_header", "table_on_page").alias("headers"), F.min("table_page").alias("page")
     )
     rows = attach(body, placed.select(*FRAGMENT, "table_no", "table_header"), FRAGMENT, "inner")
-    return tables, merge_wrapped(rows, options, block_rows=block_rows)
+    return tables, merge_wrapped(rows, options, block_rows=block_rows, size_of=fragments)
 
 
 def select_pages(pages: DataFrame, spec: str, page: str = "page", counts: DataFrame | None = None) -> DataFrame:

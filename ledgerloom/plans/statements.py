@@ -16,6 +16,7 @@ from ..operators.validate import (
     warning_table,
 )
 from ..sources.profiles import BankProfile, TableProfile, detect_profile as detect
+from ..session import write_once
 from .common import money2, printed, table, text
 
 BANK = BankProfile()
@@ -145,11 +146,21 @@ def statement_rows(lines, altered=False):
     return heads.unionByName(days).unionByName(items)
 
 
+_READ: dict = {}
+
+
 def _read(spark, sf_dir, altered=False):
-    lines = _lines(spark, sf_dir)
-    # a file has at most a dozen rows per line item, so line items per customer bound its size
-    sizes = lines.select(F.col("o_custkey").alias("file_id"), F.explode(F.array_repeat(F.lit(1), 12)).alias("x"))
-    return read_statements(statement_rows(lines, altered), BANK, ORDER, size_of=sizes)
+    """The statements of a folder; read once per application, as several queries report on them."""
+    key = (spark.sparkContext.applicationId, sf_dir, altered)
+    if key not in _READ:
+        _READ[key] = _read_new(spark, sf_dir, altered)
+    return _READ[key]
+
+
+def _read_new(spark, sf_dir, altered):
+    # statement rows are an input table; here they are rendered, so they are written first
+    rows = write_once(statement_rows(_lines(spark, sf_dir), altered), "statement_rows")
+    return read_statements(rows, BANK, ORDER)
 
 
 def statement_end_to_end(spark, sf_dir):
@@ -267,7 +278,8 @@ def _brokerage_rows(spark, sf_dir):
 
 
 def brokerage_end_to_end(spark, sf_dir):
-    t = read_transaction_tables(_brokerage_rows(spark, sf_dir), TableProfile(), ORDER).transactions
+    rows = write_once(_brokerage_rows(spark, sf_dir), "brokerage_rows")
+    t = read_transaction_tables(rows, TableProfile(), ORDER).transactions
     return t.select(
         "file_id", "account_number", "statement_period", "period_start_date", "period_end_date", "currency", "seq",
         "posting_date", "category", "action", "symbol", "description", text(F.col("amount")).alias("amount"), "dbcr",

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,6 +33,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a work table in the shared folder and read it back.
+
+    For a frame with many readers: each then scans only the columns it needs, and lost executors re-read
+    files instead of repeating the work. Work tables stay until the shared folder is cleaned.
+    """
+    path = f"{shared_dir(df.sparkSession)}/work/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input of few scan partitions over all cores before row-wise work.
+
+    A large input has at least as many scan partitions as cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Session settings the queries are written for.
+
+    Generated methods above 8,000 bytes are never compiled by the JVM; with this limit Spark splits such
+    projections into small functions instead. Expressions here are wide but cheap, so it matters.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def attach(
     big: DataFrame,
     side: DataFrame,

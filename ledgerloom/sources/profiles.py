@@ -37,7 +37,7 @@ class BankProfile:
         }
     )
     date_rule: str = rf"^(({MONTH_NAMES}) \d{{1,2}}, \d{{4}})$"
-    date_format: str = "%B %d, %Y"
+    date_format: str = "MMMM d, yyyy"
     # groups: bank, name before, account, currency, name after
     account_rule: str = r"^BANK:\s*(\S+)\s*(.*?)\s*ACCOUNT:\s*(\d+)\s*(?:([A-Z]{3})(?=\s|$))?\s*(.*)$"
     # groups: code, label, (two inner), amount
