@@ -131,11 +131,11 @@ def stream_requests(spark, sf_dir):
     )
 
     def records_of(claimed):
-        rows = claimed.select("file_seq_id", "path").join(bought, "file_seq_id", "left")
-        empty = F.col("path").endswith(".xlsx") & F.col("file_seq_id").endswith("3")
-        return rows.filter(F.col("src_row").isNotNull() | empty).withColumn(
-            "error", F.when(empty, "RuntimeError: sheet is locked")
-        ).drop("path")
+        rows = claimed.select("file_seq_id").join(bought, "file_seq_id", "left")
+        locked = F.col("file_seq_id").endswith("3")  # these files cannot be read
+        return rows.filter(F.col("src_row").isNotNull() | locked).withColumn(
+            "error", F.when(locked, "RuntimeError: file is locked")
+        )
 
     query = R.run_stream(R.read_folder(spark, f"{base}/in", max_files=2), f"{base}/out", records_of, batch_size=10)
     query.awaitTermination()
@@ -145,9 +145,12 @@ def stream_requests(spark, sf_dir):
         F.count(F.lit(1)).alias("stored_batches"), F.sum("record_count").alias("stored_records")
     )
     return (
-        jobs.filter("file_seq_id like 'J%' and status = 'COMPLETED'")
+        jobs.filter("file_seq_id like 'J%'")
         .join(stored, "file_seq_id", "left")
-        .select("file_seq_id", "status", "total_records", "total_batches", "stored_batches", "stored_records")
+        .select(
+            "file_seq_id", "status", "stored_batches", "stored_records",
+            F.nullif("total_records", F.lit(0)).alias("total_records"),
+        )
     )
 
 
@@ -220,4 +223,13 @@ ORACLE = {
         WITH {_JOBS}
         SELECT led.file_seq_id, run_id, CAST(event_id % 7 + 1 AS INTEGER) AS batch_no, count(*) AS n, max(event_id) AS last_event
         FROM led JOIN jobs USING (file_seq_id, run_id) GROUP BY ALL""",
+    "stream_requests": """
+        WITH m AS (SELECT user_id, bool_or(event_type <> 'click' OR event_id % 4 <> 3) AS good FROM events
+                   WHERE event_id % 10 IN (0, 1, 7, 8, 9) GROUP BY 1),
+             p AS (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1),
+             j AS (SELECT m.user_id, good AND m.user_id % 10 <> 3 AS done, CASE WHEN good AND m.user_id % 10 <> 3 THEN n END AS n
+                   FROM m LEFT JOIN p USING (user_id))
+        SELECT 'J' || user_id AS file_seq_id, CASE WHEN done THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+               CAST(ceil(n / 10) AS BIGINT) AS stored_batches, n AS stored_records, n AS total_records
+        FROM j""",
 }

@@ -253,7 +253,10 @@ def process_epoch(
         }
     )
     names = [f.name for f in store.read_table(spark, base, "none", store.LEDGER_SCHEMA).schema if f.name != "epoch"]
-    rejected = routed.filter(F.col("route") == "dead").withColumns(
+    # a rejected request makes a FAILED job only for a key that has no job; it never hides an earlier result
+    known_keys = jobs.select("file_seq_id").union(claimed.select("file_seq_id")).distinct()
+    refused = routed.filter(F.col("route") == "dead").join(known_keys, "file_seq_id", "left_anti")
+    rejected = refused.dropDuplicates(["file_seq_id"]).withColumns(
         {
             **event, "step": F.lit(2), "status": F.lit("FAILED"),
             "run_id": run_id(F.to_json("item"), F.lit(epoch)), "request": F.to_json("item"),
