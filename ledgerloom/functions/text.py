@@ -40,6 +40,11 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def local_path(path: Column) -> Column:
+    """``file:/x`` and ``file:///x`` as ``/x``; other schemes stay as they are."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def dirname(path: Column) -> Column:
     return F.regexp_replace(path, "/[^/]*$", "")
 

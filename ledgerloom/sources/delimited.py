@@ -7,11 +7,11 @@ are kept: the physical record (the header is record N) and the kept row (blank r
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions.text import quote_regex, strip
+from ..functions.text import local_path, quote_regex, strip
 from ..operators.ordered import OrderedRows, running
-from ..session import attach
+from ..session import BROADCAST_ROW_LIMIT, attach
 
 
 def delimiter_of(details_delimiter: Column, request_delimiter: Column) -> Column:
@@ -48,24 +48,31 @@ def split_line(line: Column, delimiter: Column) -> Column:
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """``path, block, line`` of text files; ``__id`` counts the lines of a scan task."""
     raw = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
+        local_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
     )
     return raw.withColumn("__id", F.monotonically_increasing_id())
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Add ``record`` (physical, 1-based), ``kept`` (non-blank, 1-based; null on blank lines) and ``latin1``.
+def number_lines(lines: DataFrame, requests: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Non-blank lines with ``record`` (physical, 1-based), ``kept`` (counting non-blank ones) and ``latin1``.
 
-    A file with any line that is not valid UTF-8 is read as Latin-1 as a whole; a leading byte order mark is
-    dropped.
+    Whether a line is blank depends on the delimiter of its file. With a request list small enough to
+    broadcast, scan order survives that join and lines are counted without a shuffle; with a larger one they
+    are counted per input block. A file with any line that is not valid UTF-8 is read as Latin-1 as a whole.
     """
-    blank = strip(F.regexp_replace("line", r'[,;|\t"]', "")) == ""
-    marked = lines.withColumn("__blank", blank)
-    # a running number that counts non-blank lines only: the id is taken after the filter
-    kept = marked.filter(~F.col("__blank")).withColumn("__kid", F.monotonically_increasing_id())
-    blocks = marked.groupBy("path", "block").agg(
+    asked = requests.select("path", "delimiter").distinct()
+    small = asked.limit(row_limit + 1).count() <= row_limit
+    known = lines.join(F.broadcast(asked) if small else asked, "path")
+    quotes = F.concat(F.lit("["), quote_regex(F.col("delimiter")), F.lit('"]'))
+    marked = known.withColumn("__blank", strip(F.regexp_replace("line", quotes, F.lit(""))) == "")
+    kept = marked.filter(~F.col("__blank"))
+    if small:
+        kept = kept.withColumn("__kid", F.monotonically_increasing_id())
+    else:
+        kept = kept.withColumn("__kid", F.row_number().over(Window.partitionBy("path", "block").orderBy("__id")))
+    blocks = lines.groupBy("path", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min("__id").alias("first_id"), F.max(~F.is_valid_utf8("line")).alias("bad")
     )
     kept_blocks = kept.groupBy("path", "block").agg(
@@ -99,12 +106,13 @@ def scan_delimited(spark: SparkSession, requests: DataFrame, paths) -> tuple[Dat
     The header is physical record ``headers_row``; records above it and blank rows are dropped. ``src_row`` is
     ``headers_row + i`` for the i-th kept row below the header.
     """
-    numbered = attach(number_lines(read_lines(spark, paths)), requests, ["path"], "inner")
+    requests = requests.withColumn("path", local_path(F.col("path")))
+    numbered = attach(number_lines(read_lines(spark, paths), requests), requests, ["path"], "inner")
     at = F.col("headers_row")
     parts = numbered.withColumn(
         "cells",
         split_line(
-            F.when(F.col("record") == 1, F.regexp_replace("line", "^﻿", "")).otherwise(F.col("line")),
+            F.when(F.col("record") == 1, F.regexp_replace("line", "^\\ufeff", "")).otherwise(F.col("line")),
             F.col("delimiter"),
         ),
     )
@@ -119,7 +127,7 @@ def scan_delimited(spark: SparkSession, requests: DataFrame, paths) -> tuple[Dat
     )
     tables = heads.filter(F.col("__head").isNotNull()).select(
         "file_seq_id", "file_ord", F.lit(0).alias("table_no"), "path",
-        split_line(F.regexp_replace("__head.line", "^﻿", ""), F.col("delimiter")).alias("headers"),
+        split_line(F.regexp_replace("__head.line", "^\\ufeff", ""), F.col("delimiter")).alias("headers"),
         (at + 1).cast("bigint").alias("first_row_no"), "__above",
     )
     body = attach(
