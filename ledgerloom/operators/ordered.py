@@ -149,8 +149,8 @@ class OrderedRows:
         if any(c.kind in ("prev", "next") for c in carries.values()):
             joined = joined.withColumns(
                 {
-                    "__first": F.row_number().over(edge) == 1,
-                    "__last": F.lead(F.lit(1)).over(edge).isNull(),
+                    "__edge_first": F.row_number().over(edge) == 1,
+                    "__edge_last": F.lead(F.lit(1)).over(edge).isNull(),
                 }
             )
         final = {}
@@ -166,11 +166,11 @@ class OrderedRows:
                     mine.isNotNull() | seed.isNotNull(), F.coalesce(mine, F.lit(0)) + F.coalesce(seed, F.lit(0))
                 )
             elif c.kind == "prev":
-                final[n] = F.when(F.col("__first"), seed["v"]).otherwise(mine)
+                final[n] = F.when(F.col("__edge_first"), seed["v"]).otherwise(mine)
             else:
-                final[n] = F.when(F.col("__last"), seed["v"]).otherwise(mine)
+                final[n] = F.when(F.col("__edge_last"), seed["v"]).otherwise(mine)
         done = joined.withColumns(final)
-        scratch = [x for x in done.columns if x.startswith(("__in_", "__seed_")) or x in ("__first", "__last")]
+        scratch = [x for x in done.columns if x.startswith(("__in_", "__seed_", "__edge_"))]
         return replace(self, df=cut(done.drop(*scratch)))
 
     def number(self, name: str) -> "OrderedRows":

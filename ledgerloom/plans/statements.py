@@ -146,6 +146,12 @@ def statement_rows(lines, altered=False):
     return heads.unionByName(days).unionByName(items)
 
 
+def _placed(rows, label):
+    """Rendered rows as the input table of a parser: a row number on each page instead of the rendering order."""
+    numbered = OrderedRows.of(rows, ["file_id", "page"], ORDER[1:]).number("n").rows()
+    return write_once(numbered.select("file_id", "page", F.col("n").alias("row_no"), "words"), label)
+
+
 _READ: dict = {}
 
 
@@ -159,8 +165,7 @@ def _read(spark, sf_dir, altered=False):
 
 def _read_new(spark, sf_dir, altered):
     # statement rows are an input table; here they are rendered, so they are written first
-    rows = write_once(statement_rows(_lines(spark, sf_dir), altered), "statement_rows")
-    return read_statements(rows, BANK, ORDER)
+    return read_statements(_placed(statement_rows(_lines(spark, sf_dir), altered), "statement_rows"), BANK)
 
 
 def statement_end_to_end(spark, sf_dir):
@@ -200,7 +205,7 @@ def unparsed_report(spark, sf_dir):
         "file_id", F.lit("validation").alias("kind"), F.lit(0).cast("bigint").alias("rank"),
         F.concat(F.lit("VALIDATION: "), "detail").alias("detail"),
     )
-    report = report_of(s.unparsed, ORDER)
+    report = report_of(s.unparsed)
     return warning_table(report.limit(0), failed.unionByName(report)).select("file_id", "kind", "rank", "detail", "source_ord")
 
 
@@ -278,8 +283,8 @@ def _brokerage_rows(spark, sf_dir):
 
 
 def brokerage_end_to_end(spark, sf_dir):
-    rows = write_once(_brokerage_rows(spark, sf_dir), "brokerage_rows")
-    t = read_transaction_tables(rows, TableProfile(), ORDER).transactions
+    rows = _placed(_brokerage_rows(spark, sf_dir), "brokerage_rows")
+    t = read_transaction_tables(rows, TableProfile()).transactions
     return t.select(
         "file_id", "account_number", "statement_period", "period_start_date", "period_end_date", "currency", "seq",
         "posting_date", "category", "action", "symbol", "description", text(F.col("amount")).alias("amount"), "dbcr",
