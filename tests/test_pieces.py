@@ -205,7 +205,7 @@ def test_replay_changes_nothing(spark, tmp_path):
 
     def records_of(claimed):
         return claimed.select("file_seq_id", F.lit(0).alias("file_ord"), F.lit(0).alias("table_no"),
-                              F.explode(F.sequence(F.lit(2), F.lit(6))).cast("bigint").alias("src_row")).withColumns(
+                              F.explode(F.sequence(F.lit(2).cast("bigint"), F.lit(6).cast("bigint"))).alias("src_row")).withColumns(
             {"record": F.lit("{}"), "error": F.lit(None).cast("string")})
 
     def state():
