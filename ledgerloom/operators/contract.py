@@ -172,7 +172,7 @@ def unmapped_headers(mapped: DataFrame, limit: int = 20) -> DataFrame:
 def resolve_options(requests: DataFrame, defaults: DataFrame, keys: list[str], options: list[str]) -> DataFrame:
     """Per-request options over the configured ones: the request's value wins, field by field."""
     base = defaults.select(*keys, *(F.col(o).alias(f"__{o}") for o in options))
-    joined = attach(requests, base, keys) if keys else requests.crossJoin(F.broadcast(base.limit(1)))
+    joined = attach(requests, base, keys)
     return joined.withColumns({o: F.coalesce(F.col(o), F.col(f"__{o}")) for o in options}).drop(
         *(f"__{o}" for o in options)
     )

@@ -23,7 +23,7 @@ def _messages(spark, sf_dir):
         return F.concat(F.lit(f'"{key}":"'), value, F.lit('"'))
 
     ending = F.when(F.col("event_type") == "click", ".PDF").when(F.col("event_type") == "view", ".xlsx").otherwise(".csv")
-    path = F.concat(F.lit("/blocdata/u"), text(F.col("user_id")), ending)
+    path = F.concat(F.lit("/inbox/u"), text(F.col("user_id")), ending)
     template = F.when(F.col("event_id") % 4 == 0, " schwab ").when(F.col("event_id") % 4 == 1, "").when(
         F.col("event_id") % 4 == 2, "NT"
     ).otherwise("HSBC")
@@ -165,7 +165,7 @@ QUERIES = {
 }
 
 _KEY = "'J' || user_id"
-_PATH = """'/blocdata/u' || user_id || CASE event_type WHEN 'click' THEN '.PDF' WHEN 'view' THEN '.xlsx' ELSE '.csv' END"""
+_PATH = """'/inbox/u' || user_id || CASE event_type WHEN 'click' THEN '.PDF' WHEN 'view' THEN '.xlsx' ELSE '.csv' END"""
 _ITEMS = f"""
     i AS (SELECT event_id AS "offset", 0 AS item_no, event_id % 10 AS kind, *, event_type = 'click' OR event_id % 10 = 5 AS pdf,
                  {_PATH} AS path FROM events WHERE event_id % 10 NOT IN (2, 3, 4, 6))"""
