@@ -230,3 +230,12 @@ def test_record_files(spark, tmp_path):
     df = spark.createDataFrame([("A", "secret", 2, None)], "file_seq_id string, batch_id string, _row int, x string")
     store.write_record_files(df, ["file_seq_id"], str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).first().value == '{"_row":2,"x":null}'
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    from ledgerloom.sources.delimited import read_multiline
+
+    path = tmp_path / "multi.csv"
+    path.write_text('a,"two\nlines",""""\n , ,\nb,c,d\n')
+    got = sorted(r.cells for r in read_multiline(spark, str(path), columns=3).collect())
+    assert got == [["a", "two\nlines", '"'], ["b", "c", "d"]]
