@@ -13,12 +13,15 @@ BROADCAST_ROW_LIMIT = 200_000
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and work tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; a scratch folder is made only when that is unset,
-    which is the local and test case.
+    A cluster names it in ``spark.checkpoint.dir``. A scratch folder is made only where that is unset and the
+    session is a local one, as in tests; on a cluster an unset folder is an error, since a folder of one machine
+    is of no use to the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="ledgerloom-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
