@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts
+from . import block_names, packing, token_counts
 from .common import table
 
 
@@ -16,5 +16,22 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_token_counts)}
-ORACLE: dict[str, str] = {}
+def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.exact_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_token_counts, op8_block_names)}
+
+#: Texts are equal when they are after replacing each run of white space by one space.
+_OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+), g AS (
+  SELECT doc_id, sha256(body) AS text_sha256, min(doc_id) OVER (PARTITION BY body) AS keep_id,
+         count(*) OVER (PARTITION BY body) AS group_size
+  FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+ORACLE: dict[str, str] = {"op8_block_names": _OP8_SQL}
