@@ -2,12 +2,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, packing, token_counts
+from . import block_names, decontaminate, packing, token_counts
 from .common import table
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -20,7 +28,7 @@ def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op6_token_counts, op8_block_names)}
+QUERIES = {f.__name__: f for f in (op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
