@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, packing, token_counts
+from . import block_names, decontaminate, packing, simhash, token_counts
 from .common import table
 
 
@@ -28,7 +28,11 @@ def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names)}
+def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
