@@ -4,14 +4,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, packing, repeats, simhash, token_counts
-from .common import table
+from . import block_names, decontaminate, language, packing, repeats, simhash, token_counts
+from .common import crc_part, table
 
 
 def op2_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_spans")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_part(F.col("doc_id"), 3) == 1
+    model = language.train(docs, ~held_out)
+    return language.predict(docs, model).withColumn("held_out", held_out)
+
+
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -36,7 +43,7 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash)}
+QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
