@@ -77,7 +77,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block
     single = rows.select("n", "head", "key", digest, *extra).join(heads, ["n", "head"], "left_anti").select(
         "*", F.col("key").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     # rows get numbers where they are written, so that the numbers stay
-    shared = rows.join(heads, ["n", "head"], "left_semi").withColumn("row", F.monotonically_increasing_id())
+    shared = rows.hint("merge").join(heads, ["n", "head"], "left_semi").withColumn("row", F.monotonically_increasing_id())
     shared = work_table(shared.select("row", "n", "body", "key", digest, *extra), "shared")
     named = work_table(identities(shared, block).join(shared.select("row", "key"), "row"), "identities")
     order = F.struct(F.col("key").isNull(), F.col("key"), F.col("row"))
