@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, language, packing, repeats, simhash, token_counts
+from . import block_names, decontaminate, language, packing, repeats, simhash, token_counts, toxicity
 from .common import crc_part, table
 
 
@@ -43,7 +43,13 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash)}
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_part(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
+QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash, op10_compression_toxicity)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
