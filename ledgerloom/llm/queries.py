@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, language, packing, repeats, simhash, token_counts, toxicity
+from . import block_names, decontaminate, language, packing, repeats, secrets, simhash, token_counts, toxicity
 from .common import crc_part, table
 
 
@@ -35,6 +35,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def text(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", number("assign"), number("access"), number("hex"),
+                        F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
 def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -49,7 +62,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", held_out)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op8_block_names, op9_golay_simhash, op10_compression_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op7_guess_cost_secrets, op8_block_names, op9_golay_simhash, op10_compression_toxicity)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
