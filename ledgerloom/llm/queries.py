@@ -4,10 +4,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, language, packing, repeats, secrets, simhash, token_counts, toxicity
+from . import block_names, decontaminate, html_text, language, packing, repeats, secrets, simhash, token_counts, toxicity
 from .common import crc_part, table
 
 
+def op1_text_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_spans")
 
@@ -62,7 +66,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", held_out)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op7_guess_cost_secrets, op8_block_names, op9_golay_simhash, op10_compression_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_text_tag_ratio, op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op7_guess_cost_secrets, op8_block_names, op9_golay_simhash, op10_compression_toxicity)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
