@@ -29,8 +29,9 @@ from .components import components
 #: Words of a shingle, and bits in which linked fingerprints may differ.
 SHINGLE, BITS = 4, 4
 #: Rows before it that a row of a key is verified against at once.
-NEAR_ROWS = 32
-#: Rounds that tie the rows of a large key to one of them, before its components are compared pair by pair.
+NEAR_ROWS = 256
+#: Rounds, at most, that tie the rows of large keys to one of them before components are compared pair by pair. The
+#: rounds end as soon as a row has no more than ``NEAR_ROWS`` others to be compared with on average.
 TIES = 3
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -201,28 +202,35 @@ def print_components(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """(node, root) of the distinct fingerprints ``prints``(print) that link to another one."""
     rows = _keyed(prints).repartitionByRange("link", "print").sortWithinPartitions("link", "print")
     found = work_table(map_batches(rows, _near_links(bits, NEAR_ROWS), "link long, a long, b long"), "near-links")
-    links = found.filter("b is not null").select("a", "b")
-    roots = work_table(components(links), "roots")
+    roots = work_table(components(found.filter("b is not null").select("a", "b")), "roots")
     # rows of long or cut keys: every row of such a key is here, or was verified against all rows of the key before it
     open_rows = found.filter("b is null").select("link", F.col("a").alias("print")).distinct()
-    apart = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
     for tie in range(TIES + 1):
         known = open_rows.join(roots, F.col("print") == F.col("node"), "left").select("link", "print", F.coalesce("root", "print").alias("root"))
-        known = work_table(known, "open")
-        mixed = known.groupBy("link").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+        mixed = known.groupBy("link").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
                                           F.min_by("print", F.xxhash64("print", F.lit(tie))).alias("pivot")).filter("low <> high")
-        known = work_table(known.join(work_table(mixed.select("link", "pivot"), "mixed"), "link"), "open")
-        if known.isEmpty():
+        mixed = work_table(mixed.select("link", "size", "pivot"), "mixed")
+        size = mixed.agg(F.sum("size").alias("rows"), F.sum(F.col("size") * F.col("size")).alias("pairs")).first()
+        if not size["rows"]:
             break
-        if tie < TIES:
-            new = known.filter((F.col("print") != F.col("pivot")) & (apart("print", "pivot") <= bits)).select(F.col("print").alias("a"), F.col("pivot").alias("b"))
+        known = work_table(known.join(mixed, "link"), "open")
+        last = tie == TIES or size["pairs"] <= NEAR_ROWS * size["rows"]
+        x = known.select("link", F.col("print").alias("x"), F.col("root").alias("a"))
+        if last:
+            y = known.select("link", F.col("print").alias("y"), F.col("root").alias("b"))
+            pairs = x.join(y, "link").filter("a < b")
         else:
-            x, y = (known.select("link", F.col("print").alias(p), F.col("root").alias(f"{p}_root")) for p in "ab")
-            new = x.join(y, "link").filter("a_root < b_root").filter(apart("a", "b") <= bits).select("a", "b").distinct()
-        new = work_table(new, "new-links")
-        if not new.isEmpty():
-            links = work_table(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new), "links")
-            roots = work_table(components(links), "roots")
+            y = known.filter("print = pivot").select("link", F.col("print").alias("y"), F.col("root").alias("b"))
+            pairs = x.join(y, "link").filter("a <> b")
+        new = pairs.filter(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits).select("a", "b")
+        new = work_table(new.distinct(), "new-links")
+        if not new.isEmpty():  # components of components
+            merged = work_table(components(new), "merged")
+            renamed = merged.select(F.col("node").alias("root"), F.col("root").alias("new"))
+            roots = roots.join(renamed, "root", "left").select("node", F.coalesce("new", "root").alias("root")).unionByName(merged)
+            roots = work_table(roots.distinct(), "roots")
+        if last:
+            break
         open_rows = known.select("link", "print")
     return roots
 
@@ -240,8 +248,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     least = work_table(rows.groupBy("print").agg(F.min("key").alias("least")), "distinct-prints")
     roots = print_components(least.select("print"), bits)
     rooted = least.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    rooted = work_table(rooted, "rooted")
-    groups = work_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    decided = work_table(rooted.join(groups, "root").select("print", "component_id"), "decided")
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    decided = rooted.join(groups, "root").select("print", "component_id")
     return rows.join(decided, "print").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *(["input"] if carry else []))
