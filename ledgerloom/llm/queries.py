@@ -23,14 +23,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).withColumn("held_out", held_out)
 
 
-def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+def op4_digest(marked: DataFrame) -> DataFrame:
     return marked.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_digest(decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -39,9 +42,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def op7_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
-
+def op7_digest(found: DataFrame) -> DataFrame:
     def text(spans):
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
@@ -52,6 +53,10 @@ def op7_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
 
 
+def op7_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(table(spark, sf_dir, "documents"))
 

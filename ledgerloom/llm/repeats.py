@@ -28,7 +28,7 @@ from .common import map_batches, pick, work_table
 #: Words of a window and of the prefixes that name parts.
 WINDOW, PREFIX = 35, 8
 #: Different stretches of a part that are held in memory together.
-PART_STRETCHES = 4096
+PART_STRETCHES = 1024
 #: Words that are cut into stretches at once, in a longer text with an overlap.
 CHUNK_WORDS = 1 << 19
 #: Word hashes kept by one worker; beyond, the memo starts anew.

@@ -143,7 +143,7 @@ def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = {w[:k] for w in found for k in BEGINNINGS if len(w) >= k}
             grams = [*found, *starts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams, pa.string()), pa.array([True] * len(found) + [False] * len(starts)), pa.array([toxic] * len(grams), pa.int32())], ["gram", "whole", "toxic"])
+                [pa.array(grams, pa.string()), pa.array([True] * len(found) + [False] * len(starts), pa.bool_()), pa.array([toxic] * len(grams), pa.int32())], ["gram", "whole", "toxic"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:

@@ -1,0 +1,185 @@
+"""Operators with an exact plain version, over the smallest tables and over odd texts."""
+import pytest
+
+import plain
+from cases import SF, got, want
+from ledgerloom.llm import block_names, decontaminate, packing, queries, repeats, secrets, simhash, token_counts, tokens
+
+PATH = plain.public_tokenizers.path("byte_bpe_50k.json")
+BOTH = pytest.mark.parametrize("which", ["documents", "odd", "none"])
+
+
+@pytest.fixture
+def case(which, request):
+    rows = [] if which == "none" else request.getfixturevalue({"documents": "document_rows", "odd": "odd_rows"}[which])
+    return request.getfixturevalue(which), rows
+
+
+@BOTH
+def test_repeats(case):
+    docs, rows = case
+    assert got(repeats.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == want(plain.repeats(rows))
+
+
+def test_repeats_of_large_parts_and_long_texts(odd, odd_rows, monkeypatch):
+    monkeypatch.setattr(repeats, "PART_STRETCHES", 1)
+    monkeypatch.setattr(repeats, "CHUNK_WORDS", 200)
+    assert got(repeats.remove_repeats(odd, window=12, prefix=4), "doc_id", "n_words", "n_removed", "kept_sha256") == want(plain.repeats(odd_rows, 12))
+
+
+def test_chunks_cover_every_window_once():
+    lengths = [0, 5, repeats.CHUNK_WORDS * 2 + 7, 3]
+    seen = [0] * 4
+    for chunk in repeats._chunks(lengths, 35):
+        for i, a, b in chunk:
+            seen[i] += max(0, b - a - 34)
+    assert seen == [max(0, n - 34) for n in lengths]
+
+
+@BOTH
+def test_decontamination(case, spark):
+    docs, rows = case
+    items = [(1, "one two"), (2, plain_passage()), (3, None), (None, "a"), (4, ""), (5, "a"), (6, "!!"), (2, plain_passage()), (7, "ICH WEISS die Straße"), (8, "the quick brown fox jumps over the lazy dog the quick")]
+    items += [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    expected = want(plain.contaminated(rows, items))
+    for limit in (decontaminate.BLOCK_BYTES, 2000):  # at once, and in blocks
+        found = queries.op4_digest(decontaminate.mark(docs, table, limit=limit))
+        assert got(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected
+
+
+def plain_passage():
+    from cases import PASSAGE
+
+    return "x " + PASSAGE
+
+
+def test_longest_matches(spark):
+    docs = spark.createDataFrame([(1, "q " + plain_passage() + " r"), (2, "nothing")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, plain_passage())], "item_id long, text string")
+    found = [tuple(r) for r in decontaminate.longest_matches(docs, items).collect()]
+    assert found == [(1, 1, "9", 0, 61)]
+
+
+def test_no_items(documents, spark):
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.mark(documents, empty).filter("n_hit > 0").isEmpty()
+
+
+@BOTH
+def test_packing(case):
+    docs, rows = case
+    found = packing.pack(docs, PATH).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=repr) == want(plain.pieces(rows))
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for some in sequences.values():
+        at = 0
+        for offset, length in sorted(some):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    least = -(-sum(r["length"] for r in found) // 1024)
+    assert len(sequences) <= least * 1.02 + 2
+
+
+@BOTH
+def test_token_counts(case):
+    docs, rows = case
+    expected = [(d, len((t or "").encode()), n := len(plain.ids(t)), n > 512) for d, t in rows]
+    assert got(token_counts.token_counts(docs, PATH), "doc_id", "n_bytes", "n_tokens", "over_limit") == want(expected)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_of_other_tokenizers(name, odd_rows, monkeypatch):
+    path = plain.public_tokenizers.path(name)
+    texts = [t or "" for _, t in odd_rows]
+    if name.endswith(".model"):
+        import sentencepiece
+
+        expected = [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(texts, num_threads=1)]
+    else:
+        expected = [len(plain.Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    assert tokens.counts(path, texts) == expected
+    monkeypatch.setattr(tokens, "safe_parts", lambda text, size=50, f=tokens.safe_parts: f(text, 50))
+    assert tokens.counts(path, texts) == expected
+
+
+@BOTH
+def test_exact_groups(case):
+    docs, rows = case
+    for block in (block_names.BLOCK, 7):
+        found = block_names.exact_groups(docs, block=block, carry=docs.columns)
+        assert got(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want(plain.copies(rows))
+    assert found.select("input.*").columns == docs.columns
+
+
+@BOTH
+def test_near_groups(case):
+    docs, rows = case
+    assert got(simhash.near_groups(docs), "doc_id", "fingerprint", "component_id") == want(plain.near(rows))
+
+
+@pytest.mark.parametrize("near", [1, 2, 256])
+def test_components_of_crowded_fingerprints(spark, near, monkeypatch):
+    """Crowded keys, cut by partitions, of fingerprints that link in chains."""
+    import random
+
+    monkeypatch.setattr(simhash, "NEAR_ROWS", near)
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    prints = {0, 3, 1 << 63}
+    for b in base:
+        x = b
+        for _ in range(40):
+            for _ in range(rng.randint(1, 5)):
+                x ^= 1 << rng.randrange(64)
+            prints.add(x)
+            prints.add(b ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    roots = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in simhash.print_components(spark.createDataFrame(signed, "print long")).collect()}
+    of = plain.linked(prints)
+    for p in prints:
+        for q in prints:
+            assert (of[p] == of[q]) == (roots.get(p, p) == roots.get(q, q))
+
+
+def test_golay_keys_find_every_link():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2**64, 2000, dtype=np.uint64)
+    y = x.copy()
+    for i in range(len(y)):
+        places = rng.choice(64, 4, replace=False) if i % 2 else [16 * s + int(rng.integers(16)) for s in range(4)]
+        for b in places[: int(rng.integers(1, 5)) if i % 4 else 4]:
+            y[i] ^= np.uint64(1) << np.uint64(b)
+    (rx, kx), (ry, ky) = simhash.link_keys(x), simhash.link_keys(y)
+    shared = set(zip(rx.tolist(), kx.tolist())) & set(zip(ry.tolist(), ky.tolist()))
+    assert {i for i, _ in shared} == set(range(len(x)))
+
+
+@BOTH
+def test_secrets(case):
+    docs, rows = case
+    found = queries.op7_digest(secrets.scan(docs)).collect()
+    expected = []
+    for d, t in rows:
+        base = plain.secrets(t)
+        names = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        expected.append((d, *(sum(s[1] == k for s in base) for k in range(3)), plain.sha(names)))
+    assert sorted((tuple(r)[:5] for r in found), key=repr) == want(expected)
+    for r in found:  # base spans stay
+        assert plain.sha(",".join(s for s in r["spans"].split(",") if s and not s.startswith("guess"))) == r["base_sha256"]
+
+
+def test_guess_costs():
+    cost = secrets.guess_cost
+    assert cost("password") < cost("P4ssword1") < cost("xK9#qLw2!z")
+    assert cost("qwertyuiop") < 5 and cost("abcabcabcabc") < 6 and cost("24.12.1999") < 7 and cost("aaaaaaaaaaaaaaaa") < 4
+    assert cost("04dbebab91ab85687d33eeaaf9ac699e1188f962") > 40
+    text = "pwd = 8fJ2-kQ91!xZ and password = password1 and url postgres://me:q8Zr!kV2mx@host/db"
+    spans = {text[a:b] for a, _, b in secrets.guess_spans(text)}
+    assert spans == {"8fJ2-kQ91!xZ", "q8Zr!kV2mx"}
+    assert "".join(part for _, part, _ in secrets.segments("monkey2019qwerty!!")) == "monkey2019qwerty!!"
