@@ -1,15 +1,15 @@
 """Numbered fixed-size batches over all tables and files of a request.
 
-The number of a record is (records in earlier tables of the request) + (its offset inside its table).
-Source row numbers are dense within a table, so the offset is a subtraction and only one slim row per
-table is scanned in order: records are shuffled once, by ``(file_seq_id, batch_no)``, and a hot request
-spreads over as many tasks as it has batches. Tables whose row numbers have gaps are counted instead.
+The number of a record is (records in earlier tables of the request) + (its place inside its table). Places are
+counted in source order, whatever the source row numbers are; one slim row per table is scanned for the offsets.
+Records are written once, since sizes, places and rows all read them, and a hot request spreads over as many
+tasks as it has batches.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import attach
+from ..session import write_once
 from .ordered import OrderedRows, running
 
 TABLE_KEY = ["file_seq_id", "file_ord", "table_no"]
@@ -17,24 +17,17 @@ TABLE_KEY = ["file_seq_id", "file_ord", "table_no"]
 
 def number_records(records: DataFrame) -> DataFrame:
     """Add ``n``: 0-based number of the record within its request."""
-    tables = records.groupBy(*TABLE_KEY).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min("src_row").alias("__first"), F.max("src_row").alias("__last")
-    )
-    gaps = tables.filter(F.col("__rows") != F.col("__last") - F.col("__first") + 1)
+    records = write_once(records, "records")
+    tables = records.groupBy(*TABLE_KEY).agg(F.count(F.lit(1)).alias("__rows"))
     offsets = (
         OrderedRows.of(tables, ["file_seq_id"], ["file_ord", "table_no"])
         .carry(__before=running(F.col("__rows"), inclusive=False))
         .rows()
-        .select(*TABLE_KEY, "__first", F.coalesce("__before", F.lit(0)).alias("__before"))
+        .select(*TABLE_KEY, F.coalesce("__before", F.lit(0)).alias("__before"))
     )
-    if gaps.isEmpty():
-        placed = attach(records, offsets, TABLE_KEY, "inner")
-        return placed.withColumn("n", F.col("__before") + F.col("src_row") - F.col("__first")).drop(
-            "__before", "__first"
-        )
     counted = OrderedRows.of(records, TABLE_KEY, ["src_row"]).number("__i").rows()
-    placed = attach(counted, offsets, TABLE_KEY, "inner")
-    return placed.withColumn("n", F.col("__before") + F.col("__i") - 1).drop("__before", "__first", "__i")
+    placed = counted.join(offsets, TABLE_KEY)
+    return placed.withColumn("n", F.col("__before") + F.col("__i") - 1).drop("__before", "__i")
 
 
 def with_batch_no(records: DataFrame, size: int | str = 1000) -> DataFrame:
@@ -79,7 +72,7 @@ def build_batches(
     finals = tables.groupBy("file_seq_id").agg(
         F.max(F.struct("file_ord", "table_no")).alias("__final")
     )
-    flushed = attach(batches, finals, ["file_seq_id"])
+    flushed = batches.join(finals, ["file_seq_id"], "left")
     partial = F.col("record_count") < F.col("__size")
     flushed = flushed.withColumns(
         {
@@ -87,7 +80,7 @@ def build_batches(
             "table_no": F.when(partial, F.col("__final.table_no")).otherwise(F.col("__at.table_no")),
         }
     )
-    meta = attach(flushed, tables.select(*TABLE_KEY, "meta"), TABLE_KEY)
+    meta = flushed.join(tables.select(*TABLE_KEY, "meta"), TABLE_KEY, "left")
     return meta.withColumn(
         "meta",
         F.map_concat(

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import header_key
-from ..session import attach
 
 DETAILS_TYPE = "array<struct<columnName:string,columnType:string>>"
 POSITIONS_TYPE = "array<struct<source_column:string,source_display_column:string,field_type:string>>"
@@ -78,7 +77,7 @@ def _target(aliases: Column, header: Column, pos: Column) -> Column:
 
 def map_headers(tables: DataFrame, contracts: DataFrame) -> DataFrame:
     """Add ``mapping`` to each table (columns of ``tables`` plus the looked-up contract)."""
-    joined = attach(tables, with_lookup(contracts), ["file_seq_id"])
+    joined = tables.join(with_lookup(contracts), ["file_seq_id"], "left")
     by_position = (F.col("fetch_by_name") == F.lit(False)) | F.coalesce(F.col("by_column_number"), F.lit(False))
 
     def positional(pos):
@@ -150,21 +149,16 @@ def contract_drift(contracts: DataFrame) -> DataFrame:
     )
 
 
-def unmapped_headers(mapped: DataFrame, limit: int = 20) -> DataFrame:
-    """One warning per table with headers that no alias knows (also in position mode), listing 20 at most."""
-    unknown = F.transform(F.filter("mapping", lambda m: ~m["mapped"]), lambda m: m["header"])
-    quoted = F.transform(
-        F.slice(unknown, 1, limit),
-        lambda h: F.coalesce(F.concat(F.lit("'"), h, F.lit("'")), F.lit("None")),
-    )
+def unmapped_headers(mapped: DataFrame) -> DataFrame:
+    """One warning for each header of a table that no alias knows (also in position mode)."""
+    unknown = F.filter("mapping", lambda m: ~m["mapped"])
     return (
-        mapped.filter((F.size("aliases") > 0) & F.exists("mapping", lambda m: ~m["mapped"]))
+        mapped.filter(F.size("aliases") > 0)
+        .select("file_seq_id", F.explode(unknown).alias("m"))
         .select(
             "file_seq_id",
             F.lit("unmapped_headers").alias("kind"),
-            F.concat(
-                F.lit("unmapped source headers kept as-is: ["), F.array_join(quoted, ", "), F.lit("]")
-            ).alias("detail"),
+            F.concat(F.lit("no column of the contract for header '"), F.coalesce("m.header", F.lit("")), F.lit("'")).alias("detail"),
         )
     )
 
@@ -172,7 +166,7 @@ def unmapped_headers(mapped: DataFrame, limit: int = 20) -> DataFrame:
 def resolve_options(requests: DataFrame, defaults: DataFrame, keys: list[str], options: list[str]) -> DataFrame:
     """Per-request options over the configured ones: the request's value wins, field by field."""
     base = defaults.select(*keys, *(F.col(o).alias(f"__{o}") for o in options))
-    joined = attach(requests, base, keys)
+    joined = requests.join(base, keys, "left")
     return joined.withColumns({o: F.coalesce(F.col(o), F.col(f"__{o}")) for o in options}).drop(
         *(f"__{o}" for o in options)
     )

@@ -5,12 +5,12 @@ file. A plain window per file does that with one exchange and one sort, but puts
 :class:`OrderedRows` therefore looks at the sizes first:
 
 * groups of ordinary size: plain windows partitioned by the group;
-* a group above ``block_rows`` is split into blocks of about that many rows by quantiles of its leading
-  order column. Windows run per block, each block is reduced to one summary row, the summaries (one row
-  per block) are scanned, and what a block inherits from the blocks before it is joined back. Each pass
-  is checkpointed, so that passes do not multiply.
+* a group above ``block_rows`` is set apart and split into blocks of about that many rows at evenly spaced
+  places of its whole order tuple. Windows run per block, each block is reduced to one summary row, the
+  summaries (one row per block) are scanned, and what a block inherits from the blocks before it is joined
+  back. Only the rows of such groups are checkpointed, so that passes do not multiply.
 
-Both ways give the same columns; only groups that are too large are split.
+Both ways give the same columns; a large group changes nothing for the others.
 """
 from __future__ import annotations
 
@@ -18,9 +18,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import BROADCAST_ROW_LIMIT, attach, cut
+from ..session import cut
 
 BLOCK_ROWS = 1_000_000
+#: Order tuples looked at for each block of a large group.
+SAMPLED = 64
 _BLOCK = "__blk"
 
 
@@ -60,10 +62,16 @@ def following(value: Column) -> Carry:
 
 @dataclass(frozen=True)
 class OrderedRows:
+    """``df`` holds the groups of ordinary size, ``hot`` the rows of large groups with their block, if there are any."""
+
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    split: bool = False
+    hot: DataFrame | None = None
+
+    @property
+    def split(self) -> bool:
+        return self.hot is not None
 
     @staticmethod
     def of(
@@ -75,40 +83,44 @@ class OrderedRows:
         """
         keys, order = tuple(keys), tuple(order)
         sizes = (df if size_of is None else size_of).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot = sizes.filter(F.col("__n") > block_rows)
-        if hot.isEmpty():
+        large = sizes.filter(F.col("__n") > block_rows)
+        if large.isEmpty():
             return OrderedRows(df, keys, order)
-        # Cut points of the large groups only, at most (rows / block_rows) of them in all. They are
-        # written once, because a recomputed quantile sketch could differ between two evaluations.
-        parts = hot.agg(F.max("__n")).first()[0] // block_rows + 1
-        steps = [i / (parts + 1) for i in range(1, parts + 1)]
-        bounds = cut(
-            attach(df.select(*keys, order[0]), hot, list(keys), "left_semi")
-            .groupBy(*keys)
-            .agg(F.percentile_approx(order[0], steps, 10_000).alias("__bounds"))
-        )
-        placed = attach(df, bounds, list(keys), row_limit=BROADCAST_ROW_LIMIT // 100)
-        block = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col(order[0]))), F.lit(0))
-        blocked = placed.withColumn(
-            _BLOCK, F.when(F.col("__bounds").isNotNull(), block).otherwise(F.lit(0))
-        ).drop("__bounds")
-        return OrderedRows(cut(blocked), keys, order, split=True)
+        large = cut(large.withColumn("__parts", F.floor(F.col("__n") / block_rows) + 1))
+        place = F.struct(*order)
+        # the hash of a row's place decides whether it is looked at, so that every evaluation sees the same ones
+        seen = df.join(large, [df[k].eqNullSafe(large[k]) for k in keys]).filter(
+            F.pmod(F.xxhash64(*(df[o] for o in order)), F.col("__n")) < SAMPLED * F.col("__parts")
+        ).select(*(df[k] for k in keys), F.struct(*(df[o] for o in order)).alias("__at"), "__parts")
+        bounds = seen.groupBy(*keys).agg(F.sort_array(F.collect_list("__at")).alias("__seen"), F.max("__parts").alias("__parts"))
+        step = F.size("__seen") / (F.col("__parts") + 1)
+        bounds = cut(bounds.select(*keys, F.transform(
+            F.sequence(F.lit(1), F.col("__parts")), lambda i: F.get("__seen", F.floor(i * step).cast("int"))).alias("__bounds")))
+        apart = [df[k].eqNullSafe(large[k]) for k in keys]
+        hot = df.join(large, apart, "left_semi")
+        hot = hot.join(bounds, [hot[k].eqNullSafe(bounds[k]) for k in keys], "left").select(*(hot[c] for c in df.columns), "__bounds")
+        block = F.coalesce(F.size(F.filter("__bounds", lambda b: b < place)), F.lit(0))
+        hot = cut(hot.withColumn(_BLOCK, block).drop("__bounds"))
+        return OrderedRows(df.join(large, apart, "left_anti"), keys, order, hot)
 
     # ------------------------------------------------------------------------------------------------
     def select(self, *columns) -> "OrderedRows":
-        kept = list(columns) + ([_BLOCK] if self.split else [])
-        return replace(self, df=self.df.select(*kept))
+        hot = None if self.hot is None else self.hot.select(*columns, _BLOCK)
+        return replace(self, df=self.df.select(*columns), hot=hot)
 
     def with_columns(self, **columns: Column) -> "OrderedRows":
-        return replace(self, df=self.df.withColumns(columns))
+        hot = None if self.hot is None else self.hot.withColumns(columns)
+        return replace(self, df=self.df.withColumns(columns), hot=hot)
 
     def carry(self, **carries: Carry) -> "OrderedRows":
         """Add one column per carry; all of them see only columns that exist already."""
-        if not self.split:
-            return replace(self, df=self._local(self.df, carries, self.keys))
+        plain = self._local(self.df, carries, self.keys)
+        return replace(self, df=plain, hot=None if self.hot is None else self._carry_blocks(carries))
+
+    def _carry_blocks(self, carries: dict[str, Carry]) -> DataFrame:
         ord_ = F.struct(*self.order)
         keys = list(self.keys)
-        inputs = self.df.withColumns({f"__in_{n}": c.value for n, c in carries.items()})
+        inputs = self.hot.withColumns({f"__in_{n}": c.value for n, c in carries.items()})
         local = self._local(
             inputs, {n: replace(c, value=F.col(f"__in_{n}")) for n, c in carries.items()}, (*keys, _BLOCK)
         )
@@ -144,7 +156,9 @@ class OrderedRows:
                 for n, c in carries.items()
             ),
         )
-        joined = local.join(seeds, [*keys, _BLOCK], "left")
+        names = local.columns
+        on = [local[k].eqNullSafe(seeds[k]) for k in (*keys, _BLOCK)]
+        joined = local.join(seeds, on, "left").select(*(local[c] for c in names), *(f"__seed_{n}" for n in carries))
         edge = Window.partitionBy(*keys, _BLOCK).orderBy(*self.order)
         if any(c.kind in ("prev", "next") for c in carries.values()):
             joined = joined.withColumns(
@@ -171,14 +185,14 @@ class OrderedRows:
                 final[n] = F.when(F.col("__edge_last"), seed["v"]).otherwise(mine)
         done = joined.withColumns(final)
         scratch = [x for x in done.columns if x.startswith(("__in_", "__seed_", "__edge_"))]
-        return replace(self, df=cut(done.drop(*scratch)))
+        return cut(done.drop(*scratch))
 
     def number(self, name: str) -> "OrderedRows":
         """1-based row number within the group."""
         return self.carry(**{name: running(F.lit(1).cast("bigint"))})
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_BLOCK)
+        return self.df if self.hot is None else self.df.unionByName(self.hot.drop(_BLOCK))
 
     # ------------------------------------------------------------------------------------------------
     def _local(self, df: DataFrame, carries: dict[str, Carry], partition) -> DataFrame:

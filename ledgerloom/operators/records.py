@@ -15,7 +15,6 @@ from ..functions.coerce import (
     with_numeric,
 )
 from ..functions.text import basename
-from ..session import attach
 from .contract import type_of
 
 TABLE_KEY = ["file_seq_id", "file_ord", "table_no"]
@@ -40,7 +39,7 @@ def records_mixed(
     )
     carried = ["types"] + (["custom_format"] if custom_formats else [])
     side = mapped.select(*TABLE_KEY, *carried, winners.alias("mapping"))
-    rows = attach(cells, side, TABLE_KEY, "inner")
+    rows = cells.join(side, TABLE_KEY, "inner")
 
     def value(m) -> Column:
         cell = F.get("cells", m["pos"])

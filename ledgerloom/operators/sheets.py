@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import attach
 
 
 def wanted_sheets(sheets: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -19,7 +18,7 @@ def wanted_sheets(sheets: DataFrame, requests: DataFrame) -> tuple[DataFrame, Da
     ids = F.filter(
         F.coalesce("identifiers", F.array().cast("array<string>")), lambda s: F.trim(s) != ""
     )
-    asked = attach(named, requests, ["file_id"]).withColumn("__ids", ids)
+    asked = named.join(requests, ["file_id"], "left").withColumn("__ids", ids)
     wanted = F.when(F.size("__ids") == 0, F.slice("names", 1, 1)).otherwise(F.col("__ids"))
     one = asked.select("file_id", "names", F.size("__ids").alias("__n"), F.posexplode(wanted).alias("table_no", "id"))
     index = F.when(F.col("id").rlike("^[0-9]+$"), F.col("id").try_cast("int"))
@@ -44,7 +43,7 @@ def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int = 1) -> tupl
     width and rows with only empty cells are dropped. ``src_row`` counts kept rows from ``header_row + 1``.
     A row is assembled from its own cells, so the shuffle key is the row and no sheet is gathered.
     """
-    mine = attach(cells, chosen, ["file_id", "sheet"], "inner").filter(F.col("row") >= header_row)
+    mine = cells.join(chosen, ["file_id", "sheet"], "inner").filter(F.col("row") >= header_row)
     by_column = F.map_from_entries(F.collect_list(F.struct("col", "value")))
     rows = mine.groupBy("file_id", "table_no", "sheet", "row").agg(
         by_column.alias("__m"), F.max("col").alias("__last"),
@@ -58,12 +57,7 @@ def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int = 1) -> tupl
             lambda i: F.element_at("__m", i),
         ).alias("headers"),
     )
-    data = attach(
-        rows.filter(F.col("row") > header_row),
-        tables.filter("width > 0").select("file_id", "table_no", "width"),
-        ["file_id", "table_no"],
-        "inner",
-    ).withColumn(
+    data = rows.filter(F.col("row") > header_row).join(tables.filter("width > 0").select("file_id", "table_no", "width"), ["file_id", "table_no"], "inner").withColumn(
         "cells", F.transform(F.sequence(F.lit(1), F.col("width")), lambda i: F.element_at("__m", i))
     )
     kept = data.filter(F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != ""))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import looks_numeric
 from ..functions.text import clean
-from ..session import attach
 from .ordered import BLOCK_ROWS, OrderedRows, last, previous, running
 
 FRAGMENT = ["file_id", "page", "table_on_page"]
@@ -75,7 +74,7 @@ def sized_fragments(fragments: DataFrame, options: TableOptions = DEFAULTS) -> D
         .filter(F.col("strategy_ord") == F.col("__best"))
         .drop("__best", "n_rows")
     )
-    kept = attach(rows, chosen, [*FRAGMENT, "strategy_ord"], "inner")
+    kept = rows.join(chosen, [*FRAGMENT, "strategy_ord"], "inner")
     padded = F.concat(
         "cells", F.array_repeat(F.lit(""), F.greatest(F.col("width") - F.size("cells"), F.lit(0)))
     )
@@ -215,7 +214,7 @@ def logical_tables(
     tables = placed.filter(F.col("page") == F.col("table_page")).groupBy("file_id", "table_no").agg(
         F.min_by("table_header", "table_on_page").alias("headers"), F.min("table_page").alias("page")
     )
-    rows = attach(body, placed.select(*FRAGMENT, "table_no", "table_header"), FRAGMENT, "inner")
+    rows = body.join(placed.select(*FRAGMENT, "table_no", "table_header"), FRAGMENT, "inner")
     return tables, merge_wrapped(rows, options, block_rows=block_rows, size_of=fragments)
 
 

@@ -278,10 +278,9 @@ ORACLE = {
                CASE pos WHEN 1 THEN 'numeric' WHEN 2 THEN 'double' ELSE 'varchar' END AS type
         FROM {_HEADERS}""",
     "unmapped_headers": f"""
-        SELECT any_value(p_brand) AS file_seq_id, 'unmapped_headers' AS kind,
-               'unmapped source headers kept as-is: [' || string_agg('''' || header || '''', ', ' ORDER BY pos) || ']'
-                   AS detail
-        FROM {_HEADERS} WHERE NOT mapped GROUP BY p_partkey""",
+        SELECT p_brand AS file_seq_id, 'unmapped_headers' AS kind,
+               'no column of the contract for header ''' || header || '''' AS detail
+        FROM {_HEADERS} WHERE NOT mapped""",
     "type_lookup": """
         SELECT file_seq_id, t.name, t.type
         FROM (SELECT DISTINCT p_brand AS file_seq_id FROM part),

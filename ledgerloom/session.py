@@ -1,13 +1,10 @@
-"""Session helpers: checkpoint location, lineage cuts and size-checked broadcasts."""
+"""Session helpers: checkpoint location, lineage cuts and work tables."""
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-#: A side is broadcast only when it has at most this many (slim) rows.
-BROADCAST_ROW_LIMIT = 200_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,18 +61,3 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
-
-
-def attach(
-    big: DataFrame,
-    side: DataFrame,
-    on: list[str],
-    how: str = "left",
-    row_limit: int = BROADCAST_ROW_LIMIT,
-) -> DataFrame:
-    """Join ``side`` to ``big``, broadcasting ``side`` only after counting at most ``row_limit`` rows in it.
-
-    Beyond the limit the join is left to Spark (sort-merge with adaptive skew splitting).
-    """
-    small = side.limit(row_limit + 1).count() <= row_limit
-    return big.join(F.broadcast(side) if small else side, on=on, how=how)

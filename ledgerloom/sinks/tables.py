@@ -54,8 +54,9 @@ def claim(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     """
     rest = [c for c in requests.columns if c != "file_seq_id"]
     again = F.coalesce("is_reprocess", F.lit(False))
-    rank = F.struct(again, F.when(again, F.col("msg_ord")).otherwise(-F.col("msg_ord")))
-    one = requests.groupBy("file_seq_id").agg(F.max_by(F.struct(*rest), rank).alias("r")).select("file_seq_id", "r.*")
+    row = F.struct(*rest)
+    last_again = F.max_by(row, F.when(again, F.col("msg_ord")))
+    one = requests.groupBy("file_seq_id").agg(F.coalesce(last_again, F.min_by(row, "msg_ord")).alias("r")).select("file_seq_id", "r.*")
     done = jobs.filter(F.col("status") == "COMPLETED").select("file_seq_id", F.lit(True).alias("__done"))
     return (
         one.join(done, "file_seq_id", "left")

@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 PAYLOAD = "struct<result:array<struct<data:array<map<string,string>>,colnames:array<string>,rowcount:bigint>>>"
-ROW_LIMIT = 1_000_000
 
 
 def chart_tables(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -30,7 +29,7 @@ def chart_tables(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def chart_query(table: DataFrame, filters: list[dict], row_limit: int | None = None) -> DataFrame:
-    """Apply ``{col, op, val}`` filters (pushed down to the source) and the row cap of the feature."""
+    """Apply ``{col, op, val}`` filters (pushed down to the source); ``row_limit`` holds only if a request names one."""
     out = table
     for f in filters:
         c, op, val = F.col(f["col"]), f["op"].upper(), f.get("val")
@@ -41,4 +40,4 @@ def chart_query(table: DataFrame, filters: list[dict], row_limit: int | None = N
             "IS NULL": c.isNull, "IS NOT NULL": c.isNotNull,
         }
         out = out.filter(tests[op]())
-    return out.limit(ROW_LIMIT if row_limit is None else row_limit)
+    return out if row_limit is None else out.limit(row_limit)

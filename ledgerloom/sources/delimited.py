@@ -1,17 +1,18 @@
-"""Delimited files as rows of cells with source row numbers, without a global window and without a shuffle.
-
-Lines are read as text, so one large file is read by many tasks. A line's place in its file is the number of
-lines in the earlier input blocks of that file (one slim row per block) plus its offset inside the block; the
-offset comes from ``monotonically_increasing_id``, which counts consecutively within a scan task. Two numbers
-are kept: the physical record (the header is record N) and the kept row (blank rows are not counted).
+"""Delimited files as rows of cells with source row numbers; one large file is read and numbered by many tasks.
+
+Lines are read as text in one scan and written with their input block and place, so that nothing read later can
+number them differently. A quoted cell may hold line breaks, so a line may go on the record before it. Whether it
+does depends on whether a quote is open at its start: each line maps the state at its start (no quote open, quote
+open) to that at its end, and such maps can be combined, first within blocks, then over the blocks of a file (one
+slim row per block), then back. Records are numbered the same way. Two numbers are kept: the physical record (the
+header is record N) and the kept row (blank rows are not counted).
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import local_path, quote_regex, strip
-from ..operators.ordered import OrderedRows, running
-from ..session import BROADCAST_ROW_LIMIT, attach
+from ..session import write_once
 
 
 def delimiter_of(details_delimiter: Column, request_delimiter: Column) -> Column:
@@ -55,49 +56,86 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     return raw.withColumn("__id", F.monotonically_increasing_id())
 
 
-def number_lines(lines: DataFrame, requests: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Non-blank lines with ``record`` (physical, 1-based), ``kept`` (counting non-blank ones) and ``latin1``.
+def _open_at_end(line: Column, delimiter: Column) -> tuple[Column, Column]:
+    """Whether a quote is open at the end of a line: (if none is open at its start, if one is).
 
-    Whether a line is blank depends on the delimiter of its file. With a request list small enough to
-    broadcast, scan order survives that join and lines are counted without a shuffle; with a larger one they
-    are counted per input block. A file with any line that is not valid UTF-8 is read as Latin-1 as a whole.
+    A quote opens only at the start of a cell and closes at the first quote that is not doubled.
+    """
+    sep, other = quote_regex(delimiter), F.concat(F.lit("[^"), quote_regex(delimiter), F.lit("]*+"))
+    inside = F.lit('(?:[^"]|"")*+')
+    cell = F.concat(F.lit('(?:"'), inside, F.lit('"'), other, F.lit('|(?!")'), other, F.lit(")"))
+    opens = F.concat(F.lit("(?:"), cell, sep, F.lit(')*+"'), inside, F.lit("$"))
+    def hit(*parts):
+        return F.regexp_like(line, F.concat(F.lit("(?s)^"), *parts))
+    quoted = line.contains('"')
+    fresh = quoted & hit(opens)
+    held = ~quoted | hit(inside, F.lit("$")) | hit(inside, F.lit('"'), other, sep, opens)
+    return fresh.cast("int"), held.cast("int")
+
+
+def _states(rows: DataFrame, keys: list[str], order: str, before: Column) -> DataFrame:
+    """``rows``(fresh, held) in order within ``keys``: ``state`` is 1 where a quote is open at the start of the row.
+
+    ``before`` is the state at the start of the group. A row that maps both states to one fixes the state; after
+    the last such row only the number of rows that swap the states counts.
+    """
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    fixed, swaps = F.col("fresh") == F.col("held"), F.col("fresh") > F.col("held")
+    counted = rows.withColumn("__swaps", F.coalesce(F.sum(swaps.cast("int")).over(w), F.lit(0)))
+    last = F.last(F.when(fixed, F.struct("fresh", "__swaps")), ignorenulls=True).over(w)
+    counted = counted.withColumn("__last", last)
+    since = F.col("__swaps") - F.coalesce("__last.__swaps", F.lit(0))
+    return counted.withColumn("state", (F.coalesce("__last.fresh", before) + since) % 2).drop("__swaps", "__last")
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """``path, record, line, delimiter``: lines joined to records and numbered from 1 within their file."""
+    block = ["path", "block"]
+    inner = _states(lines, block, "__id", F.lit(0)).withColumn("__if0", F.col("state"))
+    inner = _states(inner, block, "__id", F.lit(1)).withColumn("__if1", F.col("state")).drop("state")
+    end = [F.max_by(F.when(F.col(x) == 1, F.col("held")).otherwise(F.col("fresh")), "__id").alias(n) for x, n in (("__if0", "fresh"), ("__if1", "held"))]
+    starts = [F.sum(1 - F.col(x)).alias(n) for x, n in (("__if0", "__starts0"), ("__if1", "__starts1"))]
+    blocks = _states(inner.groupBy(*block).agg(*end, *starts), ["path"], "block", F.lit(0))
+    begun = F.when(F.col("state") == 0, F.col("__starts0")).otherwise(F.col("__starts1"))
+    w = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*block, "state", F.coalesce(F.sum(begun).over(w), F.lit(0)).alias("__before"))
+    known = inner.join(blocks, block).withColumn("__goes_on", F.when(F.col("state") == 0, F.col("__if0")).otherwise(F.col("__if1")))
+    count = F.sum(1 - F.col("__goes_on")).over(Window.partitionBy(*block).orderBy("__id"))
+    known = known.withColumn("record", F.col("__before") + count)
+    ends_open = F.when(F.col("__goes_on") == 1, F.col("held")).otherwise(F.col("fresh"))
+    whole = (F.col("__goes_on") == 0) & (ends_open == 0)
+    parts = known.filter(~whole).groupBy("path", "record", "delimiter").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "__id", "line"))), lambda x: x["line"]), "\n").alias("line"))
+    return known.filter(whole).select("path", "record", "line", "delimiter").unionByName(parts)
+
+
+#: Records of a file that are counted together.
+COUNTED = 1 << 16
+
+
+def number_lines(lines: DataFrame, requests: DataFrame) -> DataFrame:
+    """Non-blank records with ``record`` (physical, 1-based) and ``kept`` (counting non-blank ones).
+
+    Whether a record is blank depends on the delimiter of its file. A file with any line that is not valid UTF-8 is
+    read as Latin-1 as a whole.
     """
     asked = requests.select("path", "delimiter").distinct()
-    small = asked.limit(row_limit + 1).count() <= row_limit
-    known = lines.join(F.broadcast(asked) if small else asked, "path")
+    lines = write_once(lines.join(asked, "path"), "lines")
+    encodings = lines.groupBy("path").agg(F.max(~F.is_valid_utf8("line")).alias("latin1"))
+    fresh, held = _open_at_end(F.col("line"), F.col("delimiter"))
+    records = _records(lines.withColumns({"fresh": fresh, "held": held}))
     quotes = F.concat(F.lit("["), quote_regex(F.col("delimiter")), F.lit('"]'))
-    marked = known.withColumn("__blank", strip(F.regexp_replace("line", quotes, F.lit(""))) == "")
-    kept = marked.filter(~F.col("__blank"))
-    if small:
-        kept = kept.withColumn("__kid", F.monotonically_increasing_id())
-    else:
-        kept = kept.withColumn("__kid", F.row_number().over(Window.partitionBy("path", "block").orderBy("__id")))
-    blocks = lines.groupBy("path", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.min("__id").alias("first_id"), F.max(~F.is_valid_utf8("line")).alias("bad")
-    )
-    kept_blocks = kept.groupBy("path", "block").agg(
-        F.count(F.lit(1)).alias("nk"), F.min("__kid").alias("first_kid")
-    )
-    places = (
-        OrderedRows.of(blocks.join(kept_blocks, ["path", "block"], "left"), ["path"], ["block"])
-        .carry(
-            before=running(F.col("n"), inclusive=False),
-            kept_before=running(F.coalesce("nk", F.lit(0)), inclusive=False),
-        )
-        .rows()
-    )
-    encodings = blocks.groupBy("path").agg(F.max("bad").alias("latin1"))
-    placed = attach(kept, places.drop("n", "nk", "bad"), ["path", "block"], "inner")
-    numbered = placed.withColumns(
-        {
-            "record": F.coalesce("before", F.lit(0)) + F.col("__id") - F.col("first_id") + 1,
-            "kept": F.coalesce("kept_before", F.lit(0)) + F.col("__kid") - F.col("first_kid") + 1,
-        }
-    ).select("path", "record", "kept", "line")
-    return attach(numbered, encodings, ["path"], "inner").withColumn(
-        "line",
-        F.when(F.col("latin1"), F.decode(F.col("line").cast("binary"), "ISO-8859-1")).otherwise(F.col("line")),
-    )
+    blank = strip(F.regexp_replace("line", quotes, F.lit(""))) == ""
+    group = ["path", "__group"]
+    records = write_once(records.withColumns({"__kept": (~blank).cast("int"), "__group": F.floor(F.col("record") / COUNTED)}), "records")
+    groups = records.groupBy(*group).agg(F.sum("__kept").alias("__n"))
+    w = Window.partitionBy("path").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
+    before = groups.select(*group, F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
+    within = F.sum("__kept").over(Window.partitionBy(*group).orderBy("record"))
+    numbered = records.withColumn("__within", within).filter("__kept = 1").join(before, group)
+    decoded = F.when(F.col("latin1"), F.decode(F.col("line").cast("binary"), "ISO-8859-1")).otherwise(F.col("line"))
+    numbered = numbered.select("path", "record", (F.col("__before") + F.col("__within")).alias("kept"), "line")
+    return write_once(numbered.join(encodings, "path").withColumn("line", decoded).drop("latin1"), "numbered")
 
 
 def scan_delimited(spark: SparkSession, requests: DataFrame, paths) -> tuple[DataFrame, DataFrame]:
@@ -107,7 +145,7 @@ def scan_delimited(spark: SparkSession, requests: DataFrame, paths) -> tuple[Dat
     ``headers_row + i`` for the i-th kept row below the header.
     """
     requests = requests.withColumn("path", local_path(F.col("path")))
-    numbered = attach(number_lines(read_lines(spark, paths), requests), requests, ["path"], "inner")
+    numbered = number_lines(read_lines(spark, paths), requests).join(requests, ["path"], "inner")
     at = F.col("headers_row")
     parts = numbered.withColumn(
         "cells",
@@ -130,28 +168,9 @@ def scan_delimited(spark: SparkSession, requests: DataFrame, paths) -> tuple[Dat
         split_line(F.regexp_replace("__head.line", "^\\ufeff", ""), F.col("delimiter")).alias("headers"),
         (at + 1).cast("bigint").alias("first_row_no"), "__above",
     )
-    body = attach(
-        parts.filter(F.col("record") > at),
-        tables.select("file_seq_id", "file_ord", "table_no", "__above"),
-        ["file_seq_id", "file_ord"],
-        "inner",
-    )
+    body = parts.filter(F.col("record") > at).join(tables.select("file_seq_id", "file_ord", "table_no", "__above"), ["file_seq_id", "file_ord"], "inner")
     cells = body.filter(F.exists("cells", lambda c: strip(c) != "")).select(
         "file_seq_id", "file_ord", "table_no", "path",
         (at + F.col("kept") - F.col("__above")).cast("bigint").alias("src_row"), "cells",
     )
     return tables.drop("__above"), cells
-
-
-def read_multiline(spark: SparkSession, path, delimiter: str = ",", columns: int = 64) -> DataFrame:
-    """Files whose quoted cells hold line breaks: Spark's own reader, one task per file, cells beyond
-    ``columns`` ignored and empty cells read as null."""
-    names = [f"c{i}" for i in range(columns)]
-    raw = (
-        spark.read.schema(", ".join(f"{n} string" for n in names))
-        .option("sep", delimiter).option("header", False).option("multiLine", True).option("escape", '"')
-        .csv(path)
-    )
-    return raw.select(F.col("_metadata.file_path").alias("path"), F.array(*names).alias("cells")).filter(
-        F.exists("cells", lambda c: strip(c) != "")
-    )

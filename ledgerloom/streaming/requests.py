@@ -176,14 +176,15 @@ def process_epoch(
     batch_size: int = 1000,
     dead_letter_skipped: bool = False,
 ) -> None:
-    """Process one micro-batch of ``messages(value, offset)``.
+    """Process one micro-batch of ``messages(value, offset)``, with ``partition`` where the topic has several.
 
     ``records_of(requests)`` parses the claimed requests: records ``(file_seq_id, file_ord, table_no, src_row,
     record, error)``, where a row with an ``error`` fails its own request and no other.
     """
     spark = messages.sparkSession
     items, invalid = split_messages(messages)
-    routed = cut(route(items).withColumn("msg_ord", F.col("offset") * 1_000_000 + F.col("item_no")))
+    place = F.struct(*(F.col(c) for c in ("partition", "offset") if c in messages.columns)).alias("message")
+    routed = cut(route(items).withColumn("msg_ord", F.struct(place, "item_no")))
     jobs = store.latest_jobs(store.read_table(spark, base, "ledger", store.LEDGER_SCHEMA, before_epoch=epoch))
     asked = routed.filter(F.col("route") == "process")
     # claimed once: the ledger must not be read again after this epoch has written to it
@@ -274,7 +275,7 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int =
         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
         .option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", max_offsets)
         .load()
-        .select(F.col("value").cast("string").alias("value"), F.col("offset"))
+        .select(F.col("value").cast("string").alias("value"), F.col("partition"), F.col("offset"))
     )
 
 

@@ -32,10 +32,19 @@ def test_split_equals_plain(spark):
     assert plain == hot
 
 
+def test_only_large_groups_are_split(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 50 + 2).alias("k"), F.col("id").cast("string").alias("a"))
+    seq = OrderedRows.of(df, ["k"], ["a"], 500)
+    assert seq.hot.select("k").distinct().count() == 1 and seq.hot.count() == 2000 and seq.df.count() == 1000
+    assert seq.hot.select("__blk").distinct().count() > 2  # text orders too
+    numbers = seq.number("rn").rows().groupBy("k").agg(F.max("rn") - F.count("*"), F.countDistinct("rn") - F.count("*"))
+    assert all(r[1] == 0 and r[2] == 0 for r in numbers.collect())
+
+
 def test_blocks_are_bounded(spark):
     df = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
     seq = OrderedRows.of(df, ["k"], ["a"], 1000)
-    biggest = seq.df.groupBy("__blk").count().agg(F.max("count")).first()[0]
+    biggest = seq.hot.groupBy("__blk").count().agg(F.max("count")).first()[0]
     assert biggest <= 2000
     got = seq.number("rn").rows().filter("rn != a + 1").count()
     assert got == 0
