@@ -10,6 +10,8 @@ from ..operators.batches import build_batches, job_totals, number_records
 from ..operators.ordered import OrderedRows
 from ..session import shared_dir
 from ..sources.charts import chart_query, chart_tables
+from ..functions.text import local_path
+from ..operators.ingest import ingest_delimited as ingest
 from ..sources.delimited import delimiter_of, header_row_of, scan_delimited as scan
 from .coercion import DIRTY_PRICE_SQL, dirty_price
 from .common import money2, printed, table, text
@@ -93,6 +95,56 @@ def number_gaps(spark, sf_dir):
     return number_records(o).select("file_seq_id", "o_orderkey", "n")
 
 
+def _delimited_files(spark, sf_dir):
+    """Orders written as one delimited file per priority, header in the first line."""
+    o = table(spark, sf_dir, "orders")
+    folder = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    lines = o.select(
+        F.substring("o_orderpriority", 1, 1).alias("f"), F.col("o_orderkey").alias("o"),
+        F.concat_ws(
+            ",", text(F.col("o_orderkey")), F.concat(F.lit('"'), printed(F.col("o_totalprice")), F.lit('"')),
+            F.date_format("o_orderdate", "dd/MM/yyyy"), F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no"),
+            F.when(F.col("o_orderkey") % 7 == 0, F.lit('"two\nlines"')).otherwise("one"), F.lit(""),
+        ).alias("value"),
+    )
+    heads = o.select(F.substring("o_orderpriority", 1, 1).alias("f")).distinct().select(
+        "f", F.lit(-1).cast("bigint").alias("o"), F.lit("Order Key,Total Price,Order Date,Is Done,Remark,Source Type").alias("value"))
+    all_lines = lines.unionByName(heads).repartition("f").sortWithinPartitions("f", "o")
+    all_lines.select("f", "value").write.partitionBy("f").text(folder)
+    return folder, spark.read.text(folder).select(F.col("_metadata.file_path").alias("path"), "f").distinct()
+
+
+def ingest_delimited(spark, sf_dir):
+    """Requests of several contracts to stored batches: one row per record, with its batch, meta and typed fields."""
+    folder, files = _delimited_files(spark, sf_dir)
+    files = files.withColumn("f", F.col("f").cast("int"))
+    listing = files.select(local_path(F.col("path")).alias("path"), F.lit("2024-01-01").cast("timestamp").alias("modificationTime"), F.lit(1).cast("bigint").alias("length"))
+    seq = F.concat(F.lit("R"), text(F.col("f")))
+    requests = files.select(
+        seq.alias("file_seq_id"), local_path(F.col("path")).alias("path"), F.lit(None).cast("string").alias("file_name"),
+        F.lit(None).cast("string").alias("sub_path"), F.lit(None).cast("string").alias("details_delimiter"), F.lit(",").alias("delimiter"),
+        F.lit(1).alias("headers_row"), F.lit("csv").alias("format"), F.lit("desk").alias("source_name"), F.lit("run").alias("run_id"),
+        F.lit("2024-05-06").alias("process_date"), (F.col("f") % 2 == 0).alias("enrich_flow"), F.lit("rc").alias("recon_id"),
+        F.when(F.col("f") < 3, "ev").alias("event_id"),
+    )
+    details = [("orderkey", "bigint"), ("totalprice", "numeric"), ("orderdate", "date"), ("isdone", "boolean"), ("sourcetype", "varchar"), ("process_date", "varchar")]
+    contracts = files.select(
+        seq.alias("file_seq_id"),
+        F.array(*(F.struct(F.lit(n).alias("columnName"), F.lit(t).alias("columnType")) for n, t in details)).alias("column_details"),
+        F.array().cast("array<struct<source_column:string,source_display_column:string,field_type:string>>").alias("positions"),
+        F.lit(True).alias("fetch_by_name"), F.lit(False).alias("by_column_number"), F.array().cast("array<string>").alias("include_exclude"), F.lit(False).alias("is_exclude"),
+    )
+    done = ingest(spark, requests, contracts, listing, pick="all", batch_size=100)
+    rows = done.batches.select(
+        "file_seq_id", "batch_no", "record_count", "first_row", F.posexplode("records").alias("i", "r"), "meta")
+    return rows.join(done.totals, "file_seq_id").select(
+        "file_seq_id", "batch_no", "record_count", "first_row", "i", "total_records", "total_batches", "warning_count",
+        F.get_json_object("r", "$._row").cast("bigint").alias("src_row"), F.regexp_replace("r", r',"_row":\d+}$', "}").alias("record"),
+        F.col("meta")["format"].alias("format"), F.col("meta")["reconId"].alias("recon_id"), F.col("meta")["eventId"].alias("event_id"),
+        F.col("meta")["batch_no"].alias("meta_batch_no"),
+    )
+
+
 def scan_delimited(spark, sf_dir):
     """Customers written as delimited files with a title line, a header and blank lines, read back."""
     c = table(spark, sf_dir, "customer")
@@ -181,6 +233,7 @@ QUERIES = {
     "batch_totals": batch_totals,
     "number_gaps": number_gaps,
     "scan_delimited": scan_delimited,
+    "ingest_delimited": ingest_delimited,
     "chart_rows": chart_rows,
 }
 
@@ -212,6 +265,21 @@ ORACLE = {
         SELECT 'S' || o_orderstatus AS file_seq_id, o_orderkey,
                row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey % 2, o_orderkey) - 1 AS n
         FROM orders""",
+    "ingest_delimited": """
+        WITH o AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS f,
+                          row_number() OVER (PARTITION BY substr(o_orderpriority, 1, 1) ORDER BY o_orderkey) AS k,
+                          count(*) OVER (PARTITION BY substr(o_orderpriority, 1, 1)) AS n FROM orders)
+        SELECT 'R' || f AS file_seq_id, CAST((k - 1) // 100 + 1 AS INTEGER) AS batch_no,
+               CAST(least(100, n - (k - 1) // 100 * 100) AS INTEGER) AS record_count, (k - 1) // 100 * 100 + 2 AS first_row,
+               CAST((k - 1) % 100 AS INTEGER) AS i, n AS total_records, CAST((n - 1) // 100 + 1 AS INTEGER) AS total_batches,
+               CAST(1 AS BIGINT) AS warning_count, k + 1 AS src_row,
+               '{"orderkey":' || o_orderkey || ',"totalprice":"' || CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR)
+               || '","orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","isdone":' || (o_orderstatus = 'F')
+               || ',"remark":"' || CASE WHEN o_orderkey % 7 = 0 THEN 'two\\nlines' ELSE 'one' END || '",'
+               || CASE WHEN f % 2 = 0 THEN '"sourcetype":"desk","process_date":"2024-05-06"' ELSE '"sourcetype":""' END || '}' AS record,
+               'csv' AS format, 'rc' AS recon_id, CASE WHEN f < 3 THEN 'ev' END AS event_id,
+               CAST((k - 1) // 100 + 1 AS VARCHAR) AS meta_batch_no
+        FROM o""",
     "scan_delimited": """
         SELECT CAST(c_nationkey AS VARCHAR) AS file_seq_id,
                3 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS src_row,

@@ -89,8 +89,10 @@ def resolve_paths(
         .when(F.col("__file").isNull(), F.concat(F.lit("file not found: "), F.col("__asked")))
     )
     judged = chosen.withColumn("error", error)
+    bad = judged.filter(F.col("error").isNotNull()).select("file_seq_id", "error")
     good = judged.filter(F.col("error").isNull()).select("file_seq_id", "file_ord", real.alias("path"))
-    return good, judged.filter(F.col("error").isNotNull()).select("file_seq_id", "error")
+    # one bad file rejects its request
+    return good.join(bad.select("file_seq_id").distinct(), "file_seq_id", "left_anti"), bad
 
 
 def resolved_format(path: Column, declared: Column, is_chart: Column | None = None) -> Column:
