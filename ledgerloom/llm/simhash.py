@@ -70,14 +70,18 @@ def _decoded() -> np.ndarray:
         r <<= 1
         if r >> 11:
             r ^= generator
-    error = np.zeros(2048, np.int64)
+    error = np.zeros(2048, np.uint32)
     light = [1 << np.arange(23)]
     light.append((light[0][:, None] ^ light[0][None]).ravel())
     light.append((light[1][:, None] ^ light[0][None]).ravel())
     for words in reversed(light):  # lighter ones last, so that they stay
         error[remainder[words]] = words
     error[0] = 0
-    return ((np.arange(1 << 23) ^ error[remainder]) >> 11).astype(np.uint16)
+    codeword, step = np.empty(1 << 23, np.uint16), 1 << 18  # in steps, since every worker builds it beside the others
+    for start in range(0, 1 << 23, step):
+        word = np.arange(start, start + step, dtype=np.uint32)
+        codeword[start : start + step] = (word ^ error[remainder[start : start + step]]) >> 11
+    return codeword
 
 
 def golay_keys(words: np.ndarray, width: int = 23) -> np.ndarray:
