@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import clean, quote_regex, strip
-from .ordered import BLOCK_ROWS, OrderedRows, following
 
 # Document fields looked for by default.
 KEY_VALUE_PATTERNS = {
@@ -32,52 +31,36 @@ def keyword_value(text: Column, keyword: Column) -> Column:
     return F.when(F.regexp_like(text, pattern), clean(line))
 
 
-def with_next_page(
-    page_text: DataFrame, keys: tuple[str, ...] = ("file_id",), page: str = "page", block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Add ``window``: the page and the next non-blank page, so that a match may run over one page break.
+def document_texts(page_text: DataFrame) -> DataFrame:
+    """``file_id, text``: the non-blank pages of each document in order, one line break between them.
 
-    A document is never joined into one value: a file of any number of pages stays spread over them.
+    A document is one unit here, as the text of one PDF: its pages meet in one row, bounded by what a document holds.
     """
     filled = page_text.filter(F.coalesce(F.trim("text"), F.lit("")) != "")
-    seq = OrderedRows.of(filled, keys, (page,), block_rows).carry(__next=following(F.col("text")))
-    return seq.with_columns(window=F.concat_ws("\n", "text", "__next")).rows().drop("__next")
+    pages = F.sort_array(F.collect_list(F.struct("page", "text")))
+    return filled.groupBy("file_id").agg(F.array_join(F.transform(pages, lambda p: p["text"]), "\n").alias("text"))
 
 
-def key_values(
-    page_text: DataFrame, patterns: dict[str, str] | None = None, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """One row per file with one column per field: the first match in page order wins."""
+def key_values(page_text: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+    """One row per file with one column per field: the first match in the whole text, over any number of pages."""
     wanted = patterns or KEY_VALUE_PATTERNS
-    windows = with_next_page(page_text, block_rows=block_rows)
-    found = windows.select("file_id", "page", *(pattern_value(F.col("window"), p).alias(n) for n, p in wanted.items()))
-    return found.groupBy("file_id").agg(
-        *(F.min_by(n, F.when(F.col(n).isNotNull(), F.col("page"))).alias(n) for n in wanted)
-    )
+    return document_texts(page_text).select("file_id", *(pattern_value(F.col("text"), p).alias(n) for n, p in wanted.items()))
 
 
-def keyword_values(
-    page_text: DataFrame, keywords: DataFrame, block_rows: int = BLOCK_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def keyword_values(page_text: DataFrame, keywords: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(values per file and field, warnings for keywords that do not occur).
 
     ``keywords(file_id, field, keyword)`` come with the request of the file.
     """
-    windows = with_next_page(page_text, block_rows=block_rows)
-    asked = windows.join(keywords, "file_id").withColumn("value", keyword_value(F.col("window"), F.col("keyword")))
-    best = asked.groupBy("file_id", "field", "keyword").agg(
-        F.min_by("value", F.when(F.col("value").isNotNull(), F.col("page"))).alias("value")
-    )
-    everyone = keywords.join(best, ["file_id", "field", "keyword"], "left")
+    asked = keywords.join(document_texts(page_text), "file_id", "left").select(
+        "file_id", "field", "keyword", keyword_value(F.col("text"), F.col("keyword")).alias("value"))
     bare = F.btrim(strip(F.col("keyword")), F.lit("'\""))
-    warnings = everyone.filter(F.col("value").isNull()).select(
+    warnings = asked.filter(F.col("value").isNull()).select(
         "file_id",
         F.lit("missing_keyword").alias("kind"),
-        F.concat(F.lit("ocr keyword '"), bare, F.lit("' ("), F.col("field"), F.lit(") not found in PDF text")).alias(
-            "detail"
-        ),
+        F.concat(F.lit("keyword '"), bare, F.lit("' of field "), F.col("field"), F.lit(" does not occur")).alias("detail"),
     )
-    return everyone.filter(F.col("value").isNotNull()).select("file_id", "field", "value"), warnings
+    return asked.filter(F.col("value").isNotNull()).select("file_id", "field", "value"), warnings
 
 
 def document_map(pattern_fields: DataFrame, keyword_fields: DataFrame) -> DataFrame:

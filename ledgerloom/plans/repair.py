@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean
 from ..operators import geometry, ocr, sheets, tables as T
-from ..operators.documents import keyword_value, key_values as values_of, with_next_page
+from ..operators.documents import key_values as values_of, keyword_value, keyword_values as keywords_of
 from .common import money2, table, text
 
 NUMERIC_SQL = r"'(?i)^[\s\-+(]*[\d,.\s]+\)?\s*(CR|DR)?-?$'"
@@ -115,14 +115,31 @@ def key_values(spark, sf_dir):
     return values_of(pages, _PATTERNS).withColumnRenamed("file_id", "doc_id")
 
 
-def paged_key_values(spark, sf_dir):
-    """Conversation turns as the pages of a document; a match may run over a page break."""
-    pages = table(spark, sf_dir, "conversations").select(
+def _turn_pages(spark, sf_dir):
+    """Conversation turns as the pages of a document; a label, its second half and its value stand on three pages."""
+    turn = F.col("turn") % 3
+    return table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("file_id"), F.col("turn").alias("page"),
-        F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit(" Opening  balance:")))
+        F.when(turn == 0, F.concat("text", F.lit(" Opening "))).when(turn == 1, " balance: ")
         .otherwise(F.concat(F.lit("("), text(F.length("text")), F.lit(".50) "), F.col("text"))).alias("text"),
     )
-    return values_of(pages).withColumnRenamed("file_id", "conv_id")
+
+
+def paged_key_values(spark, sf_dir):
+    """A match may run over any number of pages."""
+    return values_of(_turn_pages(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
+
+
+def requested_keywords(spark, sf_dir):
+    """Keywords of requests over paged documents: values, and a warning for each that does not occur."""
+    pages = _turn_pages(spark, sf_dir)
+    keywords = pages.select("file_id").distinct().select(
+        "file_id", F.explode(F.array(F.struct(F.lit("opening").alias("field"), F.lit("'balance'").alias("keyword")),
+                                     F.struct(F.lit("absent").alias("field"), F.lit("zq§zq").alias("keyword")))).alias("k")
+    ).select("file_id", "k.field", "k.keyword")
+    values, warnings = keywords_of(pages, keywords)
+    return values.withColumns({"kind": F.lit(None).cast("string"), "detail": F.lit(None).cast("string")}).unionByName(
+        warnings.withColumns({"field": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})).withColumnRenamed("file_id", "conv_id")
 
 
 def keyword_values(spark, sf_dir):
@@ -329,6 +346,7 @@ QUERIES = {
     "merge_wrapped_rows": merge_wrapped_rows,
     "key_values": key_values,
     "paged_key_values": paged_key_values,
+    "requested_keywords": requested_keywords,
     "keyword_values": keyword_values,
     "grid_from_cells": grid_from_cells,
     "form_key_values": form_key_values,
@@ -426,11 +444,19 @@ ORACLE = {
     "key_values": f"""
         SELECT doc_id, {", ".join(_value_sql(n, p) for n, p in _PATTERNS.items())} FROM documents""",
     "paged_key_values": """
-        WITH p AS (SELECT conv_id, turn, length(text) AS n, lead(turn) OVER o AS nt, lead(length(text)) OVER o AS nn
+        WITH p AS (SELECT conv_id, turn, lead(turn) OVER o AS t2, lead(turn, 2) OVER o AS t3, lead(length(text), 2) OVER o AS n3
                    FROM conversations WINDOW o AS (PARTITION BY conv_id ORDER BY turn))
-        SELECT conv_id, arg_min('(' || nn || '.50)', turn) FILTER (turn % 2 = 0 AND nt % 2 = 1) AS opening_balance,
+        SELECT conv_id, arg_min('(' || n3 || '.50)', turn) FILTER (turn % 3 = 0 AND t2 % 3 = 1 AND t3 % 3 = 2) AS opening_balance,
                CAST(NULL AS VARCHAR) AS closing_balance, CAST(NULL AS VARCHAR) AS statement_date
         FROM p GROUP BY conv_id""",
+    "requested_keywords": r"""
+        WITH d AS (SELECT conv_id, string_agg(CASE turn % 3 WHEN 0 THEN text || ' Opening ' WHEN 1 THEN ' balance: '
+                          ELSE '(' || length(text) || '.50) ' || text END, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY 1),
+             v AS (SELECT conv_id, CASE WHEN regexp_matches(t, '(?i)balance\s*[:\-]?\s*(.+)')
+                          THEN trim(regexp_replace(regexp_extract(t, '(?i)balance\s*[:\-]?\s*(.+)', 1), '\s+', ' ', 'g')) END AS value FROM d)
+        SELECT conv_id, 'opening' AS field, value, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS detail FROM v WHERE value IS NOT NULL
+        UNION ALL SELECT conv_id, NULL, NULL, 'missing_keyword', 'keyword ''balance'' of field opening does not occur' FROM v WHERE value IS NULL
+        UNION ALL SELECT conv_id, NULL, NULL, 'missing_keyword', 'keyword ''zq§zq'' of field absent does not occur' FROM v""",
     "keyword_values": rf"""
         SELECT doc_id, value, value IS NULL AS missing
         FROM (SELECT doc_id, CASE

@@ -1,7 +1,7 @@
 """Driver queries: statements rendered from orders and line items, read back and checked."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.money import dbcr_by_sign, sign_label
 from ..operators.ordered import OrderedRows, first, last, previous, running
@@ -148,8 +148,8 @@ def statement_rows(lines, altered=False):
 
 def _placed(rows, label):
     """Rendered rows as the input table of a parser: a row number on each page instead of the rendering order."""
-    numbered = OrderedRows.of(rows, ["file_id", "page"], ORDER[1:]).number("n").rows()
-    return write_once(numbered.select("file_id", "page", F.col("n").alias("row_no"), "words"), label)
+    page = Window.partitionBy("file_id", "page").orderBy(*ORDER[1:])  # bounded by what a page holds
+    return write_once(rows.select("file_id", "page", F.row_number().over(page).cast("bigint").alias("row_no"), "words"), label)
 
 
 def _read(spark, sf_dir, altered=False):
