@@ -95,8 +95,7 @@ def job_state(spark, sf_dir):
 
 
 def claim_jobs(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_type in ('click', 'view')")
-    requests = e.select(
+    requests = table(spark, sf_dir, "events").select(
         text(F.col("user_id") + F.col("event_id") % 2 * 5).alias("file_seq_id"), F.col("event_id").alias("msg_ord"),
         (F.col("event_id") % 50 == 0).alias("is_reprocess"),
     )
@@ -214,7 +213,7 @@ ORACLE = {
     "claim_jobs": f"""
         WITH {_JOBS},
         r AS (SELECT CAST(user_id + event_id % 2 * 5 AS VARCHAR) AS file_seq_id, event_id AS msg_ord, event_id % 50 = 0 AS again
-              FROM events WHERE event_type IN ('click', 'view')),
+              FROM events),
         one AS (SELECT file_seq_id, coalesce(max(msg_ord) FILTER (again), min(msg_ord)) AS msg_ord, bool_or(again) AS is_reprocess
                 FROM r GROUP BY 1)
         SELECT one.file_seq_id, msg_ord, is_reprocess FROM one LEFT JOIN jobs USING (file_seq_id)

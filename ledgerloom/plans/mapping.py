@@ -223,7 +223,7 @@ def resolve_options(spark, sf_dir):
     )
     defaults = o.select("o_orderpriority").distinct().select(
         "o_orderpriority", F.lit("native").alias("engine"),
-        F.concat(F.lit("auto"), F.substring("o_orderpriority", 1, 1)).alias("layout"),
+        F.concat(F.lit("auto"), "o_orderpriority").alias("layout"),
     )
     return resolve_options_of(requests, defaults, ["o_orderpriority"], ["engine", "layout"])
 
@@ -332,6 +332,6 @@ ORACLE = {
     "resolve_options": """
         SELECT o_orderkey, o_orderpriority,
                CASE WHEN o_orderkey % 3 = 0 THEN 'textract' ELSE 'native' END AS engine,
-               CASE WHEN o_orderkey % 4 = 0 THEN 'table' ELSE 'auto' || left(o_orderpriority, 1) END AS layout
+               CASE WHEN o_orderkey % 4 = 0 THEN 'table' ELSE 'auto' || o_orderpriority END AS layout
         FROM orders""",
 }

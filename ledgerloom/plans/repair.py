@@ -86,7 +86,7 @@ def merge_wrapped_rows(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     n = F.length("text")
     key = F.when(n % 11 == 0, "Page 3").when(F.col("role") == "assistant", "").otherwise(F.col("role"))
-    value = F.when(n % 5 == 0, "1,250.00 CR").otherwise(clean(F.substring("text", 1, 10)))
+    value = F.when(n % 5 == 0, "1,250.00 CR").otherwise(clean(F.col("text")))
     cells = F.when(n % 13 == 0, F.array(F.lit("key"), F.lit("v"), F.lit("w"))).otherwise(
         F.array(key, value, F.when(n % 2 == 0, "x").otherwise(""))
     )
@@ -427,7 +427,7 @@ ORACLE = {
     "merge_wrapped_rows": rf"""
         WITH b AS (SELECT conv_id % 50 AS f, conv_id, turn, conv_id // 200 AS t,
                           CASE WHEN role = 'assistant' THEN '' ELSE role END AS c0,
-                          CASE WHEN length(text) % 5 = 0 THEN '1,250.00 CR' ELSE {_CLEAN.format("left(text, 10)")} END AS c1,
+                          CASE WHEN length(text) % 5 = 0 THEN '1,250.00 CR' ELSE {_CLEAN.format("text")} END AS c1,
                           CASE WHEN length(text) % 2 = 0 THEN 'x' ELSE '' END AS c2
                    FROM conversations WHERE length(text) % 11 > 0 AND length(text) % 13 > 0),
              k AS (SELECT * FROM b WHERE NOT regexp_matches(c0 || ' ' || c1 || ' ' || c2,

@@ -297,7 +297,7 @@ def carry_forward(spark, sf_dir):
 
 def account_days(spark, sf_dir):
     """Account-day sessions: account rows open one unless they repeat the open account on the same date."""
-    e = table(spark, sf_dir, "events").filter("event_type in ('signup', 'click')").select(
+    e = table(spark, sf_dir, "events").select(
         "event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"),
         F.concat(F.lit("A"), text(F.floor(F.col("value") / 20) % 2)).alias("account"),
         F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("C"), text(F.col("event_id") % 3))).alias("own_currency"),
@@ -548,7 +548,7 @@ ORACLE = {
     "account_days": """
         WITH e AS (SELECT event_id, user_id, CAST(ts AS DATE) AS day, 'A' || (CAST(floor(value / 20) AS BIGINT) % 2) AS account,
                           CASE WHEN event_id % 4 = 0 THEN 'C' || (event_id % 3) END AS own
-                   FROM events WHERE event_type IN ('signup', 'click')),
+                   FROM events),
              n AS (SELECT *, coalesce(lag(account) OVER o <> account OR lag(day) OVER o <> day, true) AS opened,
                           last_value(own IGNORE NULLS) OVER (PARTITION BY user_id, account ORDER BY event_id) AS currency
                    FROM e WINDOW o AS (PARTITION BY user_id ORDER BY event_id))
