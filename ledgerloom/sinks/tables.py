@@ -101,7 +101,7 @@ def record_json(records: DataFrame, keys: list[str]) -> DataFrame:
 def write_record_files(records: DataFrame, keys: list[str], path: str) -> None:
     """JSON lines per request, published by the committer only when the whole job succeeds."""
     lines = record_json(records, keys).withColumnRenamed("json", "value")
-    lines.repartition(*keys).write.mode("overwrite").partitionBy(*keys).text(path)
+    lines.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
 def write_batch_files(batches: DataFrame, jobs: DataFrame, path: str) -> None:

@@ -1,8 +1,8 @@
 """Request messages: split, filter, route, process once, publish results and dead letters.
 
-All message logic is stateless column work; the only state is the ledger. A micro-batch writes its batches,
-results and dead letters first and its ledger events last, each to a folder of the epoch, so re-delivery and
-repeated epochs change nothing.
+All message logic is stateless column work; the only state is the ledger. A micro-batch first writes the jobs it has
+claimed as PROCESSING, then its batches, results and dead letters, and last all its ledger events, each to a folder
+of the epoch, so re-delivery and repeated epochs change nothing.
 """
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from ..functions.text import generated_id, run_id
 from ..operators.batches import build_batches
 from ..session import cut
 from ..sinks import tables as store
+from ..sources.listing import resolved_format
 from ..sources.profiles import PROFILE_BY_TEMPLATE, profile_of_template
 
 # Keys that make a message a parse request, and JSON texts that count as empty.
@@ -168,6 +169,34 @@ def output_path_of(path: Column) -> Column:
     return F.concat(F.regexp_replace(path, r"\.[^./]+$", ""), F.lit(".json"))
 
 
+def _parsed(claimed: DataFrame, records_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The records of all claimed requests; if that fails, request by request, so that one cannot fail the others."""
+    try:
+        return cut(records_of(claimed))
+    except Exception:  # noqa: BLE001  whatever a parser raises becomes the error of its request
+        spark = claimed.sparkSession
+        out = spark.createDataFrame([], "file_seq_id string, file_ord int, table_no int, src_row bigint, error string")
+        for row in claimed.select("file_seq_id").collect():  # the requests of one micro-batch
+            try:
+                part = cut(records_of(claimed.filter(F.col("file_seq_id") == row["file_seq_id"])))
+            except Exception as e:  # noqa: BLE001
+                said = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else 'no reason given'}"
+                part = spark.createDataFrame([(row["file_seq_id"], said)], "file_seq_id string, error string")
+            out = out.unionByName(part, allowMissingColumns=True)
+        return out if "record" in out.columns else out.withColumn("record", F.lit(None).cast("string"))
+
+
+def _event(spark: SparkSession, batch_size: int) -> dict[str, Column]:
+    """What every ledger event of a step says; the time is taken once per step."""
+    now = F.lit(spark.sql("select current_timestamp() t").first()["t"])
+    declared = F.get_json_object("request", "$.fileImportDetails.format")
+    return {
+        "event_ts": now, "rule_id": F.get_json_object("request", "$.ruleId"), "engine": F.lit("spark"),
+        "source_type": F.coalesce(resolved_format(F.col("path"), declared), F.when(F.col("is_pdf"), "pdf")), "file_path": F.col("path"),
+        "batch_size": F.lit(batch_size), "warning_count": F.lit(0).cast("bigint"),
+    }
+
+
 def process_epoch(
     messages: DataFrame,
     epoch: int,
@@ -197,7 +226,15 @@ def process_epoch(
             jobs,
         ).withColumn("run_id", run_id(F.col("request"), F.lit(epoch)))
     )
-    records = cut(records_of(claimed))
+    names = [f.name for f in store.read_table(spark, base, "none", store.LEDGER_SCHEMA).schema if f.name != "epoch"]
+    nothing = {
+        "total_records": F.lit(0).cast("bigint"), "total_batches": F.lit(0),
+    }
+    started = cut(claimed.withColumns(
+        {**_event(spark, batch_size), **nothing, "step": F.lit(1), "status": F.lit("PROCESSING"), "error": F.lit(None).cast("string")}
+    ).select(*names))
+    store.write_epoch(started, base, "ledger", epoch)  # seen while the work goes on; replaced below
+    records = _parsed(claimed, records_of)
     failed = records.filter(F.col("error").isNotNull()).groupBy("file_seq_id").agg(F.min("error").alias("error"))
     good = records.join(failed, "file_seq_id", "left_anti").drop("error")
     batches = (
@@ -239,32 +276,18 @@ def process_epoch(
             "file_seq_id", "error", "retryable", "original"))
     )
     store.write_epoch(letters, base, "dead_letters", epoch)
-    # one time for the whole epoch, taken once: an event's place is (time, step)
-    now = F.lit(spark.sql("select current_timestamp() t").first()["t"])
-    event = {
-        "event_ts": now, "rule_id": F.lit(None).cast("string"), "engine": F.lit(None).cast("string"),
-        "source_type": F.when(F.col("is_pdf"), "pdf").otherwise("csv"), "file_path": F.col("path"),
-        "batch_size": F.lit(batch_size), "warning_count": F.lit(0).cast("bigint"),
-    }
+    event = _event(spark, batch_size)
     finished = outcome.withColumns({**event, "step": F.lit(2)})
-    started = finished.withColumns(
-        {
-            "status": F.lit("PROCESSING"), "step": F.lit(1), "error": F.lit(None).cast("string"),
-            "total_records": F.lit(0).cast("bigint"), "total_batches": F.lit(0),
-        }
-    )
-    names = [f.name for f in store.read_table(spark, base, "none", store.LEDGER_SCHEMA).schema if f.name != "epoch"]
     # a rejected request makes a FAILED job only for a key that has no job; it never hides an earlier result
     known_keys = jobs.select("file_seq_id").union(claimed.select("file_seq_id")).distinct()
     refused = routed.filter(F.col("route") == "dead").join(known_keys, "file_seq_id", "left_anti")
-    rejected = refused.dropDuplicates(["file_seq_id"]).withColumns(
+    rejected = refused.dropDuplicates(["file_seq_id"]).withColumn("request", F.to_json("item")).withColumns(
         {
-            **event, "step": F.lit(2), "status": F.lit("FAILED"),
-            "run_id": run_id(F.to_json("item"), F.lit(epoch)), "request": F.to_json("item"),
-            "total_records": F.lit(0).cast("bigint"), "total_batches": F.lit(0),
+            **event, **nothing, "step": F.lit(2), "status": F.lit("FAILED"),
+            "run_id": run_id(F.to_json("item"), F.lit(epoch)),
         }
     )
-    ledger = started.select(*names).unionByName(finished.select(*names)).unionByName(rejected.select(*names))
+    ledger = started.unionByName(finished.select(*names)).unionByName(rejected.select(*names))
     store.write_epoch(ledger, base, "ledger", epoch)
 
 

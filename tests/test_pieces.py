@@ -226,6 +226,34 @@ def test_replay_changes_nothing(spark, tmp_path):
     assert got.count() == 1
 
 
+def test_claimed_jobs_show_and_failures_stay_apart(spark, tmp_path):
+    base = str(tmp_path)
+    sent = [json.dumps({"fileSeqId": k, "path": f"/x/{k}.csv", "ruleId": "r1"}) for k in "AB"]
+    df = spark.createDataFrame([(0, 7, sent[0]), (1, 7, sent[1])], "partition int, offset bigint, value string")
+
+    def jobs():
+        rows = store.latest_jobs(store.read_table(spark, base, "ledger", store.LEDGER_SCHEMA)).collect()
+        return {r["file_seq_id"]: (r["status"], r["error"], r["total_records"], r["rule_id"], r["source_type"]) for r in rows}
+
+    def dies(claimed):
+        raise SystemExit
+
+    with pytest.raises(SystemExit):
+        R.process_epoch(df, 0, base, dies)
+    assert jobs() == {k: ("PROCESSING", None, 0, "r1", "csv") for k in "AB"}
+
+    def records_of(claimed):
+        if claimed.filter("file_seq_id = 'B'").count():
+            raise OSError("unreadable file")
+        return claimed.select("file_seq_id", F.lit(0).alias("file_ord"), F.lit(0).alias("table_no"), F.lit(2).cast("bigint").alias("src_row"),
+                              F.lit("{}").alias("record"), F.lit(None).cast("string").alias("error"))
+
+    R.process_epoch(df, 0, base, records_of)  # the same epoch after the crash
+    assert jobs() == {"A": ("COMPLETED", None, 1, "r1", "csv"), "B": ("FAILED", "OSError: unreadable file", None, "r1", "csv")}
+    letters = spark.read.parquet(f"{base}/dead_letters").collect()
+    assert [(r["file_seq_id"], r["retryable"]) for r in letters] == [("B", True)]
+
+
 def test_record_files(spark, tmp_path):
     df = spark.createDataFrame([("A", "secret", 2, None)], "file_seq_id string, batch_id string, _row int, x string")
     store.write_record_files(df, ["file_seq_id"], str(tmp_path / "out"))
