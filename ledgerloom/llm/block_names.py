@@ -67,21 +67,27 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block
     several rows with one text and one key, one is kept. An empty table gives no rows. ``carry`` are input columns that
     the result shall have too, as struct ``input``, so that no name can clash.
     """
-    extra = {"input": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {}
-    rows = pick(docs, body=normalised(F.col(f"`{text}`")), key=F.col(f"`{key}`"), **extra)
-    rows = rows.withColumn("n", F.length("body")).withColumn("head", F.substring("body", 1, 64))
+    held = {"input": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {}
+    extra = list(held)
+    if not carry or text not in carry:
+        held["source"] = F.col(f"`{text}`").cast("string")
+    source = F.col("source") if "source" in held else F.col("input")[text]  # a text moves once, whoever asks for it
+    body = normalised(source).alias("body")
+    rows = pick(docs, key=F.col(f"`{key}`"), **held)
+    rows = rows.select("*", F.length(body).alias("n"), F.substring(body, 1, 64).alias("head"))
     heads = rows.groupBy("n", "head").agg(F.count(F.lit(1)).alias("like")).filter("like > 1").drop("like")
     heads = work_table(heads, "shared-heads")
-    digest = F.sha2("body", 256).alias("text_sha256")
+    digest = F.sha2(body, 256).alias("text_sha256")
     out = [F.col("key").alias(key), "keep_id", "group_size", "kept", "text_sha256", *extra]
-    single = rows.select("n", "head", "key", digest, *extra).join(heads, ["n", "head"], "left_anti").select(
+    single = rows.select("n", "head", "key", digest, *extra).hint("merge").join(heads, ["n", "head"], "left_anti").select(
         "*", F.col("key").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     # rows get numbers where they are written, so that the numbers stay
     shared = rows.hint("merge").join(heads, ["n", "head"], "left_semi").withColumn("row", F.monotonically_increasing_id())
-    shared = work_table(shared.select("row", "n", "body", "key", digest, *extra), "shared")
-    named = work_table(identities(shared, block).join(shared.select("row", "key"), "row"), "identities")
+    shared = work_table(shared.select("row", "n", "key", *held), "shared")
+    named = work_table(identities(shared.select("row", "n", body), block).join(shared.select("row", "key"), "row"), "identities")
     order = F.struct(F.col("key").isNull(), F.col("key"), F.col("row"))
     groups = named.groupBy("n", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
     groups = work_table(groups.select("n", "name", "group_size", F.col("first.key").alias("keep_id"), F.col("first.row").alias("keep_row")), "groups")
     decided = named.join(groups, ["n", "name"]).select("row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"))
-    return single.select(*out).unionByName(shared.join(decided, "row").select(*out))
+    many = shared.join(decided, "row").select("key", "keep_id", "group_size", "kept", digest, *extra)
+    return single.select(*out).unionByName(many.select(*out))

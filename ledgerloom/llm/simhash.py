@@ -120,10 +120,11 @@ def link_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---- over documents -------------------------------------------------------------------------------------------------
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, carry: list[str] | None = None) -> DataFrame:
-    """``key`` as key and print (64 bits as a long) of each row; null texts have no words."""
-    extra = {"input": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {}
-    rows = pick(docs, key=F.col(f"`{key}`"), text=F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), print=F.lit(0).cast("long"), **extra)
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, same: bool = False) -> DataFrame:
+    """``key`` as key and print (64 bits as a long) of each row; null texts have no words. With ``same`` also the text's hash."""
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    extra = {"same": F.xxhash64(whole)} if same else {}
+    rows = pick(docs, key=F.col(f"`{key}`"), text=whole, print=F.lit(0).cast("long"), **extra)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,11 +249,19 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     """
     if bits > BITS:
         raise ValueError(f"the keys find links of up to {BITS} bits")
-    rows = work_table(fingerprints(docs, key, text, shingle, carry), "prints")
+    rows = work_table(fingerprints(docs, key, text, shingle, bool(carry)), "prints")
     least = work_table(rows.groupBy("print").agg(F.min("key").alias("least")), "distinct-prints")
     roots = print_components(least.select("print"), bits)
     rooted = least.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     decided = rooted.join(groups, "root").select("print", "component_id")
-    return rows.join(decided, "print").select(
-        F.col("key").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *(["input"] if carry else []))
+    found = rows.join(decided, "print").select(
+        F.col("key").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *(["same"] if carry else []))
+    if not carry:
+        return found
+    # the texts move once, to what was decided; rows alike in key and text are decided alike
+    found = found.distinct()
+    rows = pick(docs, mine=F.col(f"`{key}`"), own=F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))),
+                input=F.struct(*(F.col(f"`{c}`") for c in carry)))
+    return rows.hint("merge").join(found, F.col("mine").eqNullSafe(F.col(key)) & (F.col("own") == F.col("same"))).select(
+        key, "fingerprint", "component_id", "input")
