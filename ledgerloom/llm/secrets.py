@@ -28,16 +28,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Places of credentials beyond the base pattern; group 1 is the value.
+#: Places of credentials beyond the base pattern; group 1 is the value, of any length: it ends at a quote, blank or @.
 CONTEXTS = tuple(
     re.compile(p, re.IGNORECASE | re.ASCII)
     for p in (
-        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*"([^"\n]{6,200})\"""",
-        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*'([^'\n]{6,200})'""",
-        r"""\b(?:passphrase|pwd|credential|access[_-]?key|private[_-]?key|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*([^\s"',;]{6,200})""",
-        r"""\b(?:password|passwd|secret|token|api[_-]?key)[\x20\t]*[:=][\x20\t]*([^\s"',;]{6,200})""",
+        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*"([^"\n]{6,})\"""",
+        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*'([^'\n]{6,})'""",
+        r"""\b(?:passphrase|pwd|credential|access[_-]?key|private[_-]?key|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*([^\s"',;]{6,})""",
+        r"""\b(?:password|passwd|secret|token|api[_-]?key)[\x20\t]*[:=][\x20\t]*([^\s"',;]{6,})""",
         r"""\bauthorization["']?[\x20\t]*[:=][\x20\t]*["']?(?:bearer|basic|token)[\x20\t]+([A-Za-z0-9+/_.=~-]{6,})""",
-        r"""\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:([^\s:/@]{6,200})@""",
+        r"""(?<=[a-z0-9+.-])://[^\s:/@]+:([^\s:/@]{6,})@""",
     )
 )
 
@@ -145,6 +145,8 @@ def _walk(text: str) -> float | None:
 def segments(value: str) -> list[tuple[str, str, float]]:
     """The cheapest segmentation of ``value``: (kind, part, log10 of guesses)."""
     if len(value) > STRETCH:
+        if (cost := _repeat(value)) is not None and cost < LEAST_COST:
+            return [("repeat", value, cost)]
         return [s for i in range(0, len(value), STRETCH) for s in segments(value[i : i + STRETCH])]
     best: list[tuple[float, int, str]] = [(0.0, 0, "")]
     for end in range(1, len(value) + 1):
@@ -174,6 +176,18 @@ def guess_cost(value: str) -> float:
     return sum(c for _, _, c in segments(value))
 
 
+def _is_costly(value: str) -> bool:
+    """Whether guess_cost reaches LEAST_COST; no stretch costs nothing, so a long value is settled by its first ones."""
+    if len(value) <= STRETCH or (_repeat(value) or LEAST_COST) < LEAST_COST:
+        return guess_cost(value) >= LEAST_COST
+    cost = 0.0
+    for i in range(0, len(value), STRETCH):
+        cost += guess_cost(value[i : i + STRETCH])
+        if cost >= LEAST_COST:
+            return True
+    return False
+
+
 # ---- spans ----------------------------------------------------------------------------------------------------------
 
 
@@ -197,7 +211,7 @@ def guess_spans(text: str) -> list[tuple[int, int, int]]:
     found |= {m.span(1) for pattern in CONTEXTS for m in pattern.finditer(text)}
     out: list[tuple[int, int, int]] = []
     for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
-        if (not out or a >= out[-1][2]) and not any(c.isspace() for c in text[a:b]) and guess_cost(text[a:b]) >= LEAST_COST:
+        if (not out or a >= out[-1][2]) and not any(c.isspace() for c in text[a:b]) and _is_costly(text[a:b]):
             out.append((a, 3, b))
     return out
 

@@ -183,3 +183,13 @@ def test_guess_costs():
     spans = {text[a:b] for a, _, b in secrets.guess_spans(text)}
     assert spans == {"8fJ2-kQ91!xZ", "q8Zr!kV2mx"}
     assert "".join(part for _, part, _ in secrets.segments("monkey2019qwerty!!")) == "monkey2019qwerty!!"
+
+
+def test_long_secrets_are_whole():
+    value = "aZ3kQ9xLw7Tr" * 7 + "fJ2mVbN8cY" * 22
+    long_user = "svc" + "u" * 80
+    for text in (f"private_key={value} end", f'private_key="{value}" end', f"pwd='{value}' end", f"auth_key: {value}\n", f"amqp://me:{value}@host", f"amqp://{long_user}:q8Zr!kV2mx@host",
+                 f"averylongscheme-with-a-driver-name://me:{value}@host"):
+        secret = "q8Zr!kV2mx" if long_user in text else value
+        assert [(text[a:b]) for a, _, b in secrets.guess_spans(text)] == [secret]
+    assert secrets.guess_cost("*" * 300) < secrets.LEAST_COST and secrets.guess_spans(f'pwd="{"*" * 300}"') == []
