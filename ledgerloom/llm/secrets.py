@@ -28,15 +28,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Places of credentials beyond the base pattern; group 1 is the value, of any length: it ends at a quote, blank or @.
+#: Places of credentials beyond the base pattern; group 1 is the value, of any length: it ends at a quote, blank or @. Names may have a prefix
+#: (``DB_PWD``, ``dbPwd``); quoted values may hold blanks, and line breaks in keys of PEM form.
 CONTEXTS = tuple(
     re.compile(p, re.IGNORECASE | re.ASCII)
     for p in (
-        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*"([^"\n]{6,})\"""",
-        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*'([^'\n]{6,})'""",
-        r"""\b(?:passphrase|pwd|credential|access[_-]?key|private[_-]?key|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*([^\s"',;]{6,})""",
-        r"""\b(?:password|passwd|secret|token|api[_-]?key)[\x20\t]*[:=][\x20\t]*([^\s"',;]{6,})""",
-        r"""\bauthorization["']?[\x20\t]*[:=][\x20\t]*["']?(?:bearer|basic|token)[\x20\t]+([A-Za-z0-9+/_.=~-]{6,})""",
+        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*"([^"\n]{6,}|\s*-----BEGIN\x20[^"]+)\"""",
+        r"""(?:password|passwd|passphrase|pwd|secret|token|credential|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*'([^'\n]{6,}|\s*-----BEGIN\x20[^']+)'""",
+        r"""(?:passphrase|pwd|credential|access[_-]?key|private[_-]?key|auth[_-]?key)["']?[\x20\t]*(?:[:=]|=>|\bis\b)[\x20\t]*([^\s"',;]{6,})""",
+        r"""(?:password|passwd|secret|token|api[_-]?key)[\x20\t]*[:=][\x20\t]*([^\s"',;]{6,})""",
+        r"""authorization["']?[\x20\t]*[:=][\x20\t]*["']?(?:bearer|basic|token)[\x20\t]+([A-Za-z0-9+/_.=~-]{6,})""",
         r"""(?<=[a-z0-9+.-])://[^\s:/@]+:([^\s:/@]{6,})@""",
     )
 )
@@ -211,7 +212,7 @@ def guess_spans(text: str) -> list[tuple[int, int, int]]:
     found |= {m.span(1) for pattern in CONTEXTS for m in pattern.finditer(text)}
     out: list[tuple[int, int, int]] = []
     for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
-        if (not out or a >= out[-1][2]) and not any(c.isspace() for c in text[a:b]) and _is_costly(text[a:b]):
+        if (not out or a >= out[-1][2]) and _is_costly(text[a:b]):
             out.append((a, 3, b))
     return out
 
