@@ -2,8 +2,9 @@
 
 The events of the standard library's parser are turned into lines: one for each block. A line's ratio is its characters
 by its tags; ratios are smoothed with a Gaussian over neighbouring lines and split into two clusters at the threshold
-that parts them best. The lines above it show where the content is: the innermost element that holds nearly all
-their text is the article, and all its lines are the main text, short ones too. Elements that are no reading matter
+that parts them best. The lines above it show where the content is: all of them are main text. The innermost element that
+holds nearly all their text is the article, and all its lines are main text, short ones too, as are those of further
+article elements with lines above the threshold, and short lines between these within the least common container. Elements that are no reading matter
 (menus, footers, forms, adverts, notices, comments, ...) never count, wherever they stand.
 
 Each page is parsed where it is; a page is the unit of work and memory.
@@ -176,7 +177,16 @@ def main_text(html: str | None) -> str:
     elif article is not None and page.elements[article] in ("p", "li", "td", "h1", "h2", "h3", "blockquote"):
         above = [n for n in holders if n < article]
         article = max(above, default=article)
-    return "\n\n".join(text for text, _, path in lines if article is None or article in path)
+    if article is None:
+        return "\n\n".join(text for text, _, _ in lines)
+    places = np.flatnonzero(content)
+    common = max((n for n, w in weight.items() if w == most and page.elements[n] in BLOCKS), default=None)
+    whole = {article} | {max(own) for i in places if (own := [n for n in lines[i][2] if page.elements[n] == "article"])}
+    kept = (
+        chosen or not whole.isdisjoint(path) or places[0] < i < places[-1] and (common is None or common in path)
+        for i, ((_, _, path), chosen) in enumerate(zip(lines, content))
+    )
+    return "\n\n".join(text for (text, _, _), k in zip(lines, kept) if k)
 
 
 def main_texts(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -80,6 +80,18 @@ def test_pages_without_article_element():
     assert [t[:9] for t in html_text.main_text(page).split("\n\n")] == ["Long text", "Brief.", "Long text"]
 
 
+LONG = "Long text of the part, with many words in it. "
+
+
+@pytest.mark.parametrize("first, second", [
+    ("<div>{}</div>", "<div>{}</div>"), ("<main><article>{}</article>", "<article>{}</article></main>"),
+    ("<section><article>{}</article></section>", "<section><article>{}</article></section>"),
+])
+def test_content_outside_the_article(first, second):
+    page = f"<body><nav><a href=1>a</a></nav>{first.format(f'<p>{LONG * 5}</p>' * 40)}<p>Between.</p>{second.format(f'<p>{LONG * 5}</p>' * 4)}<footer>f</footer>"
+    assert html_text.main_text(page).split("\n\n") == [(LONG * 5).strip()] * 40 + ["Between."] + [(LONG * 5).strip()] * 4
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y"), (1, "u", PAGE, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
