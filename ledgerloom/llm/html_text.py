@@ -5,7 +5,8 @@ by its tags; ratios are smoothed with a Gaussian over neighbouring lines and spl
 that parts them best. The lines above it show where the content is: all of them are main text. The innermost element that
 holds nearly all their text is the article, and all its lines are main text, short ones too, as are those of further
 article elements with lines above the threshold, and short lines between these within the least common container. Elements that are no reading matter
-(menus, footers, forms, adverts, notices, comments, ...) never count, wherever they stand.
+(menus, footers, forms, adverts, notices, comments, ...) never count, wherever they stand; those that only their names, roles
+or a form tag tell count all the same where they hold most of the page's text.
 
 Each page is parsed where it is; a page is the unit of work and memory.
 """
@@ -31,17 +32,24 @@ BLOCKS = frozenset(
 )
 #: Elements without reading matter.
 SKIPPED = frozenset(
-    """aside audio button canvas datalist dialog embed footer form head iframe input map menu nav noscript object option script
+    """aside audio button canvas datalist dialog embed footer head iframe input map menu nav noscript object option script
     select style svg template textarea title video""".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Parts of class and id names of such elements.
+#: Class and id names of such elements; a name counts when all its parts stand here or, but for one, in BESIDE.
 NAMES = frozenset(
     """ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies
     disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup
     promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social
     sponsor sponsored subscribe subscription toolbar widget""".split()
 )
+BESIDE = frozenset(
+    """area bar block body bottom box button buttons column container entry form global group header icon icons inner item items left
+    link links list main outer page panel post primary right row secondary section site slot text top unit wrap wrapper""".split()
+)
+_NAMES_AND_BESIDE = NAMES | BESIDE
+#: Names of readers' comments, which may be longer than the text they are about.
+COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 #: Start tags before which an open paragraph ends.
 _ENDS_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "title", "legend", "summary"}
 #: Elements that end an open one of the same group.
@@ -50,28 +58,30 @@ _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 #: Lines within which neighbours weigh, and the share of the content's text the article must hold.
 SIGMA, HELD = 1.0, 0.9
+#: Share of the page's text above which an element is no menu, form or notice.
+MOST = 0.5
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text, number of tags and the open elements."""
+    """Lines of a page: parts of text, number of tags and the open elements; ``doubtful`` elements are skipped unless they hold most."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # tag, number of the element, skipped
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.parts: list[str] = []
+        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, number of the element, skipped, doubtful ones around
+        self.lines: list[tuple[list[tuple[str, tuple[int, ...]]], int, tuple[int, ...]]] = []
+        self.parts: list[tuple[str, tuple[int, ...]]] = []
         self.tags = 0
         self.elements: list[str] = []
+        self.doubtful: dict[int, tuple[float, frozenset[int]]] = {}  # share of the text from which each counts, articles around
 
     def line_ends(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text:
-            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.open)))
+        if any(text.strip() for text, _ in self.parts):
+            self.lines.append((self.parts, self.tags, tuple(n for _, n, _, _ in self.open)))
             self.tags = 0
         self.parts = []
 
     def pop_to(self, depth: int) -> None:
-        if any(tag in BLOCKS for tag, _, _ in self.open[depth:]):
+        if any(tag in BLOCKS for tag, _, _, _ in self.open[depth:]):
             self.line_ends()
         del self.open[depth:]
 
@@ -80,7 +90,7 @@ class _Lines(HTMLParser):
             self.line_ends()
         self.tags += 1
         if tag in ("article", "main"):  # a menu or notice left open ends here
-            first = next((i for i, (t, _, skipped) in enumerate(self.open) if skipped and t not in ("aside", "dialog", "template", "noscript")), None)
+            first = next((i for i, (t, n, skipped, _) in enumerate(self.open) if (skipped or n in self.doubtful) and t not in ("aside", "dialog", "template", "noscript", "form", "article")), None)
             if first is not None:
                 self.pop_to(first)
         if tag in _ENDS_P or tag in _SIBLINGS:
@@ -93,12 +103,18 @@ class _Lines(HTMLParser):
                 if self.open[i][0] in BLOCKS:
                     break
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((" ", ()))
         if tag in VOID:
             return
+        n = len(self.elements)
         self.elements.append(tag)
-        skipped = self.open[-1][2] if self.open else False
-        self.open.append((tag, len(self.elements) - 1, skipped or _is_skipped(tag, attrs, any(t in ("article", "main") for t, _, _ in self.open))))
+        skipped, around = self.open[-1][2:] if self.open else (False, ())
+        if not skipped and (tag in SKIPPED or _is_hidden(attrs) or tag == "header" and not any(t in ("article", "main") for t, _, _, _ in self.open)):
+            skipped = True
+        if not skipped and (share := _doubt(tag, attrs)):
+            self.doubtful[n] = share, frozenset(m for t, m, _, _ in self.open if t in ("article", "main"))
+            around += (n,)
+        self.open.append((tag, n, skipped, around))
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -110,24 +126,60 @@ class _Lines(HTMLParser):
             self.line_ends()
 
     def handle_data(self, data):
-        if not (self.open and self.open[-1][2]):
-            self.parts.append(data)
+        skipped, around = self.open[-1][2:] if self.open else (False, ())
+        if not skipped:
+            self.parts.append((data, around))
+
+    def article_beside(self, n: int, above: frozenset[int]) -> bool:
+        """Whether an article with text stands neither in nor around element ``n``."""
+        return any(
+            n not in path and any(self.elements[m] in ("article", "main") and m not in above and m not in self.doubtful for m in path) for _, _, path in self.lines
+        )
 
+    def reading_matter(self) -> list[tuple[str, int, tuple[int, ...]]]:
+        """Lines without the doubtful elements that hold too little; their tags count for the next line, as other skipped tags do."""
+        held, every = dict.fromkeys(self.doubtful, 0), 0
+        for parts, _, _ in self.lines if self.doubtful else ():
+            for text, around in parts:
+                size = len("".join(text.split()))
+                every += size
+                for n in around:
+                    held[n] += size
+        dropped = {n for n, (share, above) in self.doubtful.items() if held[n] <= share * every or self.article_beside(n, above)}
+        out, tags = [], 0
+        for parts, own, path in self.lines:
+            tags += own
+            text = " ".join("".join(t for t, around in parts if dropped.isdisjoint(around)).split())
+            if text:
+                out.append((text, tags, path))
+                tags = 0
+        return out
 
-def _is_skipped(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
-    if tag in SKIPPED or tag == "header" and not inside:
-        return True
+
+def _is_hidden(attrs: list[tuple[str, str | None]]) -> bool:
     if not attrs:
         return False
     values = {k: v or "" for k, v in attrs}
-    if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
-        return True
-    if tag in ("html", "body", "main"):
-        return False
-    if values.get("role", "").lower() in ROLES:
-        return True
-    named = _NAME_PARTS.findall(f"{values.get('class', '')} {values.get('id', '')}")
-    return any(part.lower() in NAMES for part in named)
+    return "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")) is not None
+
+
+def _doubt(tag: str, attrs: list[tuple[str, str | None]]) -> float | None:
+    """Share of the page's text from which the element counts all the same; None if nothing tells against it."""
+    if tag == "form":
+        return MOST
+    if not attrs or tag in ("html", "body", "main"):
+        return None
+    values = {k: v or "" for k, v in attrs}
+    named: set[str] = set()
+    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
+        parts = {p.lower() for p in _NAME_PARTS.findall(name)}
+        if parts <= _NAMES_AND_BESIDE:
+            named |= parts & NAMES
+    if named & COMMENTS:
+        return HELD
+    if tag == "article":
+        return None
+    return MOST if named or values.get("role", "").lower() in ROLES else None
 
 
 def threshold(values: np.ndarray) -> float:
@@ -158,7 +210,7 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.line_ends()
-    lines = page.lines
+    lines = page.reading_matter()
     if not lines:
         return ""
     ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])

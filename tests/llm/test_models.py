@@ -92,6 +92,19 @@ def test_content_outside_the_article(first, second):
     assert html_text.main_text(page).split("\n\n") == [(LONG * 5).strip()] * 40 + ["Between."] + [(LONG * 5).strip()] * 4
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<article class="post has-comments">', "</article>"), ('<article class="category-social">', "</article>"), ('<article class="promo">', "</article>"),
+    ('<div class="layout has-sidebar">', "</div>"), ('<div id="no-sidebar">', "</div>"), ('<div class="content with-menu">', "</div>"),
+    ("<form id=aspnetForm>", "</form>"), ("<main><h1>Title</h1><form>", "</form></main>"), ("<form><div><p>Foreword of it.</p><article>", "</article></div></form>"), ("<div class=widget>", "</div>"),
+])
+def test_containers_with_names_of_boilerplate(start, end):
+    side = '<div class="sidebar"><p>Other</p></div><div class="site-footer"><p>Imprint</p></div><ul class="nav-menu"><li>Menu</ul>'
+    page = f"<body><nav><a href=1>a</a></nav>{start}<p>{LONG * 8}</p><p>Brief.</p><p>{LONG * 9}</p>{side}{end}{side}"
+    assert html_text.main_text(page).split("\n\n")[-3:] == [(LONG * 8).strip(), "Brief.", (LONG * 9).strip()]
+    comments = f'<section id="comments"><article class="comment-body"><p>{LONG * 30}</p></article></section>'
+    assert "Other" not in html_text.main_text(page + comments) and len(html_text.main_text(f"<article><p>{LONG * 8}</p></article>{comments}")) < len(LONG * 9)
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y"), (1, "u", PAGE, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
