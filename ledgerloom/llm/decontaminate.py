@@ -40,7 +40,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Items:
     """A block of benchmark items, ready for searching."""
 
-    ids: list[str]
+    ids: list[str | None]
     vocabulary: dict[bytes, int]
     windows: np.ndarray  # word numbers of each distinct window, as keys; 0 past the end of a short one
     widths: np.ndarray  # words of each window
@@ -54,7 +54,7 @@ def _keys(words: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(words.astype(">u4")).view(f"S{4 * words.shape[1]}").ravel()
 
 
-def prepare(items: list[tuple[str, str]], width: int = WINDOW) -> Items:
+def prepare(items: list[tuple[str | None, str]], width: int = WINDOW) -> Items:
     vocabulary: dict[bytes, int] = {}
     rows: dict[tuple[int, ...], list[tuple[int, int]]] = {}
     for i, (_, text) in enumerate(items):
@@ -119,12 +119,12 @@ def _shards(texts: list[str | None], vocabulary: dict[bytes, int], size: int = S
 
 
 def _item_blocks(items: DataFrame, item: str, text: str, limit: int) -> Iterator[Items]:
-    """The benchmark in blocks of about ``limit`` bytes: their number follows from its size, an id chooses its block."""
-    rows = pick(items, id=F.col(f"`{item}`").cast("string"), text=F.col(f"`{text}`").cast("string")).filter("id is not null and text is not null")
+    """The benchmark in blocks of about ``limit`` bytes: their number follows from its size, id and text choose the block."""
+    rows = pick(items, id=F.col(f"`{item}`").cast("string"), text=F.col(f"`{text}`").cast("string")).filter("text is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(1, -(-2 * total // limit) if total > limit else 1)
     for block in range(blocks):
-        chosen = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
+        chosen = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
         yield prepare([(r["id"], r["text"]) for r in chosen.collect()])
 
 
@@ -145,8 +145,9 @@ def _scan_batch(batch: pa.RecordBatch, items: Items) -> pa.RecordBatch:
         owners = items.owners[_spans(items.first_owner[window], pairs)]
         met = np.unique(np.repeat(doc, pairs) * len(items.ids) + owners) if len(owners) else np.zeros(0, np.int64)
         for x in met.tolist():
-            i = docs[x // len(items.ids)]
-            found[i] = [*(found[i] or ()), items.ids[x % len(items.ids)]]
+            i, name = docs[x // len(items.ids)], items.ids[x % len(items.ids)]
+            if name is not None:
+                found[i] = [*(found[i] or ()), name]
         for k, i in enumerate(docs):
             own = hit[starts[k] : starts[k + 1] - 1]
             if marks[i] is not None:
@@ -163,8 +164,8 @@ def mark(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     """Each row of ``docs`` with ``key``, n_words, n_hit, item_ids (sorted, distinct) and the columns in ``carry`` as ``input``.
 
     A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but at least one, is one window. A
-    word of a document is hit if it lies in an occurrence of a window. Null texts have no words; items without words,
-    a text or an id never occur; items of one id count as one. An empty benchmark hits nothing; an empty table of
+    word of a document is hit if it lies in an occurrence of a window. Null texts have no words; items without words
+    or a text never occur; items without an id hit words but are not in item_ids; items of one id count as one. An empty benchmark hits nothing; an empty table of
     documents gives no rows; repeated rows are judged each for itself.
     """
     extra = {"input": F.struct(*(F.col(f"`{c}`") for c in carry))} if carry else {}
@@ -185,7 +186,8 @@ def longest_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
                     item_text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
     """The verbatim matches of at least a window, each as long as it gets: ``key``, doc_word, item_id, item_word, n_words.
 
-    ``doc_word`` and ``item_word`` are the places, from 0, of the match's first word. Nulls and empty tables as in ``mark``.
+    ``doc_word`` and ``item_word`` are the places, from 0, of the match's first word. Nulls and empty tables as in ``mark``,
+    but that items without an id match with a null item_id; equal items count as one.
     """
     kind = docs.select(F.col(f"`{key}`").alias("key")).schema["key"].dataType.simpleString()
     rows, out = pick(docs, key=F.col(f"`{key}`"), text=F.col(f"`{text}`").cast("string")), None

@@ -54,6 +54,19 @@ def plain_passage():
     return "x " + PASSAGE
 
 
+def test_items_without_id_and_of_one_id(spark):
+    docs = spark.createDataFrame([(1, "q " + plain_passage() + " r"), (2, "nothing")], "doc_id long, text string")
+    for limit in (decontaminate.BLOCK_BYTES, 200):
+        items = spark.createDataFrame([(None, plain_passage())], "item_id long, text string")
+        found = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontaminate.mark(docs, items, limit=limit).collect()}
+        assert found == {1: (61, []), 2: (0, [])}
+    items = spark.createDataFrame([(7, f"text number {i}") for i in range(200)] + [(7, "text number 0")] * 200, "item_id long, text string")
+    sizes = [len(b.ids) for b in decontaminate._item_blocks(items, "item_id", "text", 700)]
+    assert sum(sizes) == 200 and max(sizes) * 16 < 2 * 700
+    found = decontaminate.mark(spark.createDataFrame([(1, "a text number 150 of it")], "doc_id long, text string"), items, limit=700).first()
+    assert (found["n_hit"], found["item_ids"]) == (3, ["7"])
+
+
 def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, "q " + plain_passage() + " r"), (2, "nothing")], "doc_id long, text string")
     items = spark.createDataFrame([(9, plain_passage())], "item_id long, text string")
