@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, decontaminate, filter_audit, html_text, language, packing, repeats, secrets, simhash, token_counts, toxicity
+from . import block_names, byte_pairs, decontaminate, filter_audit, html_text, language, packing, repeats, secrets, simhash, token_counts, toxicity
 from .common import crc_part, table
 
 
@@ -75,8 +75,18 @@ def op11_posting_list_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op12_digest(encoded: DataFrame, path: str) -> DataFrame:
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2(byte_pairs.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+def op12_byte_pair_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return op12_digest(byte_pairs.encode(table(spark, sf_dir, "documents"), path), path)
+
+
 QUERIES = {f.__name__: f for f in (op1_text_tag_ratio, op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op7_guess_cost_secrets, op8_block_names, op9_golay_simhash, op10_compression_toxicity,
-                                  op11_posting_list_audit)}
+                                  op11_posting_list_audit, op12_byte_pair_fold)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
