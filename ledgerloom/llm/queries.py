@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import block_names, byte_pairs, decontaminate, filter_audit, html_text, language, packing, repeats, secrets, simhash, token_counts, toxicity
+from . import block_names, byte_pairs, decontaminate, filter_audit, html_text, language, packing, repeats, resampling, secrets, simhash, token_counts, toxicity
 from .common import crc_part, table
 
 
@@ -85,8 +85,12 @@ def op12_byte_pair_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_digest(byte_pairs.encode(table(spark, sf_dir, "documents"), path), path)
 
 
+def op13_line_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_text_tag_ratio, op2_suffix_tree_repeats, op3_language_id, op4_suffix_decontamination, op5_best_fit_packing, op6_token_counts, op7_guess_cost_secrets, op8_block_names, op9_golay_simhash, op10_compression_toxicity,
-                                  op11_posting_list_audit, op12_byte_pair_fold)}
+                                  op11_posting_list_audit, op12_byte_pair_fold, op13_line_resampling)}
 
 #: Texts are equal when they are after replacing each run of white space by one space.
 _OP8_SQL = """
