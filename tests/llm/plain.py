@@ -132,3 +132,54 @@ def secrets(text):
     spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
     spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
     return sorted(spans)
+
+
+def audit(rows, labels, letters="ABCDE"):
+    """Rows are (doc_id, text, source); labels (doc_id, quality, toxic)."""
+    import itertools
+
+    good, toxic = ({d for d, *marks in labels if d is not None and marks[k] == 1} for k in (0, 1))
+    least = {}
+    for d, t, _ in rows:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    parts = defaultdict(list)
+    for d, t, s in rows:
+        t = t or ""
+        w = WORDS.findall(t.encode())
+        fails = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t),
+                 "D": bool(re.search("[#$%&*|]", t)), "E": d is not None and d > least[t]}
+        parts[s or ""].append(({k for k in letters if fails[k]}, d in good, d in toxic))
+    out = []
+    for part, members in parts.items():
+        shapley, found = Counter(), []
+        for order in itertools.permutations(letters):
+            for n, f in enumerate(order):
+                gone = [m for m in members if f in m[0] and not m[0] & set(order[:n])]
+                shapley[f] += len(gone)
+                failing = sum(f in m[0] for m in members)
+                kept = sum(not m[0] & set(order[: n + 1]) for m in members)
+                only = sum(m[0] == {f} for m in members)
+                found.append(("".join(order), n + 1, kept, len(gone), failing - len(gone), only, sum(m[1] for m in gone), sum(m[2] for m in gone), f))
+        out += [(part, *r[:-1], shapley[r[-1]]) for r in found]
+    return out
+
+
+def resampled(docs, items, percent=5, least=20, buckets=10_000, seed=42):
+    import math
+
+    def features(text):
+        w = BENCH_WORDS.findall((text or "").encode().translate(LOWER))
+        return len(w), [zlib.crc32(b" ".join(w[i : i + k])) % buckets for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+    found = [(d, *features(t)) for d, t in docs]
+    s, t = Counter(b for _, _, x in found for b in x), Counter(b for _, x in items for b in features(x)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s_all + buckets) / ((s[b] + 1) * (t_all + buckets)))) for b in range(buckets)]
+    rows = []
+    for d, n, x in found:
+        weight, h = sum(gain[b] for b in x), int(sha(f"{seed}:{'' if d is None else d}")[:8], 16)
+        rows.append((d, len(x), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n >= least))
+    order = sorted((i for i, r in enumerate(rows) if r[4]), key=lambda i: (-rows[i][3], rows[i][0] is None, rows[i][0] or 0))
+    rank = {i: n + 1 for n, i in enumerate(order[: len(order) * percent // 100])}
+    return [(*r[:4], rank.get(i)) for i, r in enumerate(rows)]
