@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.coerce import BOOLEAN_TYPES, INTEGER_TYPES
 from ..session import write_once
-from ..sources.delimited import delimiter_of, header_row_of, scan_delimited
+from ..sources.delimited import delimiter_of, header_row_of, read_delimited
 from ..sources.listing import resolve_paths, resolved_format
 from .batches import build_batches, job_totals
 from .contract import contract_drift, map_headers, type_of, unmapped_headers
@@ -70,7 +70,10 @@ def ingest_delimited(
         header_row_of(F.col("headers_row")).alias("headers_row"))
     # the files to open: their names go through the driver in any case, as the scan needs them
     paths = [r["path"] for r in asked.select("path").distinct().collect()]
-    tables, cells = scan_delimited(spark, asked, paths)
+    read = read_delimited(spark, asked, paths)
+    broken = asked.join(read.rejected, "path").groupBy("file_seq_id").agg(F.min(F.concat("path", F.lit(": "), "error")).alias("error"))
+    rejected, files = rejected.unionByName(broken), files.join(broken, "file_seq_id", "left_anti")
+    tables, cells = (x.join(broken, "file_seq_id", "left_anti") for x in (read.tables, read.cells))
     mapped = write_once(map_headers(tables, contracts), "mapped")
     drift = contract_drift(contracts.join(files.select("file_seq_id").distinct(), "file_seq_id", "left_semi"))
     warnings = drift.unionByName(unmapped_headers(mapped))

@@ -292,3 +292,47 @@ def test_line_breaks_over_block_borders_and_many_columns(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert headers == rows[0] and [r[1] for r in got] == rows[1:] and [r[0] for r in got] == list(range(2, 401))
+
+
+def _read_as_csv(path, delimiter=","):
+    import csv
+
+    csv.field_size_limit(1 << 30)
+    with path.open(newline="", encoding="utf-8-sig") as f:
+        return [r for r in csv.reader(f, delimiter=delimiter)]
+
+
+@pytest.mark.parametrize("content", [
+    'h1|h2\na|"x\r\ny"\r\nb | "open"\r\n', 'h1|h2\r\nb | "no quote\nc|"never\r\nclosed|d\r\ne | f\n', 'h1|h2\nc|"never\nclosed|d\ne | f', "h1|h2\rlone|cr\r\"two\rlines\"|x\r",
+    '\ufeff"h|1"|h2\n1|2', 'h|i\n"a"b"c|d\n""|""""\n"x"" y|z"|1\n"|"', 'h|i\n"a\n\n\n|"|2\n\n"b\r\r\n"|3\n"', 'h|i\n1|"x\r', 'h|i\n1|2\r\n\r\n3|"4"x"\r\n',
+])
+def test_cells_as_the_csv_module_reads_them(spark, tmp_path, content):
+    path = tmp_path / "odd.csv"
+    path.write_bytes(content.encode())
+    expected = _read_as_csv(path, "|")
+    headers, rows = _scanned(spark, path, "|")
+    assert headers == expected[0] and [r[1] for r in rows] == [r for r in expected[1:] if any(c.strip() for c in r)]
+
+
+def test_very_long_cells(spark, tmp_path):
+    rows = [["h1", "h2"], ["q" * 2_500, 'a "quoted" word, ' * 20_000], ["x", "line\r\n" * 150_000], ['"' * 100_000, "y"], ["z" * 1_000_000, ",\n" * 10]]
+    path = tmp_path / "long.csv"
+    with path.open("w", newline="") as f:
+        import csv
+
+        csv.writer(f).writerows(rows)
+    headers, got = _scanned(spark, path)
+    assert headers == rows[0] and [r[1] for r in got] == rows[1:]
+
+
+def test_a_quote_left_open_rejects_its_file_only(spark, tmp_path):
+    from ledgerloom.sources.delimited import read_delimited
+
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text('a,b\n1,"x\ny"\n')
+    bad.write_text('a,b\n1,"x\n' + "2,3\n" * 500)
+    asked = spark.createDataFrame([(n, 0, str(p), ",", 1) for n, p in (("G", good), ("B", bad))], "file_seq_id string, file_ord int, path string, delimiter string, headers_row int")
+    read = read_delimited(spark, asked, [str(good), str(bad)], limit=1000)
+    assert [(r.file_seq_id, r.cells) for r in read.cells.collect()] == [("G", ["1", "x\ny"])]
+    assert [tuple(r) for r in read.rejected.collect()] == [(str(bad), "record 2 has 2005 characters, more than a record of several lines may have")]
+    assert read_delimited(spark, asked, [str(good), str(bad)]).cells.count() == 2
