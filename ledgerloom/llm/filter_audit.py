@@ -131,6 +131,7 @@ def failures(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                 digest=F.unhex(F.sha2(body, 256)), row=F.monotonically_increasing_id(), **text_failures(body))
     rows = work_table(rows, "failures")
     first = rows.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most").select("digest", "least")
+    first = work_table(first, "first-copies")  # a table of its own, so that Spark can split the rows of a text with many copies
     known = pick(labels, key=F.col(f"`{key}`"), good=F.col("quality") == 1, toxic=F.col("toxic") == 1).filter("key is not null")
     known = known.groupBy("key").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
     found = rows.join(first, "digest", "left").withColumn("E", F.col("key") > F.col("least")).join(known, "key", "left")
