@@ -22,6 +22,7 @@ import functools
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,10 @@ from .common import map_batches, pick
 LIST_WORDS, LIST_BYTES = 500_000, 16 << 20
 #: Longest word that is folded.
 FOLD_BYTES = 256
-#: Words of one row, buckets of the rank map (a prime), a number above all ids (a pair of ids is one number), and no id.
-ROW_WORDS, BUCKETS, PAIR = 256, 99_991, 1 << 20
-EDGE = PAIR - 1
+#: Bytes of text cut at once, words of one row, and buckets of the rank map (a prime).
+CUT_BYTES, ROW_WORDS, BUCKETS = 1 << 20, 256, 99_991
+#: Ids and ranks are below ``PAIR``, so a pair of ids is one number, as is an id with a place before ``PLACED``.
+PAIR, PLACED, NO_RANK = 1 << 20, 1 << 29, 1 << 20
 
 
 @functools.lru_cache(maxsize=4)
@@ -112,49 +114,61 @@ def _with(value: Column, use) -> Column:
 
 
 def folded(parts: Column, ranks: Column) -> Column:
-    """The ids left of an array of ids after all merges.
+    """The ids left of an array of at most ``FOLD_BYTES`` ids after all merges.
 
-    The fold carries the ids and the rank of each adjacent pair (null if it has none): a merge changes two of them.
-    The array has ``EDGE``, no id, at both ends and keeps it there, so that every pair has neighbours.
+    The fold carries one number per part: the rank of the pair that begins with it, its place and its id, in this order
+    of weight. The least number is then the pair to merge, the leftmost of equals; a merge changes that number and the
+    one before, and drops the one after.
     """
 
-    def rank(left: Column, right: Column) -> Column:
+    def ranked(left: Column, right: Column) -> Column:
         pair = left * PAIR + right
-        return ranks[pair % BUCKETS][pair]
+        return F.coalesce(ranks[pair % BUCKETS][pair], F.lit(NO_RANK)) * PLACED
 
     def merge(state: Column, _: Column) -> Column:
-        ids, pairs = state["ids"], state["pairs"]
+        def at(found: Column) -> Column:
+            least, j = found["least"], found["j"]
+            token = F.shiftright(least, PLACED.bit_length() - 1)
+            merged = F.transform(state, lambda x, i: F.when(i == j, ranked(token, F.get(state, i + 2).bitwiseAND(PAIR - 1)) + least.bitwiseAND(PLACED - PAIR) + token)
+                                 .when(i == j - 1, ranked(x.bitwiseAND(PAIR - 1), token) + x.bitwiseAND(PLACED - 1)).otherwise(x))
+            return F.filter(merged, lambda _, i: i != j + 1)
 
-        def at(found: Column) -> Column:  # the pair of ids j and j + 1 becomes one id; so do its two neighbour pairs change
-            best, j = found["best"], found["j"]
-            merged = F.transform(ids, lambda x, i: F.when(i == j, best).otherwise(x))
-            ranked = F.transform(pairs, lambda x, i: F.when(i == j - 1, rank(ids[i], best)).when(i == j + 1, rank(best, ids[i + 1])).otherwise(x))
-            return F.struct(F.filter(merged, lambda x, i: i != j + 1).alias("ids"), F.filter(ranked, lambda x, i: i != j).alias("pairs"))
+        def settle(least: Column) -> Column:
+            found = F.struct(least.alias("least"), (F.array_position(state, least) - 1).cast("int").alias("j"))
+            return F.when(least >= NO_RANK * PLACED, state).otherwise(_with(found, at))
 
-        def settle(best: Column) -> Column:
-            place = F.struct(best.alias("best"), (F.array_position(pairs, best) - 1).cast("int").alias("j"))
-            return F.when(best.isNull(), state).otherwise(_with(place, at))
+        return _with(F.array_min(state), settle)
 
-        return _with(F.array_min(pairs), settle)
-
-    pairs = F.transform(F.slice(parts, 2, F.size(parts)), lambda right, i: rank(parts[i], right))
-    return F.aggregate(F.slice(parts, 3, F.size(parts)), F.struct(parts.alias("ids"), pairs.alias("pairs")), merge, lambda state: state["ids"])
+    start = F.transform(parts, lambda x, i: ranked(x, F.get(parts, i + 1)) + i * F.lit(PAIR).cast("bigint") + x)
+    return F.aggregate(F.slice(parts, 2, F.size(parts)), start, merge, lambda state: F.transform(state, lambda x: x.bitwiseAND(PAIR - 1)))
 
 
 # ---- over documents -------------------------------------------------------------------------------------------------
 
 
-def _lists(some: list[np.ndarray | list[int]], kind) -> pa.Array:
-    """A list array of the integer lists."""
-    ends = np.cumsum([0, *map(len, some)], dtype=np.int32)
-    flat = np.concatenate([np.asarray(x, kind) for x in some]) if some else np.zeros(0, kind)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+_LISTS = pa.list_(pa.list_(pa.int64()))
+_COLUMNS = ["key", "words", "done", "at", "fresh"]
+
+
+def _lists(ends: np.ndarray, flat: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def _row(key: pa.DataType, words=None, done=None, fresh=False) -> pa.RecordBatch:
-    lists = pa.list_(pa.list_(pa.int64()))
-    columns = [pa.nulls(1, lists) if some is None else pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), _lists(some, np.int64)) for some in (words, done)]
-    return pa.RecordBatch.from_arrays([pa.nulls(1, key), *columns, pa.nulls(1, pa.list_(pa.int32())), pa.array([fresh])], ["key", "words", "done", "at", "fresh"])
+def _of_words(key: pa.DataType, column: str, lengths: list[int], flat: np.ndarray, fresh: bool) -> pa.RecordBatch:
+    """One row with a list of id lists in ``column``."""
+    lists = pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), _lists(np.cumsum([0, *lengths]), flat))
+    held = {"key": pa.nulls(1, key), "words": pa.nulls(1, _LISTS), "done": pa.nulls(1, _LISTS), "at": pa.nulls(1, pa.list_(pa.int32())), "fresh": pa.array([fresh])}
+    return pa.RecordBatch.from_arrays([*(held | {column: lists}).values()], _COLUMNS)
+
+
+def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of about ``CUT_BYTES`` characters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= CUT_BYTES or i + 1 == len(texts):
+            yield start, i + 1
+            start, size = i + 1, 0
 
 
 def encode(docs: DataFrame, path: str, pattern: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,33 +187,34 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, key: str = "d
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = sent.value
-        single = np.array([ranks[bytes([b])] for b in range(256)] + [EDGE], np.int64)
+        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         places: dict[str, int] = {}
         held, fresh = 0, True
         for batch in batches:
-            key_type = batch.schema.field(0).type
-            cut = [words_of(t, pattern, usual) for t in batch.column(1).to_pylist()]
-            if len(places) > LIST_WORDS or held > LIST_BYTES:
-                places, held, fresh = {}, 0, True
-            fold, done = [], []
-            for word in dict.fromkeys(w for ws in cut for w in ws if w not in places):
-                data = word.encode()
-                held += len(data)
-                if (rank := ranks.get(data)) is not None:
-                    done.append((word, [rank]))
-                elif len(data) > FOLD_BYTES:
-                    done.append((word, heap_merges(data, ranks)))
-                else:
-                    fold.append((word, single[[256, *data, 256]]))
-            for some, column in ((fold, "words"), (done, "done")):
-                for i in range(0, len(some), ROW_WORDS):
-                    yield _row(key_type, **{column: [x for _, x in some[i : i + ROW_WORDS]]}, fresh=fresh)
-                    fresh = False
-                for word, _ in some:
-                    places[word] = len(places)
-            at = _lists([list(map(places.__getitem__, ws)) for ws in cut], np.int32)
-            nothing = pa.nulls(len(cut), pa.list_(pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), nothing, nothing, at, pa.array([False] * len(cut))], ["key", "words", "done", "at", "fresh"])
+            key_type, texts = batch.schema.field(0).type, batch.column(1).to_pylist()
+            for start, end in _slices(texts):
+                cut = [words_of(t, pattern, usual) for t in texts[start:end]]
+                if len(places) > LIST_WORDS or held > LIST_BYTES:
+                    places, held, fresh = {}, 0, True
+                new = [(w, w.encode()) for w in set().union(*cut).difference(places)]
+                held += sum(len(data) for _, data in new)
+                fold = [x for x in new if x[1] not in ranks and len(x[1]) <= FOLD_BYTES]
+                rest = [x for x in new if x[1] in ranks or len(x[1]) > FOLD_BYTES]
+                for some, column in ((fold, "words"), (rest, "done")):
+                    for i in range(0, len(some), ROW_WORDS):
+                        few = [data for _, data in some[i : i + ROW_WORDS]]
+                        if column == "words":
+                            lengths, flat = list(map(len, few)), single[np.frombuffer(b"".join(few), np.uint8)]
+                        else:
+                            ids = [[ranks[data]] if data in ranks else heap_merges(data, ranks) for data in few]
+                            lengths, flat = list(map(len, ids)), np.array([x for own in ids for x in own], np.int64)
+                        yield _of_words(key_type, column, lengths, flat, fresh)
+                        fresh = False
+                    places.update(zip((w for w, _ in some), range(len(places), len(places) + len(some))))
+                at = np.fromiter(map(places.__getitem__, chain.from_iterable(cut)), np.int32, sum(map(len, cut)))
+                nothing = pa.nulls(end - start, _LISTS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[start:end], nothing, nothing, _lists(np.cumsum([0, *map(len, cut)]), at), pa.array([False] * (end - start))], _COLUMNS)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: list[bytes] = []  # packed ids of each word of the list
@@ -214,9 +229,8 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, key: str = "d
                     out.append(b"".join(map(known.__getitem__, at[i].values.to_pylist())))
                 else:
                     words = new[i].values
-                    edge = int(words.flatten()[0].as_py() == EDGE)
-                    data, ends = words.flatten().to_numpy().astype("<i4").tobytes(), np.cumsum([0, *words.value_lengths().to_pylist()]).tolist()
-                    known += [data[4 * (a + edge) : 4 * (b - edge)] for a, b in zip(ends, ends[1:])]
+                    data, ends = words.flatten().to_numpy().astype("<i4").tobytes(), np.cumsum([0, *words.value_lengths().to_pylist()]) * 4
+                    known += [data[a:b] for a, b in pairwise(ends.tolist())]
             ends = np.cumsum([0, *(len(x) // 4 for x in out)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(out), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), ids], ["key", "ids"])

@@ -54,6 +54,8 @@ COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 _ENDS_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "title", "legend", "summary"}
 #: Elements that end an open one of the same group.
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: A tag, comment or declaration that the end of the page cuts off: as in browsers, it and what follows show nothing.
+_BEGUN = re.compile("<[a-zA-Z/!?]")
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 #: Lines within which neighbours weigh, and the share of the content's text the article must hold.
@@ -63,95 +65,144 @@ MOST = 0.5
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: parts of text, number of tags and the open elements; ``doubtful`` elements are skipped unless they hold most."""
+    """Lines of a page: parts of text, number of tags and the innermost open element.
+
+    Elements are numbered in page order and know the one around them (-1: none), so what an element holds are the numbers
+    from its own to its last. Every tag costs the same, however many are open.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, number of the element, skipped, doubtful ones around
-        self.lines: list[tuple[list[tuple[str, tuple[int, ...]]], int, tuple[int, ...]]] = []
-        self.parts: list[tuple[str, tuple[int, ...]]] = []
-        self.tags = 0
         self.elements: list[str] = []
-        self.doubtful: dict[int, tuple[float, frozenset[int]]] = {}  # share of the text from which each counts, articles around
+        self.around: list[int] = []  # the element around each
+        self.skipped: list[bool] = []
+        self.doubtful: dict[int, float] = {}  # share of the page's text from which each counts all the same
+        self.open: list[int] = []
+        self.open_blocks: list[int] = []  # places in ``open``
+        self.open_tags: dict[str, list[int]] = {}
+        self.closable: list[int] = []  # menus and notices that an article ends
+        self.open_articles = 0
+        self.lines: list[tuple[list[tuple[str, int]], int, int]] = []
+        self.parts: list[tuple[str, int]] = []
+        self.tags = 0
+
+    def parse_html_declaration(self, i):
+        """Declarations are no reading matter; marked sections of any kind are comments up to the next ``>``."""
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
+    def innermost(self) -> int:
+        return self.open[-1] if self.open else -1
 
     def line_ends(self) -> None:
         if any(text.strip() for text, _ in self.parts):
-            self.lines.append((self.parts, self.tags, tuple(n for _, n, _, _ in self.open)))
+            self.lines.append((self.parts, self.tags, self.innermost()))
             self.tags = 0
         self.parts = []
 
     def pop_to(self, depth: int) -> None:
-        if any(tag in BLOCKS for tag, _, _, _ in self.open[depth:]):
+        if self.open_blocks and self.open_blocks[-1] >= depth:
             self.line_ends()
-        del self.open[depth:]
+        while len(self.open) > depth:
+            tag = self.elements[self.open.pop()]
+            self.open_tags[tag].pop()
+            self.open_articles -= tag in ("article", "main")
+            for places in (self.open_blocks, self.closable):
+                if places and places[-1] == len(self.open):
+                    places.pop()
+
+    def push(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        n, around = len(self.elements), self.innermost()
+        skipped = around >= 0 and self.skipped[around]
+        skipped = skipped or tag in SKIPPED or _is_hidden(attrs) or tag == "header" and not self.open_articles
+        self.elements.append(tag)
+        self.around.append(around)
+        self.skipped.append(skipped)
+        if not skipped and (share := _doubt(tag, attrs)):
+            self.doubtful[n] = share
+        if tag in BLOCKS:
+            self.open_blocks.append(len(self.open))
+        if (skipped or n in self.doubtful) and tag not in ("aside", "dialog", "template", "noscript", "form", "article"):
+            self.closable.append(len(self.open))
+        self.open_tags.setdefault(tag, []).append(len(self.open))
+        self.open_articles += tag in ("article", "main")
+        self.open.append(n)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.line_ends()
         self.tags += 1
-        if tag in ("article", "main"):  # a menu or notice left open ends here
-            first = next((i for i, (t, n, skipped, _) in enumerate(self.open) if (skipped or n in self.doubtful) and t not in ("aside", "dialog", "template", "noscript", "form", "article")), None)
-            if first is not None:
-                self.pop_to(first)
-        if tag in _ENDS_P or tag in _SIBLINGS:
-            ends = {"p"} if tag in _ENDS_P else set()
-            ends |= _SIBLINGS.get(tag, set())
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in ends:
-                    self.pop_to(i)
-                    break
-                if self.open[i][0] in BLOCKS:
-                    break
+        if tag in ("article", "main") and self.closable:  # a menu or notice left open ends here
+            self.pop_to(self.closable[0])
+        ends = _SIBLINGS.get(tag, frozenset()) | ({"p"} if tag in _ENDS_P else set())
+        if ends and self.open_blocks and self.elements[self.open[self.open_blocks[-1]]] in ends:
+            self.pop_to(self.open_blocks[-1])
         if tag == "br":
-            self.parts.append((" ", ()))
-        if tag in VOID:
-            return
-        n = len(self.elements)
-        self.elements.append(tag)
-        skipped, around = self.open[-1][2:] if self.open else (False, ())
-        if not skipped and (tag in SKIPPED or _is_hidden(attrs) or tag == "header" and not any(t in ("article", "main") for t, _, _, _ in self.open)):
-            skipped = True
-        if not skipped and (share := _doubt(tag, attrs)):
-            self.doubtful[n] = share, frozenset(m for t, m, _, _ in self.open if t in ("article", "main"))
-            around += (n,)
-        self.open.append((tag, n, skipped, around))
+            self.parts.append((" ", -1))
+        if tag not in VOID:
+            self.push(tag, attrs)
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.pop_to(i)
-                return
-        if tag in BLOCKS:
+        if places := self.open_tags.get(tag):
+            self.pop_to(places[-1])
+        elif tag in BLOCKS:
             self.line_ends()
 
     def handle_data(self, data):
-        skipped, around = self.open[-1][2:] if self.open else (False, ())
-        if not skipped:
-            self.parts.append((data, around))
+        n = self.innermost()
+        if n < 0 or not self.skipped[n]:
+            self.parts.append((data, n))
+
+    def within(self, sizes: list[int]) -> list[int]:
+        """Sums of ``sizes``, one per element, over each element and all it holds."""
+        out = list(sizes)
+        for n in range(len(out) - 1, -1, -1):
+            if self.around[n] >= 0:
+                out[self.around[n]] += out[n]
+        return out
 
-    def article_beside(self, n: int, above: frozenset[int]) -> bool:
-        """Whether an article with text stands neither in nor around element ``n``."""
-        return any(
-            n not in path and any(self.elements[m] in ("article", "main") and m not in above and m not in self.doubtful for m in path) for _, _, path in self.lines
-        )
+    def inside(self, chosen) -> list[bool]:
+        """Whether each element is one of ``chosen`` or stands in one."""
+        out: list[bool] = []
+        for n, around in enumerate(self.around):
+            out.append(n in chosen or around >= 0 and out[around])
+        return out
 
-    def reading_matter(self) -> list[tuple[str, int, tuple[int, ...]]]:
+    def beside_articles(self) -> set[int]:
+        """Doubtful elements while an article with text, itself not doubtful, stands neither in nor around them."""
+        texts = [0] * len(self.elements)
+        for _, _, n in self.lines:
+            if n >= 0:
+                texts[n] = 1
+        articles = [int(tag in ("article", "main") and n not in self.doubtful and held > 0) for n, (tag, held) in enumerate(zip(self.elements, self.within(texts)))]
+        held, above = self.within(articles), []
+        for around in self.around:
+            above.append(above[around] + articles[around] if around >= 0 else 0)
+        every = sum(articles)
+        return {n for n in self.doubtful if every > held[n] + above[n]}
+
+    def reading_matter(self) -> list[tuple[str, int, int]]:
         """Lines without the doubtful elements that hold too little; their tags count for the next line, as other skipped tags do."""
-        held, every = dict.fromkeys(self.doubtful, 0), 0
-        for parts, _, _ in self.lines if self.doubtful else ():
-            for text, around in parts:
-                size = len("".join(text.split()))
-                every += size
-                for n in around:
-                    held[n] += size
-        dropped = {n for n, (share, above) in self.doubtful.items() if held[n] <= share * every or self.article_beside(n, above)}
+        dropped: set[int] = set()
+        if self.doubtful:
+            sizes, every = [0] * len(self.elements), 0
+            for parts, _, _ in self.lines:
+                for text, n in parts:
+                    size = len("".join(text.split()))
+                    every += size
+                    if n >= 0:
+                        sizes[n] += size
+            held = self.within(sizes)
+            dropped = self.beside_articles() | {n for n, share in self.doubtful.items() if held[n] <= share * every}
+        gone = self.inside(dropped)
         out, tags = [], 0
-        for parts, own, path in self.lines:
+        for parts, own, n in self.lines:
             tags += own
-            text = " ".join("".join(t for t, around in parts if dropped.isdisjoint(around)).split())
+            text = " ".join("".join(t for t, at in parts if at < 0 or not gone[at]).split())
             if text:
-                out.append((text, tags, path))
+                out.append((text, tags, n))
                 tags = 0
         return out
 
@@ -208,7 +259,8 @@ def main_text(html: str | None) -> str:
         return ""
     page = _Lines()
     page.feed(html)
-    page.close()
+    if not _BEGUN.match(page.rawdata):
+        page.close()
     page.line_ends()
     lines = page.reading_matter()
     if not lines:
@@ -216,12 +268,13 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
     level = smoothed(np.log1p(ratios))
     content = level >= threshold(level)
-    weight: dict[int, int] = {}
-    for (text, _, path), chosen in zip(lines, content):
-        for n in path if chosen else ():
-            weight[n] = weight.get(n, 0) + len(text)
+    sizes = [0] * len(page.elements)
+    for (text, _, n), chosen in zip(lines, content):
+        if chosen and n >= 0:
+            sizes[n] += len(text)
+    weight = page.within(sizes)
     most = sum(len(text) for (text, _, _), chosen in zip(lines, content) if chosen)
-    holders = [n for n, w in weight.items() if w >= HELD * most and page.elements[n] in BLOCKS]
+    holders = [n for n, w in enumerate(weight) if w and w >= HELD * most and page.elements[n] in BLOCKS]
     article = max(holders, default=None)  # elements are numbered in page order: the last holder is the innermost
     named = [n for n in holders if page.elements[n] in ("article", "main")]
     if named:
@@ -232,11 +285,15 @@ def main_text(html: str | None) -> str:
     if article is None:
         return "\n\n".join(text for text, _, _ in lines)
     places = np.flatnonzero(content)
-    common = max((n for n, w in weight.items() if w == most and page.elements[n] in BLOCKS), default=None)
-    whole = {article} | {max(own) for i in places if (own := [n for n in lines[i][2] if page.elements[n] == "article"])}
+    common = max((n for n, w in enumerate(weight) if w == most and page.elements[n] in BLOCKS), default=None)
+    articles: list[int] = []  # the innermost article element of each
+    for n, around in enumerate(page.around):
+        articles.append(n if page.elements[n] == "article" else articles[around] if around >= 0 else -1)
+    whole = page.inside({article} | {articles[n] for i in places if (n := lines[i][2]) >= 0 and articles[n] >= 0})
+    shared = page.inside({common})
     kept = (
-        chosen or not whole.isdisjoint(path) or places[0] < i < places[-1] and (common is None or common in path)
-        for i, ((_, _, path), chosen) in enumerate(zip(lines, content))
+        chosen or n >= 0 and whole[n] or places[0] < i < places[-1] and (common is None or n >= 0 and shared[n])
+        for i, ((_, _, n), chosen) in enumerate(zip(lines, content))
     )
     return "\n\n".join(text for (text, _, _), k in zip(lines, kept) if k)
 

@@ -66,7 +66,8 @@ def test_main_text():
         ["Head&line", "First paragraph of some length, with bold and a break.", "Second é paragraph of the text here.", "Short.", "one", "two"])
 
 
-@pytest.mark.parametrize("page", [None, "", " ", "plain text", "<p>one", "<", "<!--", "<div><div><div>", "</p></p>", "<script>x", "<a" * 1000, "<p>" * 3000 + "x"])
+@pytest.mark.parametrize("page", [None, "", " ", "plain text", "<p>one", "<", "<!--", "<div><div><div>", "</p></p>", "<script>x", "<a" * 1000, "<p>" * 3000 + "x",
+                                  "<![foo[bar]]>", "<![ ]>", "<![", "<![CDATA[x]]>", "<!x", "<?x", "</ >", "&#x110000;&#99999999999;"])
 def test_broken_pages(page):
     text = html_text.main_text(page)
     assert isinstance(text, str) and "<p>" not in text
@@ -74,6 +75,29 @@ def test_broken_pages(page):
         assert text == page.removeprefix("<p>")
 
 
+def test_marked_sections_are_comments():
+    page = f"<![if IE]><article><p>{LONG * 3}</p><![endif]><![foo[bar]]><p>{LONG * 4}</p><![ ]><!-- <p>never closed"
+    assert html_text.main_text(page).split("\n\n") == [(LONG * 3).strip(), (LONG * 4).strip()]
+
+
+@pytest.mark.parametrize("part", ["<div>", "<div class=ad>", "<article>", "<i>", "<header>", "<div class=comments><article>x", "<div><p>a b", "<!--", "<a href='", "<a", "<![x", "<p>", "</x>", "<b><hr>"])
+def test_deep_pages_cost_by_their_length(part):
+    from time import process_time
+
+    def seconds(n):
+        start = process_time()
+        assert isinstance(html_text.main_text(part * n + "text"), str)
+        return process_time() - start
+
+    few = seconds(2_000)
+    assert seconds(50_000) < 25 * 3 * few + 3
+
+
+def test_long_page():
+    page = f"<body><nav><a href=1>a</a></nav><article>{f'<p>{LONG * 5}</p>' * 90_000}</article><footer>f</footer>"
+    assert len(page) > 20_000_000 and html_text.main_text(page) == "\n\n".join([(LONG * 5).strip()] * 90_000)
+
+
 def test_pages_without_article_element():
     menu = "<div class=menu><a href=1>a</a><a href=2>b</a><a href=3>c</a></div>"
     page = f"<body><div>{menu}</div><div><p>{'Long text of the first part. ' * 5}</p><p>Brief.</p><p>{'Long text of the last part. ' * 5}</p></div><div><a href=1>x</a> <a href=2>y</a></div></body>"
