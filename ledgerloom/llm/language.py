@@ -15,13 +15,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import map_batches, pick
 
 #: n-grams of these many characters, hashed into so many buckets.
 ORDERS, BUCKETS = (1, 2, 3), 1 << 15
-#: Rows of each language, about, on which the regression is fitted: all there are, or a share chosen by their ids' hash.
+#: Rows of each language, about, on which the regression is fitted: all different ones there are, or a share
+#: chosen by the hash of id and text, and never more than twice as many.
 SAMPLE_ROWS = 1_500
 #: One in so many sampled rows calibrates the temperature only.
 CALIBRATION = 5
@@ -156,19 +157,22 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, learn: Column, label: str = "lang", key: str = "doc_id", text: str = "text") -> Model:
     """The model of the rows where ``learn`` holds and ``label`` and ``text`` are not null and the text has letters."""
     rows = pick(docs, text=F.col(f"`{text}`").cast("string"), label=F.col(f"`{label}`").cast("string"),
-                place=F.xxhash64(F.col(f"`{key}`").cast("string")), learn=learn)
+                place=F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`").cast("string")), learn=learn)
     rows = rows.filter("learn and label is not null").filter(F.col("text").rlike(r"\p{L}"))
     sums = map_batches(rows.select("text"), _frequencies, "bucket int, texts long").groupBy("bucket").agg(F.sum("texts").alias("texts"))
     texts = np.zeros(BUCKETS + 1, np.int64)  # the last one: all texts
     for r in sums.collect():  # at most a row for each bucket
         texts[r["bucket"]] = r["texts"]
     idf = np.log((1 + texts[-1]) / (1 + texts[:-1])) + 1
-    # the share of each language's rows: a row for each language
-    shares = {r["label"]: min(1.0, SAMPLE_ROWS / r["n"]) for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # the share of each language's different rows: a row for each language
+    shares = {r["label"]: min(1.0, SAMPLE_ROWS / r["n"]) for r in rows.groupBy("label").agg(F.approx_count_distinct("place").alias("n")).collect()}
     if not shares:
         return Model([], np.zeros((0, BUCKETS)), np.zeros(0), idf)
     share = F.create_map(*(F.lit(x) for kv in sorted(shares.items()) for x in kv))[F.col("label")]
-    sample = rows.filter(F.pmod("place", F.lit(1 << 20)) < share * (1 << 20)).select("place", "label", "text")
+    sample = rows.filter(F.pmod("place", F.lit(1 << 20)) < share * (1 << 20))
+    sample = sample.groupBy("label", "place").agg(F.min("text").alias("text"))  # a row repeated any number of times teaches once
+    nth = F.row_number().over(W.partitionBy("label").orderBy(F.pmod("place", F.lit(1 << 20)), "place"))
+    sample = sample.withColumn("nth", nth).filter(F.col("nth") <= 2 * SAMPLE_ROWS).select("place", "label", "text")
     counted = map_batches(sample, _counted, "place long, label string, buckets array<int>, counts array<int>")
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

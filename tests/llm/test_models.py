@@ -29,6 +29,64 @@ def test_language_of_odd_texts(odd, none):
     assert language.predict(none, model).isEmpty()
 
 
+def _fit_plainly(rows, idf):
+    """The same regression, weight by weight in plain numbers; calibration aside."""
+    import math
+
+    labels = sorted({r[0] for r in rows})
+    apart = len(rows) >= 2 * language.CALIBRATION
+    z, n, empty = {}, {}, language.Model(labels, None, None, idf)
+
+    def weight(at):
+        s = z.get(at, 0.0)
+        return 0.0 if abs(s) <= language.L1 else -(s - math.copysign(language.L1, s)) / ((language.BETA + math.sqrt(n.get(at, 0.0))) / language.ALPHA + language.L2)
+
+    for _ in range(language.EPOCHS):
+        for i, (label, buckets, counts) in enumerate(rows):
+            if apart and i % language.CALIBRATION == 0:
+                continue
+            x = [*zip(buckets.tolist(), empty.features(buckets, counts).tolist()), (len(idf), 1.0)]
+            w = {(y, b): weight((y, b)) for y in labels for b, _ in x}
+            scores = [sum(w[y, b] * v for b, v in x) for y in labels]
+            e = [math.exp(s - max(scores)) for s in scores]
+            for y, part in zip(labels, e):
+                p = part / sum(e) - (y == label)
+                for b, v in x:
+                    g, at = p * v, (y, b)
+                    rate = (math.sqrt(n.get(at, 0.0) + g * g) - math.sqrt(n.get(at, 0.0))) / language.ALPHA
+                    z[at] = z.get(at, 0.0) + g - rate * w[at]
+                    n[at] = n.get(at, 0.0) + g * g
+    return {at: weight(at) for at in z}
+
+
+def test_regression_equals_a_plain_one():
+    import numpy as np
+
+    texts = [("en", "the quick brown fox and the lazy dog"), ("de", "der schnelle Fuchs und der faule Hund"), ("fr", "le renard rapide et le chien paresseux"),
+             ("en", "of all the things that are"), ("de", "von allen Dingen die sind"), ("fr", "de toutes les choses qui sont")] * 4
+    rows = [(label, *language.ngrams(text)) for label, text in texts]
+    idf = np.linspace(1, 3, language.BUCKETS)
+    model, plain = language.fit(rows, idf), _fit_plainly(rows, idf)
+    full = np.column_stack([model.weights, model.bias])
+    assert np.count_nonzero(full) == sum(w != 0 for w in plain.values()) > 0
+    for (label, bucket), w in plain.items():
+        assert abs(full[model.labels.index(label), bucket] - w) < 1e-9
+    assert model.temperature > 0 and all(model.predict(t)[0] == label for label, t in texts)
+
+
+def test_language_sample_is_bounded_by_rows_of_one_id(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 10)
+    words = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None).cast("long")).otherwise(F.lit(7).cast("long")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("the fox and the dog "), F.col("id"))).otherwise(F.lit("der Fuchs und der Hund")).alias("text"),
+        F.when(F.col("id") % 3 == 0, "en").otherwise("de").alias("lang"))
+    model = language.train(words, F.lit(True))
+    found = language.predict(words, model).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in found} == {"en": 1334, "de": 2666}
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     found = queries.op10_compression_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
