@@ -4,8 +4,8 @@ Only lengths decide how documents share sequences, so the work is split in three
 
 1. Spark tokenises the texts. Each task numbers its pieces within each length and writes them once.
 2. The histogram of lengths (at most ``size`` numbers, whatever the input) is fitted on the driver: all patterns of up
-   to three lengths that fill a sequence exactly, repeat counts by non-negative least squares, rounded down; what is
-   left is packed best fit, longest first, on the histogram itself.
+   to three lengths that fill a sequence exactly, repeat counts by non-negative least squares, of which the best share
+   is rounded down and used; what is left is packed best fit, longest first, on the histogram itself.
 3. Each piece finds its place from its number within its length: the places of a length are runs of consecutive numbers.
 
 No document is moved to another one; no group of equal lengths meets in one task.
@@ -27,6 +27,8 @@ from .common import map_batches, pick, work_table
 
 #: Steps of the least-squares fit.
 FIT_STEPS = 300
+#: Shares of the fitted repeats that are tried.
+SHARES = (1.0, 0.9, 0.75, 0.6, 0.5, 0.4, 0.25, 0.1, 0.0)
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -114,19 +116,29 @@ def best_fit(left: np.ndarray, size: int) -> list[Pattern]:
     return [(tuple(lengths), n) for some in by_room.values() for lengths, n in some]
 
 
+def sequences(patterns: list[Pattern]) -> int:
+    return sum(n for _, n in patterns)
+
+
 def plan_patterns(histogram: dict[int, int], size: int) -> list[Pattern]:
-    """Patterns of lengths and how often each is used; together they hold every item of the histogram once."""
-    left = np.zeros(size + 1, np.int64)
+    """Patterns of lengths and how often each is used; together they hold every item of the histogram once.
+
+    The fit asks for more of some lengths than there are and for less of others, and takes short ones that best fit
+    needs to fill up sequences. So a share of the fitted repeats is used, the one of ``SHARES`` that gives the fewest
+    sequences; 0 is best fit alone, so no plan is worse than that.
+    """
+    have = np.zeros(size + 1, np.int64)
     for length, n in histogram.items():
-        left[length] = n
-    out: list[Pattern] = []
-    if left[size]:
-        out.append(((size,), int(left[size])))
-        left[size] = 0
-    patterns = exact_patterns(left, size)
+        have[length] = n
+    whole: list[Pattern] = [((size,), int(have[size]))] if have[size] else []
+    have[size] = 0
+    patterns = exact_patterns(have, size)
     patterns = patterns[patterns[:, 0] < size]
-    if len(patterns):
-        repeats = np.floor(fit_repeats(left.astype(float), patterns) + 1e-9).astype(np.int64)
+    fitted = fit_repeats(have.astype(float), patterns) if len(patterns) else np.zeros(0)
+
+    def plan(share: float) -> list[Pattern]:
+        left, out = have.copy(), []
+        repeats = np.floor(fitted * share + 1e-9).astype(np.int64)
         for i in np.argsort(-repeats, kind="stable"):
             if not repeats[i]:
                 break
@@ -136,7 +148,9 @@ def plan_patterns(histogram: dict[int, int], size: int) -> list[Pattern]:
                 out.append((lengths, n))
                 for x in lengths:
                     left[x] -= n
-    return out + best_fit(left, size)
+        return out + best_fit(left, size)
+
+    return whole + min(map(plan, SHARES), key=sequences)
 
 
 def places(patterns: list[Pattern]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -206,7 +220,8 @@ def pack(docs: DataFrame, path: str, size: int = 1024, end_id: int = 2, key: str
     # the runs of all patterns: bounded by the patterns of ``size``, not by the documents
     runs = docs.sparkSession.sparkContext.broadcast(places(plan_patterns(histogram, size)))
     before = F.sum("n").over(W.partitionBy("length").orderBy("bucket")) - F.col("n")
-    numbered = pieces.join(counts.select("bucket", "length", before.alias("base")), ["bucket", "length"])
+    # sorted, since the counts grow with the tasks: one plan at every size
+    numbered = pieces.hint("merge").join(counts.select("bucket", "length", before.alias("base")), ["bucket", "length"])
     numbered = pick(numbered, key, "piece", "start", "length", "ids_crc32", number=F.col("base") + F.col("nth"))
     kind = dict(pieces.dtypes)[key]
 

@@ -97,6 +97,36 @@ def test_packing(case):
     assert len(sequences) <= least * 1.02 + 2
 
 
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_plans_are_near_the_bound_and_never_worse_than_best_fit(times, spark):
+    import numpy as np
+
+    size, have = 1024, np.zeros(1025, np.int64)
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        n = len(plain.ids(r["text"])) + 1
+        have[(n - 1) % size + 1] += times
+        have[size] += (n - 1) // size * times
+    plan = packing.plan_patterns({k: int(n) for k, n in enumerate(have) if n}, size)
+    held = np.zeros(size + 1, np.int64)
+    for lengths, n in plan:
+        assert n > 0 and sum(lengths) <= size
+        for x in lengths:
+            held[x] += n
+    assert (held == have).all()
+    bound = -(-int(have @ np.arange(size + 1)) // size)
+    assert packing.sequences(plan) <= min(packing.sequences(packing.best_fit(have.copy(), size)), bound * 1.005)
+
+
+@pytest.mark.parametrize("histogram", [{}, {1: 5}, {1024: 3}, {600: 7, 424: 7}, {1023: 2, 1: 1}, {342: 3, 341: 6, 683: 1}])
+def test_plans_of_few_lengths(histogram):
+    plan = packing.plan_patterns(histogram, 1024)
+    held = {}
+    for lengths, n in plan:
+        for x in lengths:
+            held[x] = held.get(x, 0) + n
+    assert held == histogram and packing.sequences(plan) >= -(-sum(k * n for k, n in histogram.items()) // 1024)
+
+
 @BOTH
 def test_token_counts(case):
     docs, rows = case
