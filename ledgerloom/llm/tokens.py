@@ -13,8 +13,8 @@ import struct
 import unicodedata
 from collections.abc import Callable, Iterable
 
-#: Pieces kept by one worker; beyond, the memo starts anew.
-MEMO_PIECES = 200_000
+#: Pieces kept by one worker; beyond, the memo starts anew. Longer pieces than this many characters are not kept.
+MEMO_PIECES, MEMO_CHARACTERS = 200_000, 64
 #: Bytes of text handed to a tokenizer at once.
 ENCODE_BYTES = 1 << 20
 
@@ -79,7 +79,9 @@ class _Memo(dict):
         if len(self) >= MEMO_PIECES:
             self.clear()
         spelt = piece.encode().decode("latin-1").translate(self.letters)
-        value = self[piece] = self.make([t.id for t in self.model.tokenize(spelt)])
+        value = self.make([t.id for t in self.model.tokenize(spelt)])
+        if len(piece) <= MEMO_CHARACTERS:
+            self[piece] = value
         return value
 
 

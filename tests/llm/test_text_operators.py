@@ -134,6 +134,13 @@ def test_token_counts(case):
     assert got(token_counts.token_counts(docs, PATH), "doc_id", "n_bytes", "n_tokens", "over_limit") == want(expected)
 
 
+def test_memo_keeps_no_long_pieces():
+    tokens._memo.cache_clear()
+    texts = ["x" * 100_000, "word " + "Ab1" * 5_000, "q" * 64, "r" * 65]
+    assert tokens.counts(PATH, texts) == [len(plain.ids(t)) for t in texts]
+    assert max(map(len, tokens._memo(PATH, "count"))) <= tokens.MEMO_CHARACTERS
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_token_counts_of_other_tokenizers(name, odd_rows, monkeypatch):
     path = plain.public_tokenizers.path(name)
