@@ -17,7 +17,10 @@ LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is recognised; the model learns from the labelled rows of its own input."""
+    """Rows whose language is recognised; the model learns from the labelled rows of its own input.
+
+    Null and empty texts and those without letters go; repeated rows go or stay together; without labels no row stays.
+    """
     model = language.train(docs, crc_part(F.col("doc_id"), 3) != 1)
     found = language.predict(docs, model, carry=docs.columns)
     return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("input.*")
@@ -29,22 +32,25 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one with the smallest doc_id.
+    """One text of each group of near copies: that of the smallest doc_id, whatever other rows share this id.
 
-    Of rows with one doc_id in a group, all stay that have it: what they are apart from their texts is unknown here.
+    Rows alike in id and text, which the stage before leaves only one of, are kept or dropped together. Null and empty
+    texts are a group of their own; an empty table gives no rows.
     """
-    found = simhash.near_groups(docs, carry=docs.columns)
-    return found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("input.*")
+    return simhash.near_groups(docs, carry=docs.columns).filter("kept").select("input.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a word in an occurrence of a benchmark window."""
+    """Rows without a word in an occurrence of a benchmark window.
+
+    Null and empty texts have no words and stay; repeated rows go or stay together; an empty benchmark removes nothing.
+    """
     found = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"), carry=docs.columns)
     return found.filter("n_hit = 0").select("input.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all pieces of all rows in sequences of 1024 tokens."""
+    """The places of all pieces of all rows in sequences of 1024 tokens; null and empty texts are one piece, the end id."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -243,6 +243,9 @@ def print_components(prints: DataFrame, bits: int = BITS) -> DataFrame:
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS, carry: list[str] | None = None) -> DataFrame:
     """Each row of ``docs`` with ``key``, fingerprint (16 hex digits), component_id and the columns in ``carry`` as ``input``.
 
+    With ``carry`` there is ``kept`` too: one text of each group has it, that of the smallest key (of several texts with
+    that key the one of the least hash); rows alike in key and text are decided alike.
+
     Rows link if their fingerprints differ in at most ``bits`` (up to 4) bits; ``component_id`` is the smallest ``key``
     reachable over links, itself included (null only if all are null). Texts without words, null ones too, have the
     fingerprint zero and link like any other. Repeated rows fall into one group; an empty table gives no rows.
@@ -250,13 +253,16 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     if bits > BITS:
         raise ValueError(f"the keys find links of up to {BITS} bits")
     rows = work_table(fingerprints(docs, key, text, shingle, bool(carry)), "prints")
-    least = work_table(rows.groupBy("print").agg(F.min("key").alias("least")), "distinct-prints")
+    # with carried columns, rows of one key are told apart by their texts
+    order = F.struct(F.col("key").isNull().alias("none"), "key", *(["same"] if carry else []))
+    least = work_table(rows.groupBy("print").agg(F.min(order).alias("least")), "distinct-prints")
     roots = print_components(least.select("print"), bits)
     rooted = least.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    decided = rooted.join(groups, "root").select("print", "component_id")
+    groups = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    decided = rooted.join(groups, "root").select("print", "first")
     found = rows.join(decided, "print").select(
-        F.col("key").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *(["same"] if carry else []))
+        F.col("key").alias(key), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.col("first.key").alias("component_id"),
+        *(["same", (F.col("key").eqNullSafe(F.col("first.key")) & (F.col("same") == F.col("first.same"))).alias("kept")] if carry else []))
     if not carry:
         return found
     # the texts move once, to what was decided; rows alike in key and text are decided alike
@@ -264,4 +270,4 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     rows = pick(docs, mine=F.col(f"`{key}`"), own=F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))),
                 input=F.struct(*(F.col(f"`{c}`") for c in carry)))
     return rows.hint("merge").join(found, F.col("mine").eqNullSafe(F.col(key)) & (F.col("own") == F.col("same"))).select(
-        key, "fingerprint", "component_id", "input")
+        key, "fingerprint", "component_id", "kept", "input")

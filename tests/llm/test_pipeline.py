@@ -37,5 +37,13 @@ def test_odd_rows_pass_every_stage(spark, odd, none):
             assert out.count() >= 0
 
 
+def test_one_text_of_each_group_of_near_copies_stays(spark, odd, odd_rows):
+    docs = odd.unionByName(odd.filter("doc_id is null or doc_id % 2 = 0").selectExpr("1L as doc_id", "concat(text, ' !') as text", *odd.columns[2:])).dropDuplicates(["doc_id", "text"])
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    component = plain.linked([plain.fingerprint(t) for _, t in rows])
+    left = [component[plain.fingerprint(r["text"])] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()]
+    assert sorted(left) == sorted(set(component.values()))
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
