@@ -21,6 +21,7 @@ import base64
 import functools
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -55,10 +56,14 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
+#: The usual pattern in terms of ``re``, the commonest kind of word first: no two kinds but the last begin alike.
+_USUAL = re.compile(r" ?[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+
+
 def words_of(text: str, pattern: str, usual: str) -> list[str]:
     """Matches of ``pattern``. For the ``usual`` one, texts without rare characters take the faster equal pattern."""
     if pattern == usual and not tokens._odd().search(text):
-        return tokens._PIECES.findall(text)
+        return _USUAL.findall(text)
     return _pattern(pattern).findall(text)
 
 
@@ -129,13 +134,20 @@ def folded(parts: Column, ranks: Column) -> Column:
         def at(found: Column) -> Column:
             least, j = found["least"], found["j"]
             token = F.shiftright(least, PLACED.bit_length() - 1)
-            merged = F.transform(state, lambda x, i: F.when(i == j, ranked(token, F.get(state, i + 2).bitwiseAND(PAIR - 1)) + least.bitwiseAND(PLACED - PAIR) + token)
-                                 .when(i == j - 1, ranked(x.bitwiseAND(PAIR - 1), token) + x.bitwiseAND(PLACED - 1)).otherwise(x))
-            return F.filter(merged, lambda _, i: i != j + 1)
+
+            def part(later: Column, i: Column) -> Column:  # part i of the one part fewer: the parts after j move up
+                same = F.get(state, i)
+                first = ranked(token, F.get(state, i + 2).bitwiseAND(PAIR - 1)) + least.bitwiseAND(PLACED - PAIR) + token
+                return F.when(i > j, later).when(i < found["before"], same).when(i == j, first).otherwise(
+                    ranked(same.bitwiseAND(PAIR - 1), token) + same.bitwiseAND(PLACED - 1))
+
+            return F.transform(F.slice(state, 2, F.size(state)), part)
 
         def settle(least: Column) -> Column:
-            found = F.struct(least.alias("least"), (F.array_position(state, least) - 1).cast("int").alias("j"))
-            return F.when(least >= NO_RANK * PLACED, state).otherwise(_with(found, at))
+            def placed(k: Column) -> Column:
+                return _with(F.struct(least.alias("least"), (k - 1).alias("j"), (k - 2).alias("before")), at)
+
+            return F.when(least >= NO_RANK * PLACED, state).otherwise(_with(F.array_position(state, least).cast("int"), placed))
 
         return _with(F.array_min(state), settle)
 
@@ -157,10 +169,31 @@ def _lists(ends: np.ndarray, flat: np.ndarray) -> pa.ListArray:
 def _of_words(key: pa.DataType, column: str, lengths: list[int], flat: np.ndarray, fresh: bool) -> pa.RecordBatch:
     """One row with a list of id lists in ``column``."""
     lists = pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), _lists(np.cumsum([0, *lengths]), flat))
-    held = {"key": pa.nulls(1, key), "words": pa.nulls(1, _LISTS), "done": pa.nulls(1, _LISTS), "at": pa.nulls(1, pa.list_(pa.int32())), "fresh": pa.array([fresh])}
+    held = {"key": pa.nulls(1, key), "words": pa.nulls(1, _LISTS), "done": pa.nulls(1, _LISTS), "at": pa.nulls(1, pa.binary()), "fresh": pa.array([fresh])}
     return pa.RecordBatch.from_arrays([*(held | {column: lists}).values()], _COLUMNS)
 
 
+class _Known:
+    """The ids of a list of words, side by side."""
+
+    def __init__(self):
+        self.new: list[pa.ListArray] = []
+        self.flat, self.starts, self.lengths = (np.zeros(0, t) for t in (np.int32, np.int64, np.int64))
+
+    def add(self, words: pa.ListArray) -> None:
+        self.new.append(words)
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after the other."""
+        if self.new:
+            lengths = np.concatenate([self.lengths, *(x.value_lengths().to_numpy(zero_copy_only=False) for x in self.new)]).astype(np.int64)
+            self.flat = np.concatenate([self.flat, *(x.flatten().to_numpy().astype(np.int32) for x in self.new)])
+            self.lengths, self.starts, self.new = lengths, np.cumsum(lengths) - lengths, []
+        n = self.lengths[at]
+        before = np.cumsum(n) - n
+        return self.flat[np.repeat(self.starts[at] - before, n) + np.arange(int(n.sum()))]
+
+
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of about ``CUT_BYTES`` characters."""
     start = size = 0
@@ -212,31 +245,28 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, key: str = "d
                         fresh = False
                     places.update(zip((w for w, _ in some), range(len(places), len(places) + len(some))))
                 at = np.fromiter(map(places.__getitem__, chain.from_iterable(cut)), np.int32, sum(map(len, cut)))
+                rows = [x.tobytes() for x in np.split(at, np.cumsum([*map(len, cut)])[:-1])]
                 nothing = pa.nulls(end - start, _LISTS)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[start:end], nothing, nothing, _lists(np.cumsum([0, *map(len, cut)]), at), pa.array([False] * (end - start))], _COLUMNS)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[start:end], nothing, nothing, pa.array(rows, pa.binary()), pa.array([False] * (end - start))], _COLUMNS)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[bytes] = []  # packed ids of each word of the list
+        known = _Known()
         for batch in batches:
             keys, out = [], []
-            new, at, fresh = batch.column("ids"), batch.column("at"), batch.column("fresh").to_pylist()
-            for i in range(batch.num_rows):
+            new, at, fresh = batch.column("ids"), batch.column("at").to_pylist(), batch.column("fresh").to_pylist()
+            for i, words in enumerate(at):
                 if fresh[i]:
-                    known = []
-                if at[i].is_valid:
-                    keys.append(i)
-                    out.append(b"".join(map(known.__getitem__, at[i].values.to_pylist())))
+                    known = _Known()
+                if words is None:
+                    known.add(new[i].values)
                 else:
-                    words = new[i].values
-                    data, ends = words.flatten().to_numpy().astype("<i4").tobytes(), np.cumsum([0, *words.value_lengths().to_pylist()]) * 4
-                    known += [data[a:b] for a, b in pairwise(ends.tolist())]
-            ends = np.cumsum([0, *(len(x) // 4 for x in out)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(out), "<i4")))
+                    keys.append(i)
+                    out.append(known.ids(np.frombuffer(words, np.int32)))
+            ids = _lists(np.cumsum([0, *map(len, out)]), np.concatenate([np.zeros(0, np.int32), *out]))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), ids], ["key", "ids"])
 
     rows = pick(docs, key=F.col(f"`{key}`"), text=F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    lists = map_batches(rows, listed, f"key {kind}, words array<array<bigint>>, done array<array<bigint>>, at array<int>, fresh boolean")
+    lists = map_batches(rows, listed, f"key {kind}, words array<array<bigint>>, done array<array<bigint>>, at binary, fresh boolean")
     # bound once, so that the plan holds one copy of the map
     ids = F.coalesce("done", _with(rank_map(ranks), lambda table: F.transform("words", lambda parts: folded(parts, table))))
     return map_batches(lists.select("key", ids.alias("ids"), "at", "fresh"), joined, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
