@@ -1,9 +1,10 @@
 """Values of a whole document: first match of a pattern, or the text after a keyword."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import clean, quote_regex, strip
+from .ordered import OrderedRows, following
 
 # Document fields looked for by default.
 KEY_VALUE_PATTERNS = {
@@ -13,38 +14,109 @@ KEY_VALUE_PATTERNS = {
 }
 
 
-def pattern_value(text: Column, pattern: str) -> Column:
-    """Group 1 of the first match, cleaned; null when the pattern does not occur."""
-    return F.when(text.rlike(f"(?i){pattern}"), clean(F.regexp_extract(text, f"(?i){pattern}", 1)))
+#: Pages after its first one that a match may run into before it is looked at again, and then.
+REACH, WIDE = 2, 32
+
+
+def _own_line(rest: Column) -> Column:
+    """What stands before the first line separator other than the line feed, cleaned."""
+    return clean(F.regexp_extract(rest, "^[^\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]*", 0))
+
+
+def keyword_pattern(keyword: Column) -> Column:
+    """The rest of the line after a keyword and an optional ``:`` or ``-``; the keyword is data, so it is quoted."""
+    bare = F.btrim(strip(keyword), F.lit("'\""))
+    return F.concat(quote_regex(bare), F.lit(r"\s*[:\-]?\s*(.+)"))
 
 
 def keyword_value(text: Column, keyword: Column) -> Column:
     """Rest of the line after a keyword (and an optional ``:`` or ``-``).
 
-    A keyword at the end of a line takes the next non-blank line. The keyword is data, so it is quoted; ``.``
-    excludes only the line feed, and other line separators end the value.
+    A keyword at the end of a line takes the next non-blank line. ``.`` excludes only the line feed, and other line
+    separators end the value.
     """
-    bare = F.btrim(strip(keyword), F.lit("'\""))
-    pattern = F.concat(F.lit("(?id)"), quote_regex(bare), F.lit(r"\s*[:\-]?\s*(.+)"))
-    rest = F.call_function("regexp_extract", text, pattern, F.lit(1))
-    line = F.regexp_extract(rest, "^[^\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]*", 0)
-    return F.when(F.regexp_like(text, pattern), clean(line))
+    pattern = F.concat(F.lit("(?id)"), keyword_pattern(keyword))
+    return F.when(F.regexp_like(text, pattern), _own_line(F.call_function("regexp_extract", text, pattern, F.lit(1))))
+
+
+def _filled(page_text: DataFrame) -> DataFrame:
+    """Pages with text; those of white space only hold nothing."""
+    return page_text.select("file_id", "page", "text").filter(F.coalesce(strip(F.col("text")), F.lit("")) != "")
+
+
+def stretches(page_text: DataFrame, reach: int = REACH) -> DataFrame:
+    """``file_id, page, text, stretch, further`` of the pages with text: each with the ``reach`` pages after it.
+
+    One line break stands between pages; ``further`` tells whether a page follows the stretch. No document is gathered:
+    its pages are ordered like any other rows, a document of very many pages in blocks.
+    """
+    rows = OrderedRows.of(_filled(page_text), ["file_id"], ["page"])
+    before = "text"
+    for k in range(1, reach + 2):
+        rows = rows.carry(**{f"__{k}": following(F.col(before))})
+        before = f"__{k}"
+    return rows.rows().select(
+        "file_id", "page", "text", F.concat_ws("\n", "text", *(f"__{k}" for k in range(1, reach + 1))).alias("stretch"),
+        F.col(f"__{reach + 1}").isNotNull().alias("further"))
 
 
-def document_texts(page_text: DataFrame) -> DataFrame:
-    """``file_id, text``: the non-blank pages of each document in order, one line break between them.
+def _match(text: Column, stretch: Column, flags: str, pattern: Column) -> Column:
+    """The first match in the stretch if it begins on its first page: struct of value and whether it ends the stretch."""
+    found = F.regexp_like(stretch, F.concat(F.lit(flags), pattern))
+    whole = F.concat(F.lit(flags + "\\A((?s:.*?))("), pattern, F.lit(")((?s:.{0,1}))"))
 
-    A document is one unit here, as the text of one PDF: its pages meet in one row, bounded by what a document holds.
+    def part(k: int) -> Column:
+        return F.call_function("regexp_extract", stretch, whole, F.lit(k))
+
+    match = F.struct(part(3).alias("value"), (part(4) == "").alias("ends"))
+    return F.when(found & (F.length(part(1)) <= F.length(text)), match)
+
+
+def _first(flags: str, pattern: Column) -> Column:
+    """Aggregate over the ``stretches`` of a document: page and value of the first match, and whether it may go on."""
+    match = _with(_match(F.col("text"), F.col("stretch"), flags, pattern), lambda m: F.when(m.isNotNull(), F.struct(
+        F.col("page"), m["value"].alias("value"), (m["ends"] & F.col("further")).alias("open"))))
+    return F.min(match)
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _widened(found: DataFrame, page_text: DataFrame, keys: list[str], flags: str, pattern: Column) -> DataFrame:
+    """``found`` (keys, page, value, open) with the open matches settled over ``WIDE`` more pages.
+
+    A match is open if it touches the end of its stretch while pages follow: only there it may go on.
     """
-    filled = page_text.filter(F.coalesce(F.trim("text"), F.lit("")) != "")
-    pages = F.sort_array(F.collect_list(F.struct("page", "text")))
-    return filled.groupBy("file_id").agg(F.array_join(F.transform(pages, lambda p: p["text"]), "\n").alias("text"))
+    pages = _filled(page_text).select(F.col("file_id").alias("__file"), F.col("page").alias("__page"), F.col("text").alias("__text"))
+    near = found.filter("open").join(pages, (F.col("file_id") == F.col("__file")) & (F.col("__page") >= F.col("page")))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__page"))
+    near = near.withColumn("__n", nth).filter(F.col("__n") <= REACH + 1 + WIDE).groupBy(*keys, "page").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("__n", "__text"))), lambda p: p["__text"]).alias("__texts"))
+    text = F.array_join("__texts", "\n")
+    wide = near.withColumn("text", F.col("__texts")[0]).withColumn("stretch", text)
+    wide = wide.select(*keys, _match(F.col("text"), F.col("stretch"), flags, pattern)["value"].alias("value"))
+    return found.filter(~F.col("open")).select(*keys, "value").unionByName(wide)
 
 
 def key_values(page_text: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """One row per file with one column per field: the first match in the whole text, over any number of pages."""
+    """One row per file with one column per field: group 1 of the first match in the text of all its pages, cleaned.
+
+    A match may run over ``REACH`` pages after its first one, and over ``WIDE`` more where it touches the end of those.
+    """
     wanted = patterns or KEY_VALUE_PATTERNS
-    return document_texts(page_text).select("file_id", *(pattern_value(F.col("text"), p).alias(n) for n, p in wanted.items()))
+    firsts = stretches(page_text).groupBy("file_id").agg(*(_first("(?i)", F.lit(p)).alias(n) for n, p in wanted.items()))
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("field"), F.col(n).alias("f")) for n in wanted))).alias("x")
+    found = firsts.select("file_id", each).select("file_id", "x.field", "x.f.page", "x.f.value", F.coalesce("x.f.open", F.lit(False)).alias("open"))
+    pattern = F.element_at(F.create_map(*(F.lit(x) for kv in wanted.items() for x in kv)), F.col("field"))
+    found = _widened(found, page_text, ["file_id", "field"], "(?i)", pattern)
+    return found.groupBy("file_id").agg(*(F.max(F.when(F.col("field") == n, clean_known(F.col("value")))).alias(n) for n in wanted))
+
+
+def clean_known(value: Column) -> Column:
+    """``clean`` that leaves null as it is."""
+    return F.when(value.isNotNull(), clean(value))
 
 
 def keyword_values(page_text: DataFrame, keywords: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,8 +124,13 @@ def keyword_values(page_text: DataFrame, keywords: DataFrame) -> tuple[DataFrame
 
     ``keywords(file_id, field, keyword)`` come with the request of the file.
     """
-    asked = keywords.join(document_texts(page_text), "file_id", "left").select(
-        "file_id", "field", "keyword", keyword_value(F.col("text"), F.col("keyword")).alias("value"))
+    keys, pattern = ["file_id", "keyword"], keyword_pattern(F.col("keyword"))
+    rows = stretches(page_text).join(keywords.select(*keys).distinct(), "file_id")
+    firsts = rows.groupBy(*keys).agg(_first("(?id)", pattern).alias("f"))
+    found = firsts.select(*keys, "f.page", "f.value", F.coalesce("f.open", F.lit(False)).alias("open"))
+    found = _widened(found, page_text, keys, "(?id)", pattern)
+    found = found.select(*keys, F.when(F.col("value").isNotNull(), _own_line(F.col("value"))).alias("value"))
+    asked = keywords.join(found, keys, "left")
     bare = F.btrim(strip(F.col("keyword")), F.lit("'\""))
     warnings = asked.filter(F.col("value").isNull()).select(
         "file_id",

@@ -336,3 +336,37 @@ def test_a_quote_left_open_rejects_its_file_only(spark, tmp_path):
     assert [(r.file_seq_id, r.cells) for r in read.cells.collect()] == [("G", ["1", "x\ny"])]
     assert [tuple(r) for r in read.rejected.collect()] == [(str(bad), "record 2 has 2005 characters, more than a record of several lines may have")]
     assert read_delimited(spark, asked, [str(good), str(bad)]).cells.count() == 2
+
+
+def test_document_patterns_equal_a_search_of_the_whole_text(spark, monkeypatch):
+    import re
+
+    from ledgerloom.operators import documents, ordered
+
+    rnd = random.Random(4)
+    parts = ["Opening", " balance", ": ", "\n", " ", "12.50", "(3)", "statement date", "- ", "2024/01", "x", "Total:", "\t", "closing\nbalance", "\U0001f600"]
+    pages = [(d, p, "".join(rnd.choices(parts, k=rnd.randint(0, 6)))) for d in range(120) for p in range(rnd.randint(1, 9))]
+    pages += [(999, p, t) for p, t in enumerate(["opening", *["\n"] * 9, "balance:", *["\n \n"] * 12, "77 total"])]
+    pages += [(998, 0, None), (997, 5, "total"), (997, 2, "b"), (997, 9, "last")]
+    table = spark.createDataFrame(pages, "file_id int, page int, text string").repartition(5)
+    whole = {}
+    for d, _, t in sorted(pages, key=lambda r: r[:2]):
+        if (t or "").strip():
+            whole[d] = f"{whole[d]}\n{t}" if d in whole else t
+    asked = spark.createDataFrame([(d, f"f{i}", k) for d in {r[0] for r in pages} for i, k in enumerate(("'total'", "statement date", "zq"))], "file_id int, field string, keyword string")
+    for block in (ordered.BLOCK_ROWS, 6):
+        monkeypatch.setattr(ordered.OrderedRows.of, "__defaults__", (block, None))
+        found = {r.file_id: r for r in documents.key_values(table).collect()}
+        assert set(found) == set(whole)
+        for d, text in whole.items():
+            for name, pattern in documents.KEY_VALUE_PATTERNS.items():
+                m = re.search(pattern, text, re.I | re.A)
+                assert found[d][name] == (" ".join(m.group(1).split()) if m else None), (d, name, text)
+        values, missing = documents.keyword_values(table, asked)
+        got = {(r.file_id, r.field): r.value for r in values.collect()}
+        lost = missing.count()
+        for d in {r[0] for r in pages}:
+            for i, k in enumerate(("total", "statement date", "zq")):
+                m = re.search(re.escape(k) + r"\s*[:\-]?\s*(.+)", whole.get(d, ""), re.I | re.A)
+                assert got.get((d, f"f{i}")) == (" ".join(m.group(1).split()) if m else None), (d, k, whole.get(d))
+        assert lost + len(got) == 3 * len({r[0] for r in pages})
