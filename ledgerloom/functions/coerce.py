@@ -216,14 +216,14 @@ def coerce_text(
 
 
 def coerce_dynamic(
-    c: Column, kind: Column, options: CoercionOptions = DEFAULTS, custom_format: str | None = None
+    c: Column, kind: Column, options: CoercionOptions = DEFAULTS, custom_format: str | None = None, value_type: Column | None = None
 ) -> Column:
-    """Coerce when the type itself is data (many contracts in one plan)."""
+    """Coerce when the type itself is data (many contracts in one plan); ``value_type`` is the type of a sheet's cell."""
     return (
         F.when(kind.isin(*NUMBER_TYPES), coerce_text(c, "numeric", options))
         .when(kind.isin(*INTEGER_TYPES), coerce_text(c, "bigint", options))
         .when(kind.isin(*DATE_TYPES), coerce_text(c, "date", options, custom_format))
         .when(kind.isin(*TIMESTAMP_TYPES), coerce_text(c, "timestamp", options, custom_format))
         .when(kind.isin(*BOOLEAN_TYPES), boolean_text(c))
-        .otherwise(varchar_text(c))
+        .otherwise(varchar_text(c, value_type))
     )

@@ -30,8 +30,10 @@ def records_mixed(
 
     Short rows read as null, surplus cells are ignored, and when two source columns end up under one name
     the later cell wins. ``custom_formats`` lists the request date formats in use (column
-    ``custom_format`` of ``mapped``), since a format is compiled into the plan.
+    ``custom_format`` of ``mapped``), since a format is compiled into the plan. Cells of sheets may bring their types in
+    ``cell_types``; a NaN there counts as missing.
     """
+    typed = "cell_types" in cells.columns
     # the winning source column per target: the last one of that name
     winners = F.filter(
         F.filter("mapping", lambda m: m["keep"]),
@@ -43,15 +45,18 @@ def records_mixed(
 
     def value(m) -> Column:
         cell = F.get("cells", m["pos"])
-        plain = coerce_dynamic(cell, m["type"], options)
+        own = F.get("cell_types", m["pos"]) if typed else None
+        if typed:
+            cell = F.when((own != "number") | (F.lower(cell) != "nan"), cell)
+        plain = coerce_dynamic(cell, m["type"], options, value_type=own)
         for fmt in custom_formats:
             plain = F.when(
-                F.col("custom_format") == fmt, coerce_dynamic(cell, m["type"], options, fmt)
+                F.col("custom_format") == fmt, coerce_dynamic(cell, m["type"], options, fmt, own)
             ).otherwise(plain)
         return plain
 
     entries = F.transform("mapping", lambda m: F.struct(m["target"].alias("key"), value(m).alias("value")))
-    return rows.withColumn("record", F.map_from_entries(entries)).drop("mapping", "cells")
+    return rows.withColumn("record", F.map_from_entries(entries)).drop("mapping", "cells", "cell_types")
 
 
 def records_wide(

@@ -1,8 +1,9 @@
 """Sheet cells ``(file_id, sheet_idx, sheet, row, col, value, value_type)`` to tables of cells."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from .ordered import OrderedRows
 
 
 def wanted_sheets(sheets: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -28,37 +29,40 @@ def wanted_sheets(sheets: DataFrame, requests: DataFrame) -> tuple[DataFrame, Da
     missing = picked.filter(F.col("sheet").isNull()).select(
         "file_id",
         F.lit("missing_sheet").alias("kind"),
-        F.concat(
-            F.lit("sheet '"), F.col("id"), F.lit("' not found; available: ['"),
-            F.array_join("names", "', '"), F.lit("']"),
-        ).alias("detail"),
+        F.concat(F.lit("no sheet '"), F.col("id"), F.lit("'; the workbook has "), F.array_join("names", ", ")).alias("detail"),
     )
     return picked.filter(F.col("sheet").isNotNull()).select("file_id", "table_no", "sheet"), missing
 
 
-def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int = 1) -> tuple[DataFrame, DataFrame]:
+def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int | str = 1) -> tuple[DataFrame, DataFrame]:
     """(tables with trimmed headers, data rows) of the chosen sheets.
 
-    The header is row ``header_row`` (1-based), cut after its last filled cell; data rows are cut to that
-    width and rows with only empty cells are dropped. ``src_row`` counts kept rows from ``header_row + 1``.
-    A row is assembled from its own cells, so the shuffle key is the row and no sheet is gathered.
+    The header is row ``header_row`` (1-based, a number or a column of ``chosen``), cut after its last filled cell; data
+    rows are cut to that width and rows with only empty cells are dropped. ``src_row`` of a data row is the header's row
+    and its place among the kept rows. ``cell_types`` are the cells' own types, if ``value_type`` is there. A row is
+    assembled from its own cells, so the shuffle key is the row and no sheet is gathered.
     """
-    mine = cells.join(chosen, ["file_id", "sheet"], "inner").filter(F.col("row") >= header_row)
-    by_column = F.map_from_entries(F.collect_list(F.struct("col", "value")))
-    rows = mine.groupBy("file_id", "table_no", "sheet", "row").agg(
-        by_column.alias("__m"), F.max("col").alias("__last"),
+    typed = "value_type" in cells.columns
+    chosen = chosen.select("file_id", "table_no", "sheet", (F.lit(header_row) if isinstance(header_row, int) else F.col(header_row)).alias("__head"))
+    mine = cells.join(chosen, ["file_id", "sheet"], "inner").filter(F.col("row") >= F.col("__head"))
+
+    def by_column(name: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.struct("col", name)))
+
+    rows = mine.groupBy("file_id", "table_no", "sheet", "__head", "row").agg(
+        by_column("value").alias("__m"), *([by_column("value_type").alias("__t")] if typed else []),
         F.max(F.when(F.coalesce("value", F.lit("")) != "", F.col("col"))).alias("__filled"),
     )
     width = F.coalesce(F.col("__filled"), F.lit(0))
-    tables = rows.filter(F.col("row") == header_row).select(
-        "file_id", "table_no", "sheet", width.alias("width"),
-        F.transform(
-            F.when(width > 0, F.sequence(F.lit(1), width)).otherwise(F.array().cast("array<int>")),
-            lambda i: F.element_at("__m", i),
-        ).alias("headers"),
-    )
-    data = rows.filter(F.col("row") > header_row).join(tables.filter("width > 0").select("file_id", "table_no", "width"), ["file_id", "table_no"], "inner").withColumn(
-        "cells", F.transform(F.sequence(F.lit(1), F.col("width")), lambda i: F.element_at("__m", i))
-    )
+
+    def listed(name: str, n: Column) -> Column:
+        return F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.element_at(name, i))
+
+    tables = rows.filter(F.col("row") == F.col("__head")).select(
+        "file_id", "table_no", "sheet", width.alias("width"), listed("__m", width).alias("headers"))
+    data = rows.filter(F.col("row") > F.col("__head")).join(tables.filter("width > 0").select("file_id", "table_no", "width"), ["file_id", "table_no"], "inner")
+    data = data.withColumns({"cells": listed("__m", F.col("width")), **({"cell_types": listed("__t", F.col("width"))} if typed else {})})
     kept = data.filter(F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != ""))
-    return tables.drop("width"), kept.select("file_id", "table_no", "sheet", "row", "cells")
+    kept = kept.select("file_id", "table_no", "sheet", "row", "__head", "cells", *(["cell_types"] if typed else []))
+    numbered = OrderedRows.of(kept, ["file_id", "table_no"], ["row"]).number("__i").rows()
+    return tables.drop("width"), numbered.withColumn("src_row", (F.col("__head") + F.col("__i")).cast("bigint")).drop("__head", "__i")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.coerce import with_numeric
 from ..operators.batches import build_batches, job_totals, number_records
 from ..operators.ordered import OrderedRows
-from ..session import shared_dir
+from ..session import shared_dir, write_once
 from ..sources.charts import chart_query, chart_tables
 from ..functions.text import local_path
-from ..operators.ingest import ingest_delimited as ingest
+from ..operators.ingest import ingest_delimited as ingest, ingest_sheets as ingest_books
 from ..sources.delimited import delimiter_of, header_row_of, scan_delimited as scan
 from .coercion import DIRTY_PRICE_SQL, dirty_price
 from .common import money2, printed, table, text
@@ -145,6 +145,61 @@ def ingest_delimited(spark, sf_dir):
     )
 
 
+def _order_books(spark, sf_dir):
+    """Cells of one workbook per priority and one sheet per status: a title, a header, a row per order and blank rows between."""
+    o = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("/books/b"), F.substring("o_orderpriority", 1, 1), F.lit(".xlsx")).alias("path"), "o_orderstatus", "o_orderkey", "o_totalprice", "o_orderdate", "o_custkey")
+    sheet = F.col("o_orderstatus").alias("sheet")
+    idx = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2).alias("sheet_idx")
+
+    def cell(value, kind):
+        return F.struct(value.alias("value"), F.lit(kind).alias("value_type"))
+
+    key = F.col("o_orderkey")
+    values = F.array(
+        cell(F.concat(text(key), F.lit(".0")), "number"), cell(printed(F.col("o_totalprice")), "number"),
+        cell(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "date"), cell(F.concat(text(F.col("o_custkey")), F.lit(".0")), "number"),
+        cell(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "date"), cell(F.when(key % 5 == 0, "NaN").otherwise(" n "), "number"), cell(F.lit("over"), "string"))
+    blank = F.transform(values, lambda c: F.struct(F.lit("").alias("value"), c["value_type"].alias("value_type")))
+    data = o.select("path", sheet, idx, (key + 3).cast("int").alias("row"), F.when(key % 11 == 0, blank).otherwise(values).alias("v"))
+    names = F.array(*(cell(F.lit(n), "string") for n in ("Order Key", "Total Price", "Order Date", "Customer", "Placed", "Remark", "")))
+    books = o.select("path", sheet, idx).distinct()
+    heads = books.select("path", "sheet", "sheet_idx", F.lit(2).alias("row"), names.alias("v"))
+    titles = books.select("path", "sheet", "sheet_idx", F.lit(1).alias("row"), F.array(cell(F.lit("Orders"), "string")).alias("v"))
+    return data.unionByName(heads).unionByName(titles).select("path", "sheet", "sheet_idx", "row", F.posexplode("v").alias("col", "c")).select(
+        "path", "sheet", "sheet_idx", "row", (F.col("col") + 1).alias("col"), "c.value", "c.value_type")
+
+
+def ingest_sheets(spark, sf_dir):
+    """Requests for sheets of workbooks to stored batches: one row per record, with its batch, meta, typed fields and warnings."""
+    cells = write_once(_order_books(spark, sf_dir), "books")
+    paths = cells.select("path").distinct()
+    listing = paths.unionByName(spark.sql("select '/books/empty.xlsx' path union all select '/books/b1.csv'")).select(
+        "path", F.lit("2024-01-01").cast("timestamp").alias("modificationTime"), F.lit(1).cast("bigint").alias("length"))
+    f = F.substring("path", 9, 1).try_cast("int")
+    seq = F.regexp_replace("path", "^/books/b?", "B").alias("file_seq_id")
+    none = F.lit(None).cast("string")
+    wanted = F.when(f % 3 == 1, F.array(F.lit("1"), F.lit("Z9"))).when(f % 3 == 2, F.array(F.lit("P"), F.lit(" "), F.lit("F")))
+    requests = listing.select(
+        seq, "path", none.alias("file_name"), none.alias("sub_path"), wanted.alias("sheet_identifiers"), F.lit(2).alias("headers_row"), none.alias("format"),
+        F.lit("desk").alias("source_name"), F.lit("run").alias("run_id"), F.lit("2024-05-06").alias("process_date"), F.lit(False).alias("enrich_flow"),
+        F.lit("rc").alias("recon_id"), none.alias("event_id"))
+    details = [("orderkey", "bigint"), ("totalprice", "numeric"), ("orderdate", "date"), ("customer", "varchar"), ("placed", "varchar"), ("remark", "varchar")]
+    contracts = listing.select(
+        seq, F.array(*(F.struct(F.lit(n).alias("columnName"), F.lit(t).alias("columnType")) for n, t in details)).alias("column_details"),
+        F.array().cast("array<struct<source_column:string,source_display_column:string,field_type:string>>").alias("positions"),
+        F.lit(True).alias("fetch_by_name"), F.lit(False).alias("by_column_number"), F.array().cast("array<string>").alias("include_exclude"), F.lit(False).alias("is_exclude"))
+    done = ingest_books(requests, contracts, listing, cells, pick="all", batch_size=100)
+    rows = done.batches.select("file_seq_id", "batch_no", "record_count", F.posexplode("records").alias("i", "r"), "meta")
+    rows = rows.join(done.totals, "file_seq_id").select(
+        "file_seq_id", "batch_no", "record_count", "i", "total_records", "total_batches", "warning_count",
+        F.get_json_object("r", "$._row").cast("bigint").alias("src_row"), F.regexp_replace("r", r',"_row":\d+}$', "}").alias("record"),
+        F.col("meta")["sheet"].alias("sheet"), F.col("meta")["engine"].alias("engine"))
+    said = done.warnings.select("file_seq_id", F.concat_ws(": ", "kind", "detail").alias("record")).unionByName(
+        done.rejected.select("file_seq_id", F.concat(F.lit("rejected: "), "error").alias("record")))
+    return rows.unionByName(said, allowMissingColumns=True)
+
+
 def scan_delimited(spark, sf_dir):
     """Customers written as delimited files with a title line, a header and blank lines, read back."""
     c = table(spark, sf_dir, "customer")
@@ -234,6 +289,7 @@ QUERIES = {
     "number_gaps": number_gaps,
     "scan_delimited": scan_delimited,
     "ingest_delimited": ingest_delimited,
+    "ingest_sheets": ingest_sheets,
     "chart_rows": chart_rows,
 }
 
@@ -280,6 +336,33 @@ ORACLE = {
                'csv' AS format, 'rc' AS recon_id, CASE WHEN f < 3 THEN 'ev' END AS event_id,
                CAST((k - 1) // 100 + 1 AS VARCHAR) AS meta_batch_no
         FROM o""",
+    "ingest_sheets": """
+        WITH a AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS f FROM orders),
+        w AS (SELECT f, o_orderkey, o_totalprice, o_orderdate, o_custkey, o_orderstatus AS sheet,
+                     CASE f % 3 WHEN 0 THEN CASE WHEN o_orderstatus = (SELECT min(o_orderstatus) FROM a x WHERE x.f = a.f) THEN 0 END
+                                WHEN 1 THEN CASE WHEN o_orderstatus = 'O' THEN 0 END
+                                ELSE CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 END END AS t
+              FROM a),
+        k AS (SELECT *, row_number() OVER (PARTITION BY f, t ORDER BY o_orderkey) AS i, row_number() OVER (PARTITION BY f ORDER BY t, o_orderkey) AS n,
+                     count(*) OVER (PARTITION BY f) AS total
+              FROM w WHERE t IS NOT NULL AND o_orderkey % 11 > 0),
+        m AS (SELECT *, (n - 1) // 100 + 1 AS b, least(100, total - (n - 1) // 100 * 100) AS c FROM k)
+        SELECT 'B' || f || '.xlsx' AS file_seq_id, CAST(b AS INTEGER) AS batch_no, CAST(c AS INTEGER) AS record_count, CAST((n - 1) % 100 AS INTEGER) AS i,
+               total AS total_records, CAST((total - 1) // 100 + 1 AS INTEGER) AS total_batches, CAST(CASE WHEN f % 3 = 1 THEN 1 ELSE 0 END AS BIGINT) AS warning_count,
+               i + 2 AS src_row,
+               '{"orderkey":' || o_orderkey || ',"totalprice":"' || CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) || '","orderdate":"' || strftime(o_orderdate, '%Y-%m-%d')
+               || '","customer":"' || o_custkey || '","placed":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '","remark":'
+               || CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '"n"' END || '}' AS record,
+               CASE WHEN c = 100 THEN last(sheet) OVER (PARTITION BY f, b ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+                    ELSE last(sheet) OVER (PARTITION BY f ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) END AS sheet,
+               'spark-sheets' AS engine
+        FROM m
+        UNION ALL
+        SELECT DISTINCT 'B' || f || '.xlsx', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+               'missing_sheet: no sheet ''Z9''; the workbook has ' || (SELECT string_agg(DISTINCT o_orderstatus, ', ' ORDER BY o_orderstatus) FROM a x WHERE x.f = a.f), NULL, NULL
+        FROM a WHERE f % 3 = 1
+        UNION ALL SELECT 'Bempty.xlsx', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'rejected: workbook without cells: /books/empty.xlsx', NULL, NULL
+        UNION ALL SELECT 'B1.csv', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'rejected: no workbook: /books/b1.csv', NULL, NULL""",
     "scan_delimited": """
         SELECT CAST(c_nationkey AS VARCHAR) AS file_seq_id,
                3 + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS src_row,

@@ -495,7 +495,7 @@ ORACLE = {
                p_name || '||' || CAST(CAST(p_retailprice AS DECIMAL(18, 2)) AS VARCHAR) AS cells
         FROM p JOIN c USING (file_id, p_brand) WHERE p_partkey % 6 > 0
         UNION ALL
-        SELECT DISTINCT file_id, NULL, NULL, NULL, NULL, 'sheet ''Brand#99'' not found' FROM s WHERE file_id = 'wb2'""",
+        SELECT DISTINCT file_id, NULL, NULL, NULL, NULL, 'no sheet ''Brand#99''' FROM s WHERE file_id = 'wb2'""",
     "visual_rows": f"""
         WITH {_WORDS}
         SELECT doc_id, CAST(page AS INTEGER) AS page,
