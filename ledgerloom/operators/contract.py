@@ -163,10 +163,50 @@ def unmapped_headers(mapped: DataFrame) -> DataFrame:
     )
 
 
-def resolve_options(requests: DataFrame, defaults: DataFrame, keys: list[str], options: list[str]) -> DataFrame:
-    """Per-request options over the configured ones: the request's value wins, field by field."""
-    base = defaults.select(*keys, *(F.col(o).alias(f"__{o}") for o in options))
+def resolve_options(
+    requests: DataFrame, defaults: DataFrame, keys: list[str], options: list[str], nested: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per-request options over the configured ones: the request's value wins, field by field.
+
+    Options in ``nested`` are JSON texts, merged level by level (:func:`merge_options`).
+    """
+    names = [*options, *nested]
+    base = defaults.select(*keys, *(F.col(o).alias(f"__{o}") for o in names))
     joined = requests.join(base, keys, "left")
-    return joined.withColumns({o: F.coalesce(F.col(o), F.col(f"__{o}")) for o in options}).drop(
-        *(f"__{o}" for o in options)
-    )
+    values = {o: F.coalesce(F.col(o), F.col(f"__{o}")) for o in options}
+    values |= {o: merge_options(F.col(f"__{o}"), F.col(o)) for o in nested}
+    return joined.withColumns(values).drop(*(f"__{o}" for o in names))
+
+
+#: Levels of nested options that are merged; below, the request's value replaces the whole.
+OPTION_LEVELS = 8
+
+
+def merge_options(base: Column, overrides: Column, levels: int = OPTION_LEVELS) -> Column:
+    """JSON text of nested options: the request's over the configured ones, level by level.
+
+    Where both have an object under a name, the two are merged; anything else the request says, null and lists too,
+    replaces what was there. No overrides, or none that are an object, leave ``base``. Names come out sorted.
+    """
+    kind = "map<string,variant>"
+
+    def fields(v: Column) -> Column:
+        return F.try_variant_get(v, "$", kind)
+
+    def is_object(v: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+    def as_variant(m: Column) -> Column:
+        return F.parse_json(F.to_json(m, {"ignoreNullFields": "false"}))
+
+    def merged(a: Column, b: Column, left: int) -> Column:
+        def value(k: Column, x: Column, y: Column) -> Column:
+            chosen = F.when(~F.map_contains_key(b, k), x)
+            if left > 1:
+                chosen = chosen.when(is_object(x) & is_object(y), merged(fields(x), fields(y), left - 1))
+            return chosen.otherwise(y)
+
+        return as_variant(F.map_zip_with(a, b, value))
+
+    a, b = F.try_parse_json(base), F.try_parse_json(overrides)
+    return F.to_json(F.when(~is_object(b), a).when(~is_object(a), b).otherwise(merged(fields(a), fields(b), levels)))

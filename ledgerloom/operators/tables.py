@@ -234,11 +234,10 @@ def select_pages(pages: DataFrame, spec: str, page: str = "page", counts: DataFr
         .withColumn("b", F.when(F.coalesce("b", F.lit("")) == "", F.col("a")).otherwise(F.col("b").cast("int")))
         .filter("b >= a")
     )
-    listed = ranges.select("i", F.explode(F.sequence("a", "b")).alias("__page")).select(
-        "__page", (F.col("i").cast("bigint") * 1_000_000_000 + F.col("__page")).alias("page_ord")
-    )
-    # the page list comes from the text of one option, so its size is that of the option
-    return pages.join(F.broadcast(listed), F.col(page) == F.col("__page")).drop("__page")
+    # one row per part of the option's text: ranges are not spelled out, however long they are
+    ranges = ranges.select("i", "a", "b")
+    chosen = pages.join(ranges, F.col(page).between(F.col("a"), F.col("b")))
+    return chosen.withColumn("page_ord", F.col("i").cast("bigint") * 1_000_000_000 + F.col(page)).drop("i", "a", "b")
 
 
 def pages_with_text(files: DataFrame, page_text: DataFrame) -> DataFrame:
@@ -246,7 +245,7 @@ def pages_with_text(files: DataFrame, page_text: DataFrame) -> DataFrame:
     some = page_text.filter(F.coalesce(F.trim("text"), F.lit("")) != "").select("file_id").distinct()
     return files.join(some, "file_id", "left_anti").select(
         "file_id", F.lit("no_text_layer").alias("kind"),
-        F.lit("PDF has no text layer (scanned?) - use pdf.engine=textract").alias("detail"),
+        F.lit("no page of the file holds text; it may be a scan").alias("detail"),
     )
 
 
@@ -254,5 +253,5 @@ def files_without_tables(files: DataFrame, tables: DataFrame) -> DataFrame:
     """Warning rows for files in which no table was found."""
     return files.join(tables.select("file_id").distinct(), "file_id", "left_anti").select(
         "file_id", F.lit("no_tables").alias("kind"),
-        F.lit("no tables detected; try table_strategy=text or textract").alias("detail"),
+        F.lit("none of the pages holds a table").alias("detail"),
     )

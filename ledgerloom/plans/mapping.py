@@ -228,6 +228,23 @@ def resolve_options(spark, sf_dir):
     return resolve_options_of(requests, defaults, ["o_orderpriority"], ["engine", "layout"])
 
 
+def merge_options(spark, sf_dir):
+    """Nested options of requests over those of their priority: objects merge, lists, nulls and other kinds replace."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    asked = (
+        F.when(k % 6 == 1, "{}").when(k % 6 == 2, '{"pdf": {"table": {"mode": "text"}}}')
+        .when(k % 6 == 3, '{"pdf": {"dpi": null, "extra": {"x": 1}, "table": {"snap": [9]}}}')
+        .when(k % 6 == 4, '{"engine": {"name": "e"}, "pdf": "off"}')
+        .when(k % 6 == 5, F.concat(F.lit('{"pdf": {"pages": {"from": '), text(k), F.lit("}}}")))
+    )
+    defaults = o.select("o_orderpriority").distinct().select(
+        "o_orderpriority", F.lit("native").alias("engine"),
+        F.concat(F.lit('{"engine": "native", "pdf": {"dpi": 150, "pages": null, "table": {"mode": "'), "o_orderpriority", F.lit('", "snap": [1, 2]}}}')).alias("parser"))
+    requests = o.select("o_orderkey", "o_orderpriority", F.when(k % 4 == 0, "own").alias("engine"), asked.alias("parser"))
+    return resolve_options_of(requests, defaults, ["o_orderpriority"], ["engine"], ("parser",))
+
+
 def type_lookup(spark, sf_dir):
     """Types of the part contracts: contract entries before position entries."""
     _, contracts = _part_tables(spark, sf_dir)
@@ -250,6 +267,7 @@ QUERIES = {
     "combine_tables": combine,
     "apply_field_map": apply_field_map,
     "resolve_options": resolve_options,
+    "merge_options": merge_options,
 }
 
 _HEADERS = """(SELECT p_partkey, p_type, p_brand, i AS pos,
@@ -329,6 +347,15 @@ ORACLE = {
                CASE WHEN o_orderstatus = 'F' THEN 'DB' ELSE 'CR' END AS dbcr_10,
                'transaction' AS record_type, o_orderkey AS raw_key
         FROM orders""",
+    "merge_options": """
+        SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 4 = 0 THEN 'own' ELSE 'native' END AS engine,
+               CASE o_orderkey % 6
+                 WHEN 2 THEN '{"engine":"native","pdf":{"dpi":150,"pages":null,"table":{"mode":"text","snap":[1,2]}}}'
+                 WHEN 3 THEN '{"engine":"native","pdf":{"dpi":null,"extra":{"x":1},"pages":null,"table":{"mode":"' || o_orderpriority || '","snap":[9]}}}'
+                 WHEN 4 THEN '{"engine":{"name":"e"},"pdf":"off"}'
+                 WHEN 5 THEN '{"engine":"native","pdf":{"dpi":150,"pages":{"from":' || o_orderkey || '},"table":{"mode":"' || o_orderpriority || '","snap":[1,2]}}}'
+                 ELSE '{"engine":"native","pdf":{"dpi":150,"pages":null,"table":{"mode":"' || o_orderpriority || '","snap":[1,2]}}}' END AS parser
+        FROM orders""",
     "resolve_options": """
         SELECT o_orderkey, o_orderpriority,
                CASE WHEN o_orderkey % 3 = 0 THEN 'textract' ELSE 'native' END AS engine,

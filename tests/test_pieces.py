@@ -370,3 +370,29 @@ def test_document_patterns_equal_a_search_of_the_whole_text(spark, monkeypatch):
                 m = re.search(re.escape(k) + r"\s*[:\-]?\s*(.+)", whole.get(d, ""), re.I | re.A)
                 assert got.get((d, f"f{i}")) == (" ".join(m.group(1).split()) if m else None), (d, k, whole.get(d))
         assert lost + len(got) == 3 * len({r[0] for r in pages})
+
+
+def test_nested_options(spark):
+    from ledgerloom.operators.contract import merge_options
+
+    def deep(a, b):
+        return {**a, **{k: deep(a[k], v) if isinstance(v, dict) and isinstance(a.get(k), dict) else v for k, v in b.items()}}
+
+    rnd = random.Random(6)
+
+    def made(level=0):
+        kinds = [None, 1, "x", [1, {"a": 2}], True, {}] + [None] * level
+        return {k: made(level + 1) if rnd.random() < 0.5 and level < 4 else rnd.choice(kinds) for k in rnd.sample("abcd", rnd.randint(0, 4))}
+
+    pairs = [(made(), made()) for _ in range(200)]
+    rows = [(i, json.dumps(a), json.dumps(b)) for i, (a, b) in enumerate(pairs)] + [(1000, '{"a":1}', None), (1001, '{"a":1}', "nope"), (1002, '{"a":1}', "[1]"), (1003, None, '{"b":2}'), (1004, None, None)]
+    found = dict(map(tuple, spark.createDataFrame(rows, "i int, a string, b string").select("i", merge_options(F.col("a"), F.col("b"))).collect()))
+    for i, (a, b) in enumerate(pairs):
+        assert json.loads(found[i]) == deep(a, b)
+    assert [found[i] for i in range(1000, 1005)] == ['{"a":1}'] * 3 + ['{"b":2}', None]
+
+
+def test_page_ranges_are_not_spelled_out(spark):
+    pages = spark.range(1, 8).select(F.col("id").alias("page"))
+    found = T.select_pages(pages, "5-1000000000,2-3,3,9-7").orderBy("page_ord").collect()
+    assert [r.page for r in found] == [5, 6, 7, 2, 3, 3]
