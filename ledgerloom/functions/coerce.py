@@ -197,7 +197,7 @@ def on_error(raw: Column, type_name: str | Column, options: CoercionOptions) ->
 
 
 def coerce_text(
-    c: Column, type_name: str, options: CoercionOptions = DEFAULTS, custom_format: str | None = None
+    c: Column, type_name: str, options: CoercionOptions = DEFAULTS, custom_format: str | None = None, custom: Column | None = None
 ) -> Column:
     """Coerce one column of a known type (plan-time dispatch, used for wide records)."""
     kind = (type_name or "varchar").lower()
@@ -206,7 +206,7 @@ def coerce_text(
         good = integer_text(good) if kind in INTEGER_TYPES else good
         blank = is_blank_number(c)
     elif kind in DATE_TYPES + TIMESTAMP_TYPES:
-        good = date_text(c, options.date_formats, with_time=kind in TIMESTAMP_TYPES, custom_format=custom_format)
+        good = date_text(c, options.date_formats, with_time=kind in TIMESTAMP_TYPES, custom_format=custom_format, custom=custom, dayfirst=options.dayfirst)
         blank = c.isNull() | (strip(c) == "")
     elif kind in BOOLEAN_TYPES:
         return boolean_text(c)
@@ -216,14 +216,17 @@ def coerce_text(
 
 
 def coerce_dynamic(
-    c: Column, kind: Column, options: CoercionOptions = DEFAULTS, custom_format: str | None = None, value_type: Column | None = None
+    c: Column, kind: Column, options: CoercionOptions = DEFAULTS, custom: Column | None = None, value_type: Column | None = None
 ) -> Column:
-    """Coerce when the type itself is data (many contracts in one plan); ``value_type`` is the type of a sheet's cell."""
+    """Coerce when the type itself is data (many contracts in one plan).
+
+    ``custom`` is the shape of the table's own date format, ``value_type`` the type of a sheet's cell.
+    """
     return (
         F.when(kind.isin(*NUMBER_TYPES), coerce_text(c, "numeric", options))
         .when(kind.isin(*INTEGER_TYPES), coerce_text(c, "bigint", options))
-        .when(kind.isin(*DATE_TYPES), coerce_text(c, "date", options, custom_format))
-        .when(kind.isin(*TIMESTAMP_TYPES), coerce_text(c, "timestamp", options, custom_format))
+        .when(kind.isin(*DATE_TYPES), coerce_text(c, "date", options, custom=custom))
+        .when(kind.isin(*TIMESTAMP_TYPES), coerce_text(c, "timestamp", options, custom=custom))
         .when(kind.isin(*BOOLEAN_TYPES), boolean_text(c))
         .otherwise(varchar_text(c, value_type))
     )

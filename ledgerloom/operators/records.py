@@ -14,6 +14,7 @@ from ..functions.coerce import (
     coerce_text,
     with_numeric,
 )
+from ..functions.dates import format_shape
 from ..functions.text import basename
 from .contract import type_of
 
@@ -24,22 +25,21 @@ def records_mixed(
     cells: DataFrame,
     mapped: DataFrame,
     options: CoercionOptions = DEFAULTS,
-    custom_formats: tuple[str, ...] = (),
 ) -> DataFrame:
     """``record MAP<STRING,STRING>`` per row; every table follows its own mapping, in one plan.
 
     Short rows read as null, surplus cells are ignored, and when two source columns end up under one name
-    the later cell wins. ``custom_formats`` lists the request date formats in use (column
-    ``custom_format`` of ``mapped``), since a format is compiled into the plan. Cells of sheets may bring their types in
-    ``cell_types``; a NaN there counts as missing.
+    the later cell wins. ``mapped`` may bring a date format of each table in ``custom_format``, which is tried before the
+    others: any number of formats make one plan. Cells of sheets may bring their types in ``cell_types``; a NaN there
+    counts as missing.
     """
-    typed = "cell_types" in cells.columns
+    typed, own_format = "cell_types" in cells.columns, "custom_format" in mapped.columns
     # the winning source column per target: the last one of that name
     winners = F.filter(
         F.filter("mapping", lambda m: m["keep"]),
         lambda m: ~F.exists("mapping", lambda o: (o["target"] == m["target"]) & (o["pos"] > m["pos"])),
     )
-    carried = ["types"] + (["custom_format"] if custom_formats else [])
+    carried = ["types", *([format_shape(F.col("custom_format")).alias("__format")] if own_format else [])]
     side = mapped.select(*TABLE_KEY, *carried, winners.alias("mapping"))
     rows = cells.join(side, TABLE_KEY, "inner")
 
@@ -48,15 +48,10 @@ def records_mixed(
         own = F.get("cell_types", m["pos"]) if typed else None
         if typed:
             cell = F.when((own != "number") | (F.lower(cell) != "nan"), cell)
-        plain = coerce_dynamic(cell, m["type"], options, value_type=own)
-        for fmt in custom_formats:
-            plain = F.when(
-                F.col("custom_format") == fmt, coerce_dynamic(cell, m["type"], options, fmt, own)
-            ).otherwise(plain)
-        return plain
+        return coerce_dynamic(cell, m["type"], options, F.col("__format") if own_format else None, own)
 
     entries = F.transform("mapping", lambda m: F.struct(m["target"].alias("key"), value(m).alias("value")))
-    return rows.withColumn("record", F.map_from_entries(entries)).drop("mapping", "cells", "cell_types")
+    return rows.withColumn("record", F.map_from_entries(entries)).drop("mapping", "cells", "cell_types", "__format")
 
 
 def records_wide(

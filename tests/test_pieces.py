@@ -396,3 +396,44 @@ def test_page_ranges_are_not_spelled_out(spark):
     pages = spark.range(1, 8).select(F.col("id").alias("page"))
     found = T.select_pages(pages, "5-1000000000,2-3,3,9-7").orderBy("page_ord").collect()
     assert [r.page for r in found] == [5, 6, 7, 2, 3, 3]
+
+
+def test_a_thousand_date_formats_in_one_plan(spark):
+    import datetime
+    import itertools
+
+    from ledgerloom.functions.dates import format_shape, parse_shape
+
+    rnd = random.Random(8)
+    days = [f"{a}{x}{b}{y}{c}" for a, b, c in itertools.permutations(["%d", "%m", "%Y"]) for x in "/-. *+" for y in "/-. ,("]
+    days += [f"{b}{x}%d{x}{y}" for b in ("%b", "%B") for x in " -_/" for y in ("%Y", "%y")] + ["%y%m%d", "week %d of %m %Y", "%Y"]
+    formats = [d + t for d in days for t in ("", " %H:%M", "T%H%M%S", " at %H.%M")]
+    rows = []
+    for fmt in formats:
+        when = datetime.datetime(rnd.randint(1970, 2060), rnd.randint(1, 12), rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59), rnd.randint(0, 59))
+        rows += [(fmt, when.strftime(fmt)), (fmt, "31" + when.strftime(fmt)[2:]), (fmt, "nothing")]
+    assert len(formats) > 900
+    df = spark.createDataFrame(rows, "fmt string, value string").withColumn("shape", format_shape(F.col("fmt")))
+    for r in df.select("fmt", "value", parse_shape(F.col("value"), F.col("shape")).cast("string").alias("got")).collect():
+        try:
+            expected = str(datetime.datetime.strptime(r.value, r.fmt))
+        except ValueError:
+            expected = None
+        assert r.got == expected, (r.fmt, r.value)
+
+
+def test_own_date_formats_and_day_order(spark):
+    from ledgerloom.operators.contract import map_headers
+    from ledgerloom.operators.records import records_mixed
+
+    formats = {"A": "%m~%d~%Y", "B": "%d~%m~%Y", "C": None, "D": ""}
+    tables = spark.createDataFrame([(k, 0, 0, ["When"]) for k in formats], "file_seq_id string, file_ord int, table_no int, headers array<string>")
+    contracts = spark.createDataFrame([(k, [("when", "date")], [], True, False, [], False) for k in formats], CONTRACT)
+    own = spark.createDataFrame(list(formats.items()), "file_seq_id string, custom_format string")
+    cells = spark.createDataFrame([(k, 0, 0, i, [v]) for k in formats for i, v in enumerate(("02~03~2024", "2024-05-06", "7-8-2024"))], "file_seq_id string, file_ord int, table_no int, src_row int, cells array<string>")
+    mapped = map_headers(tables, contracts).join(own, "file_seq_id")
+    found = {(r.file_seq_id, r.src_row): r.record["when"] for r in records_mixed(cells, mapped).collect()}
+    assert [found[k, 0] for k in "ABCD"] == ["2024-02-03", "2024-03-02", "02~03~2024", "02~03~2024"]
+    assert {found[k, 1] for k in "ABCD"} == {"2024-05-06"} and {found[k, 2] for k in "ABCD"} == {"2024-08-07"}
+    found = records_mixed(cells, mapped, CoercionOptions(dayfirst=False)).filter("src_row = 2").collect()
+    assert {r.record["when"] for r in found} == {"2024-07-08"}
