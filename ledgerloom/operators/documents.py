@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import clean, quote_regex, strip
+from ..session import write_once
 from .ordered import OrderedRows, following
 
 # Document fields looked for by default.
@@ -45,7 +46,7 @@ def _filled(page_text: DataFrame) -> DataFrame:
 
 
 def stretches(page_text: DataFrame, reach: int = REACH) -> DataFrame:
-    """``file_id, page, text, stretch, further`` of the pages with text: each with the ``reach`` pages after it.
+    """``file_id, page, stretch, further`` of the pages with text: each with the ``reach`` pages after it.
 
     One line break stands between pages; ``further`` tells whether a page follows the stretch. No document is gathered:
     its pages are ordered like any other rows, a document of very many pages in blocks.
@@ -56,32 +57,25 @@ def stretches(page_text: DataFrame, reach: int = REACH) -> DataFrame:
         rows = rows.carry(**{f"__{k}": following(F.col(before))})
         before = f"__{k}"
     return rows.rows().select(
-        "file_id", "page", "text", F.concat_ws("\n", "text", *(f"__{k}" for k in range(1, reach + 1))).alias("stretch"),
+        "file_id", "page", F.concat_ws("\n", "text", *(f"__{k}" for k in range(1, reach + 1))).alias("stretch"),
         F.col(f"__{reach + 1}").isNotNull().alias("further"))
 
 
-def _match(text: Column, stretch: Column, flags: str, pattern: Column) -> Column:
-    """The first match in the stretch if it begins on its first page: struct of value and whether it ends the stretch."""
-    found = F.regexp_like(stretch, F.concat(F.lit(flags), pattern))
-    whole = F.concat(F.lit(flags + "\\A((?s:.*?))("), pattern, F.lit(")((?s:.{0,1}))"))
+def _match(stretch: Column, further: Column, flags: str, pattern: Column) -> Column:
+    """The first match in the stretch: struct of value and whether it may go on, null if there is none.
 
-    def part(k: int) -> Column:
-        return F.call_function("regexp_extract", stretch, whole, F.lit(k))
-
-    match = F.struct(part(3).alias("value"), (part(4) == "").alias("ends"))
-    return F.when(found & (F.length(part(1)) <= F.length(text)), match)
+    A match may go on if pages follow and one touches the end of the stretch.
+    """
+    own = F.concat(F.lit(flags), pattern)
+    ends = F.when(further, F.regexp_like(stretch, F.concat(F.lit(f"{flags}(?:"), pattern, F.lit(")\\z")))).otherwise(False)
+    match = F.struct(F.call_function("regexp_extract", stretch, own, F.lit(1)).alias("value"), ends.alias("open"))
+    return F.when(F.regexp_like(stretch, own), match)
 
 
 def _first(flags: str, pattern: Column) -> Column:
-    """Aggregate over the ``stretches`` of a document: page and value of the first match, and whether it may go on."""
-    match = _with(_match(F.col("text"), F.col("stretch"), flags, pattern), lambda m: F.when(m.isNotNull(), F.struct(
-        F.col("page"), m["value"].alias("value"), (m["ends"] & F.col("further")).alias("open"))))
-    return F.min(match)
-
-
-def _with(value: Column, use) -> Column:
-    """``use(value)``, with ``value`` worked out once."""
-    return F.transform(F.array(value), use)[0]
+    """Aggregate over the ``stretches`` of a document: of the first page whose stretch has a match, its value and whether it may go on."""
+    match = _match(F.col("stretch"), F.col("further"), flags, pattern)
+    return F.min(F.transform(F.array(match), lambda m: F.when(m.isNotNull(), F.struct(F.col("page"), m["value"].alias("value"), m["open"].alias("open"))))[0])
 
 
 def _widened(found: DataFrame, page_text: DataFrame, keys: list[str], flags: str, pattern: Column) -> DataFrame:
@@ -89,14 +83,16 @@ def _widened(found: DataFrame, page_text: DataFrame, keys: list[str], flags: str
 
     A match is open if it touches the end of its stretch while pages follow: only there it may go on.
     """
+    found = write_once(found, "first-matches")
+    if found.filter("open").isEmpty():
+        return found.select(*keys, "value")
     pages = _filled(page_text).select(F.col("file_id").alias("__file"), F.col("page").alias("__page"), F.col("text").alias("__text"))
     near = found.filter("open").join(pages, (F.col("file_id") == F.col("__file")) & (F.col("__page") >= F.col("page")))
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__page"))
     near = near.withColumn("__n", nth).filter(F.col("__n") <= REACH + 1 + WIDE).groupBy(*keys, "page").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("__n", "__text"))), lambda p: p["__text"]).alias("__texts"))
-    text = F.array_join("__texts", "\n")
-    wide = near.withColumn("text", F.col("__texts")[0]).withColumn("stretch", text)
-    wide = wide.select(*keys, _match(F.col("text"), F.col("stretch"), flags, pattern)["value"].alias("value"))
+    wide = near.withColumn("stretch", F.array_join("__texts", "\n"))
+    wide = wide.select(*keys, _match(F.col("stretch"), F.lit(False), flags, pattern)["value"].alias("value"))
     return found.filter(~F.col("open")).select(*keys, "value").unionByName(wide)
 
 
