@@ -141,9 +141,9 @@ def contract_drift(contracts: DataFrame) -> DataFrame:
             "file_seq_id",
             F.lit("contract_drift").alias("kind"),
             F.concat(
-                F.lit("columnPositionDetails.source_column '"),
+                F.lit("the contract has a position but no detail for column '"),
                 F.col("p.source_column"),
-                F.lit("' not present in columnDetails"),
+                F.lit("'"),
             ).alias("detail"),
         )
     )

@@ -59,7 +59,7 @@ def route_requests(spark, sf_dir):
     routed = R.route(items)
     return routed.select(
         "offset", "item_no", "route", "is_pdf", "profile", "is_reprocess",
-        F.substring_index("error", ".", 1).alias("error"), R.is_retryable(F.col("error")).alias("retryable"),
+        "error", R.is_retryable(F.col("error")).alias("retryable"),
         F.substring("file_seq_id", 1, 5).alias("key_start"), F.length("file_seq_id").alias("key_length"),
     )
 
@@ -186,7 +186,7 @@ ORACLE = {
                CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS original FROM i
         UNION ALL SELECT "offset", 1, NULL, NULL, NULL FROM i WHERE kind = 1
         UNION ALL SELECT event_id, NULL, NULL, CASE WHEN event_id % 10 = 3 THEN 'message is not valid JSON'
-                                                   ELSE 'expected JSON object(s)' END,
+                                                   ELSE 'neither an object nor a list of objects' END,
                CASE event_id % 10 WHEN 2 THEN '[' || {_MESSAGE} || ', 5]' WHEN 3 THEN '{{"a":' ELSE '42' END
         FROM events WHERE event_id % 10 IN (2, 3, 4)""",
     "route_requests": f"""
@@ -195,7 +195,7 @@ ORACLE = {
                pdf AS is_pdf, CASE WHEN pdf AND NOT bad THEN CASE WHEN kind <> 5 AND event_id % 4 = 0 THEN 'charles_schwab'
                                                                   ELSE 'northern_trust_daily' END END AS profile,
                kind <> 5 AND user_id % 9 = 0 AS is_reprocess,
-               CASE WHEN bad THEN 'ValueError: Unsupported pdfTemplate ''HSBC''' END AS error,
+               CASE WHEN bad THEN 'ValueError: no profile for template ''HSBC''; there are [''CHARLES_SCHWAB'', ''NORTHERN_TRUST'', ''NT'', ''SCHWAB'']' END AS error,
                CASE WHEN bad THEN false END AS retryable,
                CASE WHEN kind = 5 THEN 'AUTO-' ELSE left({_KEY}, 5) END AS key_start,
                CAST(CASE WHEN kind = 5 THEN 21 ELSE length({_KEY}) END AS INTEGER) AS key_length FROM j

@@ -306,7 +306,7 @@ ORACLE = {
                      ('standard_price', 'numeric'), ('brand_col', NULL)) AS t(name, type)""",
     "contract_drift": """
         SELECT r_name AS file_seq_id, 'contract_drift' AS kind,
-               'columnPositionDetails.source_column ''' || n_name || ''' not present in columnDetails' AS detail
+               'the contract has a position but no detail for column ''' || n_name || '''' AS detail
         FROM region JOIN nation ON n_nationkey % 5 IN (r_regionkey, (r_regionkey + 1) % 5)
         WHERE n_regionkey <> r_regionkey""",
     "project_include_exclude": """

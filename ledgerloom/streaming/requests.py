@@ -60,7 +60,7 @@ def split_messages(messages: DataFrame, value: str = "value") -> tuple[DataFrame
     )
     dead = judged.filter(~F.col("__good")).select(
         *(c for c in messages.columns if c != value),
-        F.when(F.col("__v").isNull(), "message is not valid JSON").otherwise("expected JSON object(s)").alias("error"),
+        F.when(F.col("__v").isNull(), "message is not valid JSON").otherwise("neither an object nor a list of objects").alias("error"),
         F.lit(False).alias("retryable"),
         F.col(value).alias("original"),
     )
@@ -111,8 +111,8 @@ def route(items: DataFrame) -> DataFrame:
             "error": F.when(
                 F.col("is_request") & F.col("is_pdf") & F.col("profile").isNull(),
                 F.concat(
-                    F.lit("ValueError: Unsupported pdfTemplate '"), F.col("template"),
-                    F.lit(f"'. Supported values: [{known}]"),
+                    F.lit("ValueError: no profile for template '"), F.col("template"),
+                    F.lit(f"'; there are [{known}]"),
                 ),
             ),
         }
@@ -130,7 +130,7 @@ def dead_letters(routed: DataFrame, dead_letter_skipped: bool = False) -> DataFr
     failed = F.col("error").isNotNull()
     skip = (F.col("route") == "skip") if dead_letter_skipped else F.lit(False)
     message = F.coalesce(
-        "error", F.lit("not a parse request (no path/fileName/superset/fileImportDetails)")
+        "error", F.lit("names nothing to parse")
     )
     return routed.filter(failed | skip).select(
         "file_seq_id",
