@@ -51,13 +51,17 @@ def typed_json(record: Column, types: Column, row: Column) -> Column:
 
 
 def _asked_files(requests: DataFrame, listing: DataFrame, pick: str, allowed_roots: tuple[str, ...], kind: str, said: str) -> tuple[DataFrame, DataFrame]:
-    """(files of the requests with their fields and ``fmt``, rejected requests); all files must be of one ``kind``."""
+    """(files of the requests with their fields and ``fmt``, rejected requests); all files must be of one ``kind``.
+
+    Both are one slim row per file or request and written once: every step below reads them, and their plan in each of
+    those places would outgrow the driver.
+    """
     found, refused = resolve_paths(requests.select("file_seq_id", "path", "file_name", "sub_path"), listing, pick, allowed_roots)
     fields = requests.drop("path", "file_name", "sub_path")
-    files = found.join(fields, "file_seq_id").withColumn("fmt", resolved_format(F.col("path"), F.col("format")))
+    files = write_once(found.join(fields, "file_seq_id").withColumn("fmt", resolved_format(F.col("path"), F.col("format"))), "found-files")
     unread = files.filter(~F.col("fmt").eqNullSafe(F.lit(kind))).select("file_seq_id", F.concat(F.lit(f"{said}: "), F.col("path")).alias("error"))
-    rejected = refused.unionByName(unread).groupBy("file_seq_id").agg(F.min("error").alias("error"))
-    return files.join(rejected, "file_seq_id", "left_anti"), rejected
+    rejected = write_once(refused.unionByName(unread).groupBy("file_seq_id").agg(F.min("error").alias("error")), "refused")
+    return write_once(files.join(rejected, "file_seq_id", "left_anti"), "asked-files"), rejected
 
 
 def _without(broken: DataFrame, *frames: DataFrame) -> tuple[DataFrame, ...]:
@@ -87,7 +91,7 @@ def _stored(
         lambda _, v: v.isNotNull())
     described = tables.select("file_seq_id", "file_ord", "table_no", *more_meta).join(files, ["file_seq_id", "file_ord"]).select(
         "file_seq_id", "file_ord", "table_no", meta.alias("meta"))
-    batches = build_batches(records, batch_size, tables=described)
+    batches = write_once(build_batches(records, batch_size, tables=described), "batches")  # read for the totals, too
     return Ingested(batches, job_totals(batches, warnings), warnings, rejected)
 
 
@@ -107,8 +111,10 @@ def ingest_delimited(
     # the files to open: their names go through the driver in any case, as the scan needs them
     paths = [r["path"] for r in asked.select("path").distinct().collect()]
     read = read_delimited(spark, asked, paths)
-    broken = asked.join(read.rejected, "path").groupBy("file_seq_id").agg(F.min(F.concat("path", F.lit(": "), "error")).alias("error"))
+    broken = write_once(
+        asked.join(read.rejected, "path").groupBy("file_seq_id").agg(F.min(F.concat("path", F.lit(": "), "error")).alias("error")), "broken")
     files, tables, cells = _without(broken, files, read.tables, read.cells)
+    files, tables = write_once(files, "files"), write_once(tables, "tables")
     return _stored(files, tables, cells.drop("path"), contracts, None, rejected.unionByName(broken), "spark-delimited", batch_size)
 
 

@@ -111,7 +111,7 @@ def _delimited_files(spark, sf_dir):
         "f", F.lit(-1).cast("bigint").alias("o"), F.lit("Order Key,Total Price,Order Date,Is Done,Remark,Source Type").alias("value"))
     all_lines = lines.unionByName(heads).repartition("f").sortWithinPartitions("f", "o")
     all_lines.select("f", "value").write.partitionBy("f").text(folder)
-    return folder, spark.read.text(folder).select(F.col("_metadata.file_path").alias("path"), "f").distinct()
+    return folder, write_once(spark.read.text(folder).select(F.col("_metadata.file_path").alias("path"), "f").distinct(), "written")
 
 
 def ingest_delimited(spark, sf_dir):

@@ -212,7 +212,7 @@ def read_delimited(spark: SparkSession, requests: DataFrame, paths, limit: int =
     numbered = numbered.join(requests, ["path"], "inner")
     at = F.col("headers_row")
     parts = numbered.withColumn("cells", split_line(F.col("line"), F.col("delimiter")))
-    # the records down to the header: a handful per file
+    # the records down to the header: a handful per file; the cells are matched with what they say, so they are written
     heads = (
         numbered.filter(F.col("record") <= at)
         .groupBy("file_seq_id", "file_ord", "path", "delimiter", "headers_row")
@@ -221,11 +221,11 @@ def read_delimited(spark: SparkSession, requests: DataFrame, paths, limit: int =
             F.max(F.when(F.col("record") == at, F.struct("record", "line"))).alias("__head"),
         )
     )
-    tables = heads.filter(F.col("__head").isNotNull()).select(
+    tables = write_once(heads.filter(F.col("__head").isNotNull()).select(
         "file_seq_id", "file_ord", F.lit(0).alias("table_no"), "path",
         split_line(F.col("__head.line"), F.col("delimiter")).alias("headers"),
         (at + 1).cast("bigint").alias("first_row_no"), "__above",
-    )
+    ), "heads")
     body = parts.filter(F.col("record") > at).join(tables.select("file_seq_id", "file_ord", "table_no", "__above"), ["file_seq_id", "file_ord"], "inner")
     cells = body.filter(F.exists("cells", lambda c: strip(c) != "")).select(
         "file_seq_id", "file_ord", "table_no", "path",

@@ -437,3 +437,24 @@ def test_own_date_formats_and_day_order(spark):
     assert {found[k, 1] for k in "ABCD"} == {"2024-05-06"} and {found[k, 2] for k in "ABCD"} == {"2024-08-07"}
     found = records_mixed(cells, mapped, CoercionOptions(dayfirst=False)).filter("src_row = 2").collect()
     assert {r.record["when"] for r in found} == {"2024-07-08"}
+
+
+def test_plans_of_ingest_stay_small(spark, tmp_path):
+    """Slim frames with many readers are written: their plans, repeated in every reader, outgrew the driver."""
+    from ledgerloom.operators.ingest import ingest_delimited
+
+    for i in range(3):
+        (tmp_path / f"f{i}.csv").write_text("Key,Note\n" + "".join(f"{i}{k},n\n" for k in range(5)))
+    names = spark.createDataFrame([(f"R{i}", f"{tmp_path}/f{i}.csv") for i in range(3)], "file_seq_id string, path string")
+    listing = names.selectExpr("path", "timestamp'2024-01-01' modificationTime", "1L length")
+    requests = names.selectExpr(
+        "*", "'' file_name", "'' sub_path", "'' details_delimiter", "',' delimiter", "1 headers_row", "'csv' format", "'d' source_name", "'r' run_id",
+        "'2024-05-06' process_date", "false enrich_flow", "'rc' recon_id", "'ev' event_id")
+    contracts = names.selectExpr(
+        "file_seq_id", "array(named_struct('columnName', 'key', 'columnType', 'bigint')) column_details",
+        "cast(array() as array<struct<source_column:string,source_display_column:string,field_type:string>>) positions",
+        "true fetch_by_name", "false by_column_number", "cast(array() as array<string>) include_exclude", "false is_exclude")
+    done = ingest_delimited(spark, requests, contracts, listing, pick="all", batch_size=2)
+    for frame in (done.totals, done.batches, done.warnings, done.rejected):
+        assert len(frame._jdf.queryExecution().toString()) < 100_000
+    assert {tuple(r) for r in done.totals.collect()} == {(f"R{i}", 5, 3, 1) for i in range(3)}
