@@ -211,3 +211,44 @@ def test_random_files(spark, block_rows):
         assert sorted(got.get(f, [])) == sorted(want), f
         assert lost.get(f, 0) == len(dropped), f
         assert control.get(f, {}) == {k: v[0] for k, v in ctl.items()}, f
+
+
+def test_shuffle_files_go_with_their_execution(spark):
+    """The shuffle files of every step used to stay until the driver collected its garbage, and filled the disk."""
+    import time
+    from pathlib import Path
+
+    from ledgerloom.session import tune, write_once
+
+    tune(spark)
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {p for f in folders for p in Path(f).rglob("shuffle_*.data")}
+
+    before = files()
+    assert write_once(spark.range(1000).repartition(7).groupBy("id").count(), "gone").count() == 1000
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+
+
+def test_rendered_rows_need_no_sort_of_their_own(spark):
+    """Rows are numbered by what the lines before print; equal lines print their first rows before their second ones."""
+    from ledgerloom.plans.statements import statement_rows
+
+    lines = spark.sql("""
+        select o_custkey, 7L o_orderkey, date'2024-01-02' d, 12420 page, p l_partkey, 5L l_suppkey, n l_linenumber, s l_linestatus, cast(1.5 as decimal(18,2)) price
+        from values (1L, 2L, 1, 'O'), (1L, 2L, 1, 'O'), (1L, 3L, 2, 'F'), (null, 2L, 1, null) as v(o_custkey, p, n, s)""")
+    rows = statement_rows(lines)
+    assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.file_id, []).append((r.row_no, " ".join(w.text or "-" for w in r.words)))
+    texts = [t for _, t in sorted(got[1])]
+    assert [n for n, _ in sorted(got[1])] == list(range(1, 18))
+    assert texts[5:12] == ["ACCOUNT CREDITS", *2 * ["102 Part 2 TRN0000000007"], *2 * ["ORG=S5 BNF=C1 1.50"], "ACCOUNT DEBITS", "403 Part 3 TRN0000000007 1.50"]
+    assert texts[13:] == ["TOTALS FOR ACCOUNT:", "CREDIT COUNT: 2 3.00", "TOTALS FOR ACCOUNT: DEBIT COUNT: 1", "1.50"]
+    assert [n for n, _ in sorted(got[None])] == list(range(1, 6))
