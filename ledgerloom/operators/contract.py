@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import header_key
+from ..functions.text import header_key, let
 
 DETAILS_TYPE = "array<struct<columnName:string,columnType:string>>"
 POSITIONS_TYPE = "array<struct<source_column:string,source_display_column:string,field_type:string>>"
@@ -68,8 +68,7 @@ def type_of(types: Column, name: Column) -> Column:
     return F.get(F.filter(types, lambda t: t["name"] == name), F.lit(0))["type"]
 
 
-def _target(aliases: Column, header: Column, pos: Column) -> Column:
-    key = header_key(header)
+def _target(aliases: Column, key: Column, pos: Column) -> Column:
     hit = F.get(F.reverse(F.filter(aliases, lambda a: a["key"] == key)), F.lit(0))["target"]
     generated = F.concat(F.lit("col_"), (pos + 1).cast("string"))
     return F.coalesce(F.nullif(hit, F.lit("")), F.nullif(key, F.lit("")), generated)
@@ -78,53 +77,54 @@ def _target(aliases: Column, header: Column, pos: Column) -> Column:
 def map_headers(tables: DataFrame, contracts: DataFrame) -> DataFrame:
     """Add ``mapping`` to each table (columns of ``tables`` plus the looked-up contract)."""
     joined = tables.join(with_lookup(contracts), ["file_seq_id"], "left")
+    # few contracts put many tables into few tasks, and such rows compress so well that their bytes do not tell
+    joined = joined.repartition(tables.sparkSession.sparkContext.defaultParallelism)
     by_position = (F.col("fetch_by_name") == F.lit(False)) | F.coalesce(F.col("by_column_number"), F.lit(False))
 
-    def positional(pos):
-        return F.coalesce(
-            F.get("column_details", pos)["columnName"], F.concat(F.lit("col_"), (pos + 1).cast("string"))
-        )
+    def positional(details, pos):
+        return F.coalesce(F.get(details, pos)["columnName"], F.concat(F.lit("col_"), (pos + 1).cast("string")))
+
+    def earlier(names, name, i):
+        return F.size(F.filter(F.slice(names, F.lit(1), i), lambda m: m == name))
 
-    names = F.transform(
-        "headers",
-        lambda h, i: F.when(F.coalesce(by_position, F.lit(False)), positional(i)).otherwise(
-            _target(F.col("aliases"), h, i)
-        ),
-    )
-    named = joined.withColumn("__names", names)
     # a repeated name gets _1, _2, ...; the generated name is not registered, so it may collide
-    unique = named.withColumn(
-        "__names",
-        F.transform(
-            "__names",
-            lambda n, i: F.when(F.size(F.filter(F.slice("__names", F.lit(1), i), lambda m: m == n)) == 0, n).otherwise(
-                F.concat(
-                    n,
-                    F.lit("_"),
-                    F.size(F.filter(F.slice("__names", F.lit(1), i), lambda m: m == n)).cast("string"),
-                )
-            ),
-        ),
-    )
-    listed = F.coalesce(F.col("include_exclude"), F.array().cast("array<string>"))
+    def unique(names):
+        return F.transform(names, lambda n, i: let(
+            earlier(names, n, i), lambda before: F.when(before == 0, n).otherwise(F.concat(n, F.lit("_"), before.cast("string")))))
 
-    def keep(name):
+    def keep(listed, name):
         return (F.size(listed) == 0) | (
             F.array_contains(listed, name) != F.coalesce(F.col("is_exclude"), F.lit(False))
         )
 
-    mapping = F.transform(
-        "__names",
-        lambda n, i: F.struct(
-            i.alias("pos"),
-            F.get("headers", i).alias("header"),
-            n.alias("target"),
-            F.coalesce(type_of(F.col("types"), n), F.lit("varchar")).alias("type"),
-            keep(n).alias("keep"),
-            F.exists("aliases", lambda a: a["key"] == header_key(F.get("headers", i))).alias("mapped"),
-        ),
-    )
-    return unique.withColumn("mapping", mapping).drop("__names")
+    def entries(names, keys, aliases, types, listed):
+        return F.transform(
+            names,
+            lambda n, i: F.struct(
+                i.alias("pos"),
+                F.get("headers", i).alias("header"),
+                n.alias("target"),
+                F.coalesce(type_of(types, n), F.lit("varchar")).alias("type"),
+                keep(listed, n).alias("keep"),
+                let(F.get(keys, i), lambda key: F.exists(aliases, lambda a: a["key"] == key)).alias("mapped"),
+            ),
+        )
+
+    def of_keys(keys, aliases):
+        names = F.transform(
+            keys,
+            lambda key, i: F.when(F.coalesce(by_position, F.lit(False)), positional(F.col("column_details"), i)).otherwise(
+                _target(aliases, key, i)
+            ),
+        )
+        listed = F.coalesce(F.col("include_exclude"), F.array().cast("array<string>"))
+        return let(names, lambda ns: let(unique(ns), lambda us: let(
+            F.col("types"), lambda types: let(listed, lambda chosen: entries(us, keys, aliases, types, chosen)))))
+
+    # Spark copies expressions to where they are read, also into lambdas and into filters it infers. Everything that is
+    # read more than once is bound here, so that it is worked out once for a table and not once for each header.
+    mapping = let(F.transform("headers", header_key), lambda keys: let(F.col("aliases"), lambda aliases: of_keys(keys, aliases)))
+    return joined.withColumn("mapping", mapping)
 
 
 def contract_drift(contracts: DataFrame) -> DataFrame:
@@ -154,7 +154,9 @@ def unmapped_headers(mapped: DataFrame) -> DataFrame:
     unknown = F.filter("mapping", lambda m: ~m["mapped"])
     return (
         mapped.filter(F.size("aliases") > 0)
-        .select("file_seq_id", F.explode(unknown).alias("m"))
+        # the outer form, as for the other Spark infers a filter that maps every header a second time
+        .select("file_seq_id", F.explode_outer(unknown).alias("m"))
+        .filter(F.col("m").isNotNull())
         .select(
             "file_seq_id",
             F.lit("unmapped_headers").alias("kind"),
@@ -173,6 +175,8 @@ def resolve_options(
     names = [*options, *nested]
     base = defaults.select(*keys, *(F.col(o).alias(f"__{o}") for o in names))
     joined = requests.join(base, keys, "left")
+    if nested:  # few keys put many requests into few tasks, and merging JSON is the work
+        joined = joined.repartition(requests.sparkSession.sparkContext.defaultParallelism)
     values = {o: F.coalesce(F.col(o), F.col(f"__{o}")) for o in options}
     values |= {o: merge_options(F.col(f"__{o}"), F.col(o)) for o in nested}
     return joined.withColumns(values).drop(*(f"__{o}" for o in names))

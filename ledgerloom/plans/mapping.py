@@ -61,7 +61,8 @@ def _part_tables(spark, sf_dir):
 
 
 def _mapping_rows(mapped):
-    return mapped.select("table_no", F.explode("mapping").alias("m")).select(
+    # the outer form, as for the other Spark infers a filter that maps every header a second time
+    return mapped.select("table_no", F.explode_outer("mapping").alias("m")).filter(F.col("m").isNotNull()).select(
         F.col("table_no").alias("p_partkey"), "m.pos", "m.header", "m.target", "m.type", "m.keep", "m.mapped"
     )
 

@@ -58,10 +58,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Generated methods above 8,000 bytes are never compiled by the JVM; with this limit Spark splits such
     projections into small functions instead. Expressions here are wide but cheap, so it matters.
-    Shuffle files go when their execution is done, as work tables take its result. Lists of few rows a group are
-    gathered in a table of 20,000 groups before they are sorted.
+    Shuffle files go when their execution is done, as work tables take its result.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
     return spark

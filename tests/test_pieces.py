@@ -458,3 +458,34 @@ def test_plans_of_ingest_stay_small(spark, tmp_path):
     for frame in (done.totals, done.batches, done.warnings, done.rejected):
         assert len(frame._jdf.queryExecution().toString()) < 100_000
     assert {tuple(r) for r in done.totals.collect()} == {(f"R{i}", 5, 3, 1) for i in range(3)}
+
+
+def _tasks(spark, make):
+    """How many tasks the rows of ``make()`` come from, when joins shuffle and tasks are put together by bytes."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return make().withColumn("__p", F.spark_partition_id()).select("__p").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_of_one_contract_are_mapped_by_many_tasks(spark):
+    tables = spark.range(400).selectExpr("'R' file_seq_id", "0 file_ord", "cast(id as int) table_no", "array('A b', 'A b', '') headers")
+    contracts = spark.sql("""
+        select 'R' file_seq_id, array(named_struct('columnName', 'ab', 'columnType', 'bigint')) column_details,
+               cast(array() as array<struct<source_column:string,source_display_column:string,field_type:string>>) positions,
+               true fetch_by_name, false by_column_number, cast(array() as array<string>) include_exclude, false is_exclude""")
+    mapped = map_headers(tables, contracts)
+    assert _tasks(spark, lambda: mapped) > 1
+    assert [m.target for m in mapped.first().mapping] == ["ab", "ab_1", "col_3"]
+    # Spark infers a filter for the plain form of explode, and puts the mapping with all its lambdas in it again
+    plan = unmapped_headers(mapped)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 12_000
+
+
+def test_nested_options_are_merged_by_many_tasks(spark):
+    from ledgerloom.operators.contract import resolve_options
+
+    requests = spark.range(400).selectExpr("id", "'k' k", "'{\"a\": {\"b\": 1}}' o")
+    defaults = spark.sql("select 'k' k, '{\"a\": {\"c\": 2}}' o")
+    assert _tasks(spark, lambda: resolve_options(requests, defaults, ["k"], [], ("o",))) > 1
