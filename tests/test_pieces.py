@@ -489,3 +489,14 @@ def test_nested_options_are_merged_by_many_tasks(spark):
     requests = spark.range(400).selectExpr("id", "'k' k", "'{\"a\": {\"b\": 1}}' o")
     defaults = spark.sql("select 'k' k, '{\"a\": {\"c\": 2}}' o")
     assert _tasks(spark, lambda: resolve_options(requests, defaults, ["k"], [], ("o",))) > 1
+
+
+def test_row_limit_of_a_chart_takes_no_single_task(spark):
+    from ledgerloom.sources.charts import chart_query
+
+    rows = spark.range(0, 1000, 1, 7)
+    for limit, left in ((5000, 900), (1000, 900), (450, 450), (0, 0)):
+        got = chart_query(rows, [{"col": "id", "op": ">=", "val": 100}], row_limit=limit)
+        assert "Limit" not in got._jdf.queryExecution().optimizedPlan().toString()
+        ids = [r.id for r in got.collect()]
+        assert len(ids) == len(set(ids)) == left and all(i >= 100 for i in ids)
