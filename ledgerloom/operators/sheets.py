@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import write_once
 from .ordered import OrderedRows
 
 
@@ -44,6 +45,8 @@ def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int | str = 1) -
     """
     typed = "value_type" in cells.columns
     chosen = chosen.select("file_id", "table_no", "sheet", (F.lit(header_row) if isinstance(header_row, int) else F.col(header_row)).alias("__head"))
+    # one slim row a sheet, written so that its size is known: guessed sizes made Spark broadcast the cells instead
+    chosen = write_once(chosen, "chosen")
     mine = cells.join(chosen, ["file_id", "sheet"], "inner").filter(F.col("row") >= F.col("__head"))
 
     def by_column(name: str) -> Column:
@@ -53,13 +56,14 @@ def sheet_grid(cells: DataFrame, chosen: DataFrame, header_row: int | str = 1) -
         by_column("value").alias("__m"), *([by_column("value_type").alias("__t")] if typed else []),
         F.max(F.when(F.coalesce("value", F.lit("")) != "", F.col("col"))).alias("__filled"),
     )
+    rows = write_once(rows, "sheet-rows")  # read for headers, sizes and data
     width = F.coalesce(F.col("__filled"), F.lit(0))
 
     def listed(name: str, n: Column) -> Column:
         return F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.element_at(name, i))
 
-    tables = rows.filter(F.col("row") == F.col("__head")).select(
-        "file_id", "table_no", "sheet", width.alias("width"), listed("__m", width).alias("headers"))
+    tables = write_once(rows.filter(F.col("row") == F.col("__head")).select(
+        "file_id", "table_no", "sheet", width.alias("width"), listed("__m", width).alias("headers")), "sheet-heads")
     data = rows.filter(F.col("row") > F.col("__head")).join(tables.filter("width > 0").select("file_id", "table_no", "width"), ["file_id", "table_no"], "inner")
     data = data.withColumns({"cells": listed("__m", F.col("width")), **({"cell_types": listed("__t", F.col("width"))} if typed else {})})
     kept = data.filter(F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != ""))

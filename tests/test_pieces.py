@@ -500,3 +500,14 @@ def test_row_limit_of_a_chart_takes_no_single_task(spark):
         assert "Limit" not in got._jdf.queryExecution().optimizedPlan().toString()
         ids = [r.id for r in got.collect()]
         assert len(ids) == len(set(ids)) == left and all(i >= 100 for i in ids)
+
+
+def test_the_cells_of_sheets_are_not_broadcast(spark):
+    """Sizes guessed from few bytes made the cells, not the chosen sheets, the side that went through the driver."""
+    cells = spark.range(2000).selectExpr("'b' file_id", "0 sheet_idx", "'S' sheet", "cast(id div 2 as int) + 1 row", "cast(id % 2 as int) + 1 col", "'v' value")
+    listed = cells.select("file_id", "sheet_idx", "sheet").distinct()
+    chosen, _ = sheets.wanted_sheets(listed, listed.selectExpr("file_id", "cast(null as array<string>) identifiers"))
+    heads, rows = sheets.sheet_grid(cells, chosen)
+    assert rows.count() == 999 and heads.count() == 1
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and plan.count("Join") == 1  # the cells are grouped into rows once, for all readers
