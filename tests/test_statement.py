@@ -252,3 +252,26 @@ def test_rendered_rows_need_no_sort_of_their_own(spark):
     assert texts[5:12] == ["ACCOUNT CREDITS", *2 * ["102 Part 2 TRN0000000007"], *2 * ["ORG=S5 BNF=C1 1.50"], "ACCOUNT DEBITS", "403 Part 3 TRN0000000007 1.50"]
     assert texts[13:] == ["TOTALS FOR ACCOUNT:", "CREDIT COUNT: 2 3.00", "TOTALS FOR ACCOUNT: DEBIT COUNT: 1", "1.50"]
     assert [n for n, _ in sorted(got[None])] == list(range(1, 6))
+
+
+def test_brokerage_days_number_rows_as_sorted(spark):
+    """Rows are numbered on slim lines as if all were sorted: equal lines, null and low keys; no rendered row is moved."""
+    import datetime as dt
+
+    from ledgerloom.plans.statements import _brokerage_days
+
+    day = dt.date(2024, 3, 5)
+    keys = [(5, 1, "A"), (5, 1, "A"), (5, 1, "R"), (5, 2, "N"), (None, 1, "N"), (-4, 1, "A"), (-1, 1, None), (7, None, "R")]
+    lines = spark.createDataFrame(
+        [("f", 6, k, n, 3, 4, flag, 2, day) for k, n, flag in keys],
+        "o_custkey string, page int, o_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string, cents int, d date",
+    ).selectExpr("*", "cast(cents as decimal(18,2)) price").drop("cents")
+    out = _brokerage_days(lines)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange")
+    rows = out.orderBy("row_no").collect()
+    assert [r.row_no for r in rows] == list(range(1, len(rows) + 1))
+    said = [r.words[0].text for r in rows]
+    assert said[:7] == ["Sale", "lot", "Reinvested", "Shares", "Charles Schwab One", "Transaction Details", "03/05"]
+    assert said[7] == "Sale" and said[8:10] == ["Reinvested"] * 2
+    assert sorted(said[10:13]) == ["Other", "Shares", "Shares"] and said[13:] == ["Activity", "Sale", "lot", "Other", "Activity"]
