@@ -1,5 +1,6 @@
 """Smaller pieces: coercion edge cases, contracts, the 10,000-row file, sheets, stitching, messages, sinks."""
 import json
+import math
 import random
 from decimal import Decimal, InvalidOperation
 
@@ -511,3 +512,33 @@ def test_the_cells_of_sheets_are_not_broadcast(spark):
     assert rows.count() == 999 and heads.count() == 1
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Range" not in plan and plan.count("Join") == 1  # the cells are grouped into rows once, for all readers
+
+
+def test_visual_rows_drifting_pages_in_one_exchange(spark):
+    """Drifting, equal, missing and huge heights against a plain fold; words move once and nothing is joined."""
+    rnd = random.Random(5)
+    words, want = [], {}
+    for f in range(40):
+        top, page = 0.0, []
+        for i in range(rnd.randint(1, 60)):
+            top += rnd.choice([0.0, 0.001, 0.002, 0.0035, 0.02])
+            t = rnd.choice([None, float("nan"), float("inf")]) if rnd.random() < 0.04 else round(top, 4)
+            page.append((f"f{f}", 1, i, f"w{i}", rnd.choice([0.1, 0.2, 0.3]), 1.0, t))
+        rnd.shuffle(page)
+        words += page
+        key = lambda t: (t != t, 0.0 if t != t else t)  # noqa: E731  NaN is the largest
+        anchors = []
+        for t in sorted({w[6] if w[6] == w[6] else math.nan for w in page if w[6] is not None}, key=key):
+            if not anchors or not (t == anchors[-1] or t - anchors[-1] <= 0.0035 or (t != t and anchors[-1] != anchors[-1])):
+                anchors.append(t)
+        rows = {}
+        for w in page:
+            n = 0 if w[6] is None else sum(key(a) <= key(w[6]) for a in anchors)
+            rows.setdefault(n, []).append(w)
+        for n, r in rows.items():
+            want[f"f{f}", n] = [w[3] for w in sorted(r, key=lambda w: (w[4], w[6] is not None, key(w[6] or 0), w[2]))]
+    df = spark.createDataFrame(words, "file_id string, page int, word_ord int, text string, x0 double, x1 double, top double")
+    out = visual_rows(df, 0.0035)
+    assert {(r.file_id, r.row_no): [w.text for w in r.words] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
