@@ -86,7 +86,8 @@ class OrderedRows:
         large = sizes.filter(F.col("__n") > block_rows)
         if large.isEmpty():
             return OrderedRows(df, keys, order)
-        large = cut(large.withColumn("__parts", F.floor(F.col("__n") / block_rows) + 1))
+        # a row per large group and a place per block are few by what they are; joined by a sort, a group would be one task
+        large = F.broadcast(cut(large.withColumn("__parts", F.floor(F.col("__n") / block_rows) + 1)))
         place = F.struct(*order)
         # the hash of a row's place decides whether it is looked at, so that every evaluation sees the same ones
         seen = df.join(large, [df[k].eqNullSafe(large[k]) for k in keys]).filter(
@@ -94,8 +95,8 @@ class OrderedRows:
         ).select(*(df[k] for k in keys), F.struct(*(df[o] for o in order)).alias("__at"), "__parts")
         bounds = seen.groupBy(*keys).agg(F.sort_array(F.collect_list("__at")).alias("__seen"), F.max("__parts").alias("__parts"))
         step = F.size("__seen") / (F.col("__parts") + 1)
-        bounds = cut(bounds.select(*keys, F.transform(
-            F.sequence(F.lit(1), F.col("__parts")), lambda i: F.get("__seen", F.floor(i * step).cast("int"))).alias("__bounds")))
+        bounds = F.broadcast(cut(bounds.select(*keys, F.transform(
+            F.sequence(F.lit(1), F.col("__parts")), lambda i: F.get("__seen", F.floor(i * step).cast("int"))).alias("__bounds"))))
         apart = [df[k].eqNullSafe(large[k]) for k in keys]
         hot = df.join(large, apart, "left_semi")
         hot = hot.join(bounds, [hot[k].eqNullSafe(bounds[k]) for k in keys], "left").select(*(hot[c] for c in df.columns), "__bounds")

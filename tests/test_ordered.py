@@ -48,3 +48,20 @@ def test_blocks_are_bounded(spark):
     assert biggest <= 2000
     got = seq.number("rn").rows().filter("rn != a + 1").count()
     assert got == 0
+
+
+def test_large_groups_are_set_apart_without_a_sort(spark, monkeypatch):
+    """A large group is joined with its few bounds where its rows are; no task takes it whole."""
+    from ledgerloom.operators import ordered
+
+    plans = []
+    kept = ordered.cut
+    monkeypatch.setattr(ordered, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    rows = spark.range(500).selectExpr("if(id < 400, null, 'small') k", "id", "concat('v', id) v")
+    seq = OrderedRows.of(rows, ["k"], ["id"], block_rows=150)
+    assert seq.split and seq.hot.count() == 400 and seq.df.count() == 100
+    assert seq.hot.select("__blk").distinct().count() > 2
+    assert not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+    assert "SortMergeJoin" not in seq.df._jdf.queryExecution().executedPlan().toString()
+    done = seq.number("n").rows()
+    assert done.filter("k is null and n <> id + 1").count() == 0 and done.count() == 500
