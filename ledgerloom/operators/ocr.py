@@ -6,7 +6,7 @@ and resolved by equi-joins on ``(file_id, Id)``, which spread over blocks, not o
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import clean
 
@@ -52,34 +52,49 @@ def grid_rows(blocks: DataFrame) -> DataFrame:
         "file_id", F.col("Id").alias("child"), "RowIndex", "ColumnIndex",
         F.coalesce("RowSpan", F.lit(1)).alias("rs"), F.coalesce("ColumnSpan", F.lit(1)).alias("cs"),
     )
-    tables = blocks.filter(F.col("BlockType") == "TABLE").select(
-        "file_id", F.col("Id").alias("parent"), F.coalesce("Page", F.lit(1)).alias("page"), "block_ord"
+    # a table's cells are listed on its own block; blocks of one Id count as one table, in each of their places
+    place = F.struct(F.coalesce("Page", F.lit(1)).alias("page"), "block_ord")
+    tables = blocks.filter((F.col("BlockType") == "TABLE") & F.col("file_id").isNotNull() & F.col("Id").isNotNull()).groupBy(
+        "file_id", F.col("Id").alias("parent")).agg(F.collect_list(place).alias("places"), F.collect_list("Relationships").alias("lists"))
+    listed = (
+        tables.select("file_id", "parent", F.explode("places").alias("place"), "lists")
+        .select("file_id", "parent", "place.*", F.explode("lists").alias("rels"))
+        .select("file_id", "parent", "page", "block_ord", F.posexplode("rels").alias("rel_ord", "rel"))
+        .filter(F.col("rel.Type") == "CHILD")
+        .select("file_id", "parent", "page", "block_ord", "rel_ord", F.posexplode("rel.Ids").alias("id_ord", "child"))
     )
+    texts = block_text(blocks.filter(F.col("BlockType").isin("CELL", "WORD", "SELECTION_ELEMENT")))
     placed = (
-        edges(blocks, "CHILD")
-        .join(tables, ["file_id", "parent"])
-        .join(cells, ["file_id", "child"])
-        .join(block_text(blocks).withColumnRenamed("Id", "child"), ["file_id", "child"], "left")
+        listed.join(cells, ["file_id", "child"])
+        .join(texts.withColumnRenamed("Id", "child"), ["file_id", "child"], "left")
         .select(
             "file_id", "parent", "page", "block_ord", "rel_ord", "id_ord", "ColumnIndex", "cs",
             F.coalesce("text", F.lit("")).alias("text"),
             F.explode(F.sequence(F.col("RowIndex"), F.col("RowIndex") + F.col("rs") - 1)).alias("row_no"),
         )
         .withColumn("col_no", F.explode(F.sequence(F.col("ColumnIndex"), F.col("ColumnIndex") + F.col("cs") - 1)))
+        .repartition("file_id", "parent")  # all steps below are within a table of a page
     )
     unique = placed.groupBy("file_id", "page", "block_ord", "parent", "row_no", "col_no").agg(
         F.max_by("text", F.struct("rel_ord", "id_ord")).alias("text")
     )
-    shape = unique.groupBy("file_id", "parent").agg(
-        F.max("row_no").alias("nr"), F.max("col_no").alias("nc"),
-        F.first("page").alias("page"), F.first("block_ord").alias("table_on_page"),
-    )
     rows = unique.groupBy("file_id", "parent", "row_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("col_no", "text"))).alias("m")
+        F.map_from_entries(F.collect_list(F.struct("col_no", "text"))).alias("m"), F.max("col_no").alias("nc"),
+        F.first("page").alias("page"), F.first("block_ord").alias("table_on_page"),
     )
-    every = shape.withColumn("row_no", F.explode(F.sequence(F.lit(1), F.col("nr"))))
-    return every.join(rows, ["file_id", "parent", "row_no"], "left").select(
-        "file_id", "page", "table_on_page", F.lit(0).alias("strategy_ord"), "row_no",
+    table = Window.partitionBy("file_id", "parent")
+    whole = table.orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns(
+        {
+            "nc": F.max("nc").over(whole), "page": F.first("page").over(whole), "table_on_page": F.first("table_on_page").over(whole),
+            "before": F.coalesce(F.lag("row_no").over(table.orderBy("row_no")), F.lit(0)),
+        }
+    ).filter("row_no > 0")
+    # a row also gives the empty rows between the one before and itself
+    every = rows.withColumn("at", F.explode(F.sequence(F.greatest("before", F.lit(0)) + 1, F.col("row_no"))))
+    every = every.withColumn("m", F.when(F.col("at") == F.col("row_no"), F.col("m")))
+    return every.select(
+        "file_id", "page", "table_on_page", F.lit(0).alias("strategy_ord"), F.col("at").alias("row_no"),
         F.transform(
             F.sequence(F.lit(1), F.col("nc")),
             lambda i: F.coalesce(F.element_at("m", i), F.lit("")),

@@ -542,3 +542,29 @@ def test_visual_rows_drifting_pages_in_one_exchange(spark):
     assert {(r.file_id, r.row_no): [w.text for w in r.words] for r in out.collect()} == want
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_grid_with_holes_in_few_exchanges(spark):
+    """Spans, overlaps, empty rows between and repeated Ids; cells of a table move once, whatever steps follow."""
+    from ledgerloom.operators.ocr import grid_rows
+
+    schema = """file_id string, block_ord bigint, Id string, BlockType string, Text string, Page int,
+        Relationships array<struct<Type:string,Ids:array<string>>>, EntityTypes array<string>, SelectionStatus string,
+        RowIndex int, ColumnIndex int, RowSpan int, ColumnSpan int"""
+
+    def block(i, id_, kind, text=None, kids=None, at=(None, None), span=(None, None), status=None, page=None):
+        return ("f", i, id_, kind, text, page, kids and [("CHILD", kids)], None, status, *at, *span)
+
+    rows = [
+        block(1, "t", "TABLE", kids=["a", "b", "c", "d"], page=2), block(2, "u", "TABLE", kids=["d"]), block(3, None, "TABLE", kids=["a"]),
+        block(4, "a", "CELL", kids=["w1", "w2"], at=(2, 1), span=(2, 1)), block(5, "b", "CELL", kids=["s1", "s2"], at=(2, 2)),
+        block(6, "c", "CELL", kids=["w3"], at=(2, 2)), block(7, "d", "CELL", at=(5, 3)), block(8, "v", "TABLE", kids=["gone"]),
+        block(9, "w1", "WORD", "one"), block(9, "w2", "WORD", "two"), block(9, "w3", "WORD", "three"),
+        block(9, "s1", "SELECTION_ELEMENT", status="SELECTED"), block(9, "s2", "SELECTION_ELEMENT", status="NOT_SELECTED"),
+    ]
+    out = grid_rows(spark.createDataFrame([*rows, rows[0], rows[3]], schema))
+    got = sorted((r.page, r.table_on_page, r.row_no, "|".join(r.cells)) for r in out.collect())
+    none = [(2, 1, n, "||") for n in (1, 4, 5)]
+    assert got == sorted([(2, 1, 2, "one one two two|three|"), (2, 1, 3, "one one two two||"), *none, *((1, 2, n, "||") for n in range(1, 6))])
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "row_no" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
