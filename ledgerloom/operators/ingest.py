@@ -142,6 +142,7 @@ def ingest_sheets(
     heads, rows = sheet_grid(mine, chosen, "headers_row")
     place = ["file_id.file_seq_id", "file_id.file_ord", "table_no"]
     tables = heads.select(*place, "headers", "sheet")
-    body = rows.select(*place, "src_row", "cells", "cell_types")
+    # rows are numbered by sheet, a few tasks; the costly work per row is dealt anew over all cores
+    body = rows.select(*place, "src_row", "cells", "cell_types").repartition("file_seq_id", "file_ord", "table_no", "src_row")
     said = missing.select("file_id.file_seq_id", "kind", "detail")
     return _stored(files, tables, body, contracts, said, rejected.unionByName(empty), "spark-sheets", batch_size, ("sheet",))

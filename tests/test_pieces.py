@@ -568,3 +568,20 @@ def test_grid_with_holes_in_few_exchanges(spark):
     assert got == sorted([(2, 1, 2, "one one two two|three|"), (2, 1, 3, "one one two two||"), *none, *((1, 2, n, "||") for n in range(1, 6))])
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert "row_no" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_sheet_rows_are_dealt_anew_before_coercion(spark, monkeypatch):
+    """The rows of few sheets do not bind the costly work per row to few tasks."""
+    from ledgerloom.operators import ingest
+
+    seen = {}
+    monkeypatch.setattr(ingest, "_stored", lambda files, tables, cells, *more: seen.update(cells=cells))
+    cells = spark.range(1, 400).selectExpr("'/b.xlsx' path", "0 sheet_idx", "'S' sheet", "cast(id as int) row", "1 col", "concat('v', id) value", "'string' value_type")
+    listing = spark.sql("select '/b.xlsx' path, timestamp '2024-01-01' modificationTime, 1L length")
+    requests = spark.sql("""select 'R' file_seq_id, '/b.xlsx' path, string(null) file_name, string(null) sub_path, array('S') sheet_identifiers,
+        1 headers_row, string(null) format, 'd' source_name, 'r' run_id, '2024-01-01' process_date, false enrich_flow, string(null) recon_id, string(null) event_id""")
+    ingest.ingest_sheets(requests, None, listing, cells, pick="all")
+    rows = seen["cells"]
+    assert sorted(r.src_row for r in rows.collect()) == list(range(2, 400))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert plan.startswith("RepartitionByExpression") and "src_row" in plan
