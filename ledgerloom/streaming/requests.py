@@ -45,6 +45,13 @@ def split_messages(messages: DataFrame, value: str = "value") -> tuple[DataFrame
     A message holds one JSON object or an array of them; anything else, and an array with any other element,
     rejects the whole message.
     """
+    judged = judge_messages(messages, value)
+    split = judged.filter(F.col("__good") & F.col("item").isNotNull()).select(*messages.columns, "item_no", "item")
+    return split, invalid_messages(judged, messages, value)
+
+
+def judge_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Items of good messages and a row for every other, parsed once: ``item_no, item``, ``__good``, ``__json``."""
     parsed = messages.withColumn("__v", F.try_parse_json(value))
     shape = F.schema_of_variant("__v")
     items = F.when(shape.startswith("ARRAY"), F.try_variant_get("__v", "$", "array<variant>")).when(
@@ -55,16 +62,20 @@ def split_messages(messages: DataFrame, value: str = "value") -> tuple[DataFrame
         "__items", lambda i: F.coalesce(F.schema_of_variant(i).startswith("OBJECT"), F.lit(False))
     )
     judged = listed.withColumn("__good", F.coalesce(good, F.lit(False)))
-    split = judged.filter("__good").select(
-        *messages.columns, F.posexplode("__items").alias("item_no", "item")
+    return judged.select(
+        *messages.columns, "__good", F.col("__v").isNotNull().alias("__json"),
+        F.posexplode_outer(F.when(F.col("__good"), F.col("__items"))).alias("item_no", "item"),
     )
-    dead = judged.filter(~F.col("__good")).select(
+
+
+def invalid_messages(judged: DataFrame, messages: DataFrame, value: str = "value") -> DataFrame:
+    """Dead letters of the messages that were not good."""
+    return judged.filter(~F.col("__good")).select(
         *(c for c in messages.columns if c != value),
-        F.when(F.col("__v").isNull(), "message is not valid JSON").otherwise("neither an object nor a list of objects").alias("error"),
+        F.when(~F.col("__json"), "message is not valid JSON").otherwise("neither an object nor a list of objects").alias("error"),
         F.lit(False).alias("retryable"),
         F.col(value).alias("original"),
     )
-    return split, dead
 
 
 def is_parse_request(item: Column) -> Column:
@@ -211,9 +222,12 @@ def process_epoch(
     record, error)``, where a row with an ``error`` fails its own request and no other.
     """
     spark = messages.sparkSession
-    items, invalid = split_messages(messages)
+    # parsed and written once, with the messages that hold no items
+    judged = judge_messages(messages)
     place = F.struct(*(F.col(c) for c in ("partition", "offset") if c in messages.columns)).alias("message")
-    routed = cut(route(items).withColumn("msg_ord", F.struct(place, "item_no")))
+    judged = cut(route(judged).withColumn("msg_ord", F.struct(place, "item_no")))
+    routed = judged.filter(F.col("__good") & F.col("item").isNotNull())
+    invalid = invalid_messages(judged, messages)
     jobs = store.latest_jobs(store.read_table(spark, base, "ledger", store.LEDGER_SCHEMA, before_epoch=epoch))
     asked = routed.filter(F.col("route") == "process")
     # claimed once: the ledger must not be read again after this epoch has written to it

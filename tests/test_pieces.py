@@ -585,3 +585,22 @@ def test_sheet_rows_are_dealt_anew_before_coercion(spark, monkeypatch):
     assert sorted(r.src_row for r in rows.collect()) == list(range(2, 400))
     plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
     assert plan.startswith("RepartitionByExpression") and "src_row" in plan
+
+
+def test_messages_are_read_once_an_epoch(spark, tmp_path):
+    """Items and dead letters of invalid messages come from one reading."""
+    read = spark.sparkContext.accumulator(0)
+    values = ['{"fileSeqId":"A","path":"/a.csv"}', "42", '{"a":', "[]", '[{"fileSeqId":"B","path":"/b.csv"}, {"x":1}]', "[null]"]
+
+    def counted(pair):
+        read.add(1)
+        return pair
+
+    messages = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(values)), 2).map(counted), "offset bigint, value string")
+    base = str(tmp_path / "out")
+    R.process_epoch(messages, 0, base, lambda c: c.selectExpr(
+        "file_seq_id", "0 file_ord", "0 table_no", "1L src_row", "'{}' record", "string(null) error"))
+    assert read.value == len(values)
+    letters = spark.read.parquet(f"{base}/dead_letters/epoch=0").collect()
+    assert sorted((x.original, x.error.split()[0]) for x in letters) == [("42", "neither"), ("[null]", "neither"), ('{"a":', "message")]
+    assert {x.file_seq_id for x in spark.read.parquet(f"{base}/results/epoch=0").collect()} == {"A", "B"}
