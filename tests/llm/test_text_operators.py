@@ -141,6 +141,38 @@ def test_memo_keeps_no_long_pieces():
     assert max(map(len, tokens._memo(PATH, "count"))) <= tokens.MEMO_CHARACTERS
 
 
+def test_memo_keeps_pieces_met_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 10)
+    spelt = []
+
+    class Tokenizer:
+        class model:
+            tokenize = staticmethod(lambda piece: spelt.append(piece) or [])
+
+    memo = tokens._Memo(Tokenizer, len)
+    for i in range(100):
+        assert memo["the"] == memo[f"rare{i}"] == 0
+    assert spelt.count("the") == 1 and len(set(spelt)) == 101
+    assert len(memo) + len(memo.before) <= 20
+
+
+def test_pieces_hold_every_character_and_odd_texts_go_to_the_tokenizer(monkeypatch):
+    import random
+    import re
+
+    usual = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]):
+        assert "".join(tokens._pieces().findall(f" {c}b")) == f" {c}b"
+        assert tokens._odd().search(c) or tokens._pieces().findall(f"a{c}1 {c}") == usual.findall(f"a{c}1 {c}")
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 50)
+    rng = random.Random(3)
+    parts = ["a", "B", "word", "é", "ß", "日", "ा", "1", "٣", "²", "Ⅷ", "_", "-", "'s", "'ll", "'", "’", " ", " ", "  ", "\n", "\t", "\xa0", "　", "\x1c", "\x85", "\x00", "😀", "🄀", "🯰", "𐐀", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts[: rng.choice([24, len(parts)])], k=rng.randint(0, 30))) for _ in range(3000)]
+    ids = [plain.ids(t) for t in texts]
+    assert tokens.counts(PATH, texts) == list(map(len, ids))
+    assert tokens.packed_ids(PATH, texts) == list(map(tokens.packed, ids))
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_token_counts_of_other_tokenizers(name, odd_rows, monkeypatch):
     path = plain.public_tokenizers.path(name)
