@@ -5,6 +5,7 @@ import random
 import pytest
 import tiktoken
 from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
 
 import plain
 from cases import SF, got, odd_texts, want
@@ -79,6 +80,31 @@ def test_byte_pairs_of_rare_characters_and_small_lists(spark, monkeypatch):
         assert [bytes(found[i]["bytes"]) for i in range(len(texts))] == [t.encode() for t in texts]
 
 
+def test_rare_characters_are_looked_for_in_new_words_only(monkeypatch):
+    looked, usual = [], plain.public_tokenizers.PATTERN
+    monkeypatch.setattr(byte_pairs, "_is_odd", lambda word, real=byte_pairs._is_odd: looked.append(word) or real(word))
+    known, odd = set(), set()
+    for texts in (["it's a x² text", "a text"], ["a x² text", "it's\u1369 a"], ["a x² text, it's", "a\x85 text"], ["a text", ""]) * 2:
+        looked.clear()
+        cut, new = byte_pairs.words_of(texts, usual, usual, known, odd)
+        assert cut == [byte_pairs._pattern(usual).findall(t) for t in texts]
+        assert new == set().union(*cut) - known and known.isdisjoint(looked)
+        known |= new
+
+
+def test_fold_by_whole_array_functions(spark):
+    rng = random.Random(3)
+    words = [t.encode()[:256] for t in odd_texts() if t and len(t) > 1] + [rng.choice(["a", "ab", "the ing"]).encode() * n for n in range(1, 36)] + [bytes(rng.choices(range(256), k=n)) for n in range(1, 60)]
+    single = byte_pairs.np.array([RANKS[bytes([b])] for b in range(256)], "int64")
+    lengths, flat = byte_pairs.start_parts(words, byte_pairs.start_ranks(RANKS), single)
+    parts = [x.tolist() for x in byte_pairs.np.split(flat, lengths.cumsum()[:-1])]
+    rows = spark.createDataFrame([(parts,)], "words array<array<bigint>>")
+    use = lambda table: F.transform("words", lambda x: byte_pairs.folded(x, table))
+    fold = byte_pairs._with(byte_pairs.rank_map(RANKS), F.col("words"), use)
+    found = [[x & byte_pairs.PAIR - 1 for x in word] for word in rows.select(fold).head()[0]]
+    assert found == [[byte_pairs.PAIR - 1, *byte_pairs.heap_merges(word, RANKS)] for word in words]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
 def test_heap_merges(name):
     ranks = byte_pairs.read_ranks(plain.public_tokenizers.path(name))
