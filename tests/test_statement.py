@@ -275,3 +275,49 @@ def test_brokerage_days_number_rows_as_sorted(spark):
     assert said[:7] == ["Sale", "lot", "Reinvested", "Shares", "Charles Schwab One", "Transaction Details", "03/05"]
     assert said[7] == "Sale" and said[8:10] == ["Reinvested"] * 2
     assert sorted(said[10:13]) == ["Other", "Shares", "Shares"] and said[13:] == ["Activity", "Sale", "lot", "Other", "Activity"]
+
+
+def test_rows_are_read_where_they_are_printed(spark, tmp_path, monkeypatch):
+    """Rendered rows and classified rows used to be written as tables, several times what the lines take."""
+    from pathlib import Path
+
+    from ledgerloom.plans import statements
+
+    spark.sql("select id o_orderkey, if(id = 9, null, id % 3) o_custkey, date_add(date'2024-01-02', cast(id % 4 as int)) o_orderdate from range(12)").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.sql("""
+        select id % 12 l_orderkey, 250 + id % 7 l_partkey, id % 5 l_suppkey, cast(id % 4 as int) l_linenumber, if(id % 2 = 0, 'O', 'F') l_linestatus,
+               10.25 * id l_extendedprice from range(60)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    work = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "work"
+
+    def written(query):
+        before = set(work.iterdir()) if work.exists() else set()
+        rows = sorted(map(str, query(spark, str(tmp_path)).collect()))
+        return rows, sorted(p.name.rsplit("-", 1)[0] for p in set(work.iterdir()) - before)
+
+    for query in (statements.statement_end_to_end, statements.unparsed_report):
+        rows, tables = written(query)
+        assert rows and tables == ["large-files", "pieces"]
+        # files above a block of rows are rendered page by page, as before, with the same result
+        with monkeypatch.context() as m:
+            m.setattr(statements, "BLOCK_ROWS", 5)
+            again, tables = written(query)
+        assert again == rows and tables == ["large-files", "pieces", "statement_rows"]
+
+
+def test_groups_are_folded_once(spark):
+    """Rows whose keys are together were grouped twice, in hash maps, before and after an exchange that is not there."""
+    from ledgerloom.session import write_grouped
+
+    plans = []
+    rows = spark.range(100).selectExpr("id % 7 as f", "id as x").repartition(3, "f")
+
+    def groups(g):
+        out = g.agg(F.sort_array(F.collect_list("x")).alias("xs"))
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    got = {r.f: r.xs for r in write_grouped(rows, ["f"], groups, "folded").collect()}
+    assert got == {f: list(range(f, 100, 7)) for f in range(7)}
+    assert plans[0].count("SortAggregate") == 1 and "ObjectHashAggregate" not in plans[0]
+    assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg") == "false"
