@@ -13,6 +13,8 @@ from ..session import write_once
 from .ordered import OrderedRows, running
 
 TABLE_KEY = ["file_seq_id", "file_ord", "table_no"]
+#: Records, with their texts, that one task numbers at once.
+NUMBERED_ROWS = 1 << 18
 
 
 def number_records(records: DataFrame) -> DataFrame:
@@ -25,7 +27,7 @@ def number_records(records: DataFrame) -> DataFrame:
         .rows()
         .select(*TABLE_KEY, F.coalesce("__before", F.lit(0)).alias("__before"))
     )
-    counted = OrderedRows.of(records, TABLE_KEY, ["src_row"]).number("__i").rows()
+    counted = OrderedRows.of(records, TABLE_KEY, ["src_row"], NUMBERED_ROWS).number("__i").rows()
     placed = counted.join(offsets, TABLE_KEY)
     return placed.withColumn("n", F.col("__before") + F.col("__i") - 1).drop("__before", "__i")
 

@@ -3,8 +3,8 @@
 Lines are read as text in one scan and written with their input block and place, so that nothing read later can
 number them differently. A quoted cell may hold line breaks, so a line may go on the record before it. Whether it
 does depends on whether a quote is open at its start: each line maps the state at its start (no quote open, quote
-open) to that at its end, and such maps can be combined, first within blocks, then over the blocks of a file (one
-slim row per block), then back. Records are numbered the same way. Two numbers are kept: the physical record (the
+open) to that at its end, and such maps can be combined, first within chunks of an input block, then over the chunks
+of a file (one slim row per chunk), then back. Records are numbered the same way. Two numbers are kept: the physical record (the
 header is record N) and the kept row (blank rows are not counted).
 """
 from __future__ import annotations
@@ -92,13 +92,13 @@ def _open_at_end(line: Column, delimiter: Column) -> tuple[Column, Column]:
     return fresh.cast("int"), held.cast("int")
 
 
-def _states(rows: DataFrame, keys: list[str], order: str, before: Column) -> DataFrame:
+def _states(rows: DataFrame, keys: list[str], order: list[str], before: Column) -> DataFrame:
     """``rows``(fresh, held) in order within ``keys``: ``state`` is 1 where a quote is open at the start of the row.
 
     ``before`` is the state at the start of the group. A row that maps both states to one fixes the state; after
     the last such row only the number of rows that swap the states counts.
     """
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     fixed, swaps = F.col("fresh") == F.col("held"), F.col("fresh") > F.col("held")
     counted = rows.withColumn("__swaps", F.coalesce(F.sum(swaps.cast("int")).over(w), F.lit(0)))
     last = F.last(F.when(fixed, F.struct("fresh", "__swaps")), ignorenulls=True).over(w)
@@ -107,17 +107,23 @@ def _states(rows: DataFrame, keys: list[str], order: str, before: Column) -> Dat
     return counted.withColumn("state", (F.coalesce("__last.fresh", before) + since) % 2).drop("__swaps", "__last")
 
 
+#: Lines of a scan task whose quotes are settled together.
+CHUNK = 1 << 16
+
+
 def _records(lines: DataFrame) -> DataFrame:
     """Lines with the number of their ``record`` (from 1 within the file), whether a quote is ``open`` at their end, and
     whether they are ``whole`` records."""
-    block = ["path", "block"]
-    inner = _states(lines, block, "__id", F.lit(0)).withColumn("__if0", F.col("state"))
-    inner = _states(inner, block, "__id", F.lit(1)).withColumn("__if1", F.col("state")).drop("state")
+    # a window keeps the lines of its group, so that a whole input block of short lines would be too many
+    block = ["path", "block", "__chunk"]
+    lines = lines.withColumn("__chunk", F.floor(F.col("__id") / CHUNK))
+    inner = _states(lines, block, ["__id"], F.lit(0)).withColumn("__if0", F.col("state"))
+    inner = _states(inner, block, ["__id"], F.lit(1)).withColumn("__if1", F.col("state")).drop("state")
     end = [F.max_by(F.when(F.col(x) == 1, F.col("held")).otherwise(F.col("fresh")), "__id").alias(n) for x, n in (("__if0", "fresh"), ("__if1", "held"))]
     starts = [F.sum(1 - F.col(x)).alias(n) for x, n in (("__if0", "__starts0"), ("__if1", "__starts1"))]
-    blocks = _states(inner.groupBy(*block).agg(*end, *starts), ["path"], "block", F.lit(0))
+    blocks = _states(inner.groupBy(*block).agg(*end, *starts), ["path"], ["block", "__chunk"], F.lit(0))
     begun = F.when(F.col("state") == 0, F.col("__starts0")).otherwise(F.col("__starts1"))
-    w = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("path").orderBy("block", "__chunk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*block, "state", F.coalesce(F.sum(begun).over(w), F.lit(0)).alias("__before"))
     known = inner.join(blocks, block).withColumn("__goes_on", F.when(F.col("state") == 0, F.col("__if0")).otherwise(F.col("__if1")))
     count = F.sum(1 - F.col("__goes_on")).over(Window.partitionBy(*block).orderBy("__id"))

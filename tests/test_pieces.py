@@ -604,3 +604,28 @@ def test_messages_are_read_once_an_epoch(spark, tmp_path):
     letters = spark.read.parquet(f"{base}/dead_letters/epoch=0").collect()
     assert sorted((x.original, x.error.split()[0]) for x in letters) == [("42", "neither"), ("[null]", "neither"), ('{"a":', "message")]
     assert {x.file_seq_id for x in spark.read.parquet(f"{base}/results/epoch=0").collect()} == {"A", "B"}
+
+
+def test_lines_of_a_block_are_settled_in_chunks(spark, tmp_path, monkeypatch):
+    """A window held all lines of an input block, and one task numbered up to a million records with their texts."""
+    import csv
+    import random
+
+    from ledgerloom.operators import batches
+    from ledgerloom.sources import delimited
+
+    rnd = random.Random(5)
+    cells = [[str(i), "".join(rnd.choice(["x", "\n", '"', ",", "\n"]) for _ in range(rnd.randint(0, 9)))] for i in range(300)]
+    for name, rows in (("a", cells), ("b", cells[::-1])):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows([["k", "t"], *rows])
+    requests = spark.createDataFrame(
+        [(n, 0, f"{tmp_path}/{n}.csv", ",", 1) for n in ("a", "b")], "file_seq_id string, file_ord int, path string, delimiter string, headers_row int")
+    monkeypatch.setattr(delimited, "CHUNK", 7)
+    read = delimited.read_delimited(spark, requests, str(tmp_path))
+    got = {n: [r.cells for r in read.cells.filter(f"file_seq_id = '{n}'").orderBy("src_row").collect()] for n in ("a", "b")}
+    assert got == {"a": cells, "b": cells[::-1]}
+
+    monkeypatch.setattr(batches, "NUMBERED_ROWS", 20)
+    numbered = batches.number_records(read.cells.select("file_seq_id", "file_ord", "table_no", "src_row")).collect()
+    assert sorted((r.file_seq_id, r.src_row, r.n) for r in numbered) == [(f, i + 2, i) for f in ("a", "b") for i in range(300)]
