@@ -307,17 +307,13 @@ def test_rows_are_read_where_they_are_printed(spark, tmp_path, monkeypatch):
 
 def test_groups_are_folded_once(spark):
     """Rows whose keys are together were grouped twice, in hash maps, before and after an exchange that is not there."""
-    from ledgerloom.session import write_grouped
+    from ledgerloom.session import folding
 
-    plans = []
-    rows = spark.range(100).selectExpr("id % 7 as f", "id as x").repartition(3, "f")
-
-    def groups(g):
-        out = g.agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        plans.append(out._jdf.queryExecution().executedPlan().toString())
-        return out
-
-    got = {r.f: r.xs for r in write_grouped(rows, ["f"], groups, "folded").collect()}
+    rows = spark.range(100).selectExpr("id % 7 as f", "id as x").repartition(3, "f").sortWithinPartitions("f")
+    out = rows.groupBy("f").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    with folding(spark):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.f: r.xs for r in out.collect()}
     assert got == {f: list(range(f, 100, 7)) for f in range(7)}
-    assert plans[0].count("SortAggregate") == 1 and "ObjectHashAggregate" not in plans[0]
+    assert plan.count("SortAggregate") == 1 and "ObjectHashAggregate" not in plan
     assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg") == "false"
