@@ -629,3 +629,19 @@ def test_lines_of_a_block_are_settled_in_chunks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(batches, "NUMBERED_ROWS", 20)
     numbered = batches.number_records(read.cells.select("file_seq_id", "file_ord", "table_no", "src_row")).collect()
     assert sorted((r.file_seq_id, r.src_row, r.n) for r in numbered) == [(f, i + 2, i) for f in ("a", "b") for i in range(300)]
+
+
+def test_lines_are_cleaned_where_they_are_not_clean(spark):
+    """Clean lines, odd white space, blank, empty and missing lines."""
+    import re
+
+    from ledgerloom.functions import text
+
+    rnd = random.Random(7)
+    lines = [None, "", " ", "\xa0 　", "a clean line, with single blanks.", "a b", " a", "a ", "a  b", "a  b", "\ta", "é è", "a 𝒳 b", "\x7f \x00"]
+    lines += ["".join(rnd.choice("ab!~é𝒳\x00\x7f" + "  " + text.WHITESPACE) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, v string")
+    got = df.select("i", text.clean(F.col("v")).alias("c")).collect()
+    want = [re.sub(f"[{re.escape(text.WHITESPACE)}]+", " ", x or "").strip(" ") for x in lines]
+    assert {r.i: r.c for r in got} == dict(enumerate(want))
+    assert not re.search(text.RUNS, lines[4])  # nothing is put together anew
