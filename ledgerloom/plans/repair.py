@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import clean
+from ..functions.text import clean, has_text
 from ..operators import geometry, ocr, sheets, tables as T
 from ..operators.documents import key_values as values_of, keyword_value, keyword_values as keywords_of
 from .common import money2, table, text
@@ -24,7 +24,8 @@ def noise_filter(spark, sf_dir):
         .when(F.col("line_no") % 6 == 1, F.concat(F.lit("Totally "), F.col("line")))
         .otherwise(F.col("line")),
     )
-    kept = lines.withColumn("line", clean(F.col("line"))).filter("line <> ''")
+    # blank lines go as they are read; cleaned, each filter would clean every line once more
+    kept = lines.filter(has_text(F.col("line"))).withColumn("line", clean(F.col("line")))
     return kept.filter(~T.is_noise(F.col("line"), T.DEFAULTS.skip_row_patterns))
 
 
