@@ -640,11 +640,11 @@ def test_lines_are_cleaned_where_they_are_not_clean(spark):
 
     rnd = random.Random(7)
     lines = [None, "", " ", "\xa0 　", "a clean line, with single blanks.", "a b", " a", "a ", "a  b", "a  b", "\ta", "é è", "a 𝒳 b", "\x7f \x00"]
-    lines += ["".join(rnd.choice("ab!~é𝒳\x00\x7f" + "  " + text.WHITESPACE) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    lines += ["".join(rnd.choice("ab!~éжж漢\ufeff𝒳\x00\x7f\u2010" + "  " + text.WHITESPACE) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
     df = spark.createDataFrame(list(enumerate(lines)), "i int, v string")
     got = df.select("i", text.clean(F.col("v")).alias("c"), text.has_text(F.col("v")).alias("some")).collect()
     want = [re.sub(f"[{re.escape(text.WHITESPACE)}]+", " ", x or "").strip(" ") for x in lines]
     assert {r.i: (r.c, r.some) for r in got} == {i: (w, w != "") for i, w in enumerate(want)}
-    assert not re.search(text.RUNS, lines[4])  # nothing is put together anew
+    assert not any(re.search(text.RUNS, x) for x in (lines[4], "é è", "да нет", "漢 字"))  # nothing is put together anew
     plan = repair.noise_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 2  # once to look for noise, once for the result
